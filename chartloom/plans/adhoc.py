@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chartloom.catalog import SHARED_TABLES, Catalog
 from chartloom.operators.shared import normalize, resource_table, shared_table
@@ -48,3 +49,17 @@ OBSERVATIONS_PER_PATIENT = """
     FROM observation o JOIN reference r ON r.id = o.id AND r.field_name = 'subject'
     GROUP BY r.reference ORDER BY observation_count DESC, patient_ref LIMIT {limit}
 """
+RECENT_PROPERTIES = """
+    SELECT * FROM properties ORDER BY updated_date DESC, property LIMIT {limit}
+"""
+LATEST_SUCCESS = """
+    SELECT folder_name, total_files, backup_timestamp, hostname FROM run_log
+    WHERE status = 'SUCCESS' ORDER BY backup_timestamp DESC LIMIT 1
+"""
+
+
+def manifest_missing(expected: DataFrame, present: DataFrame, folder: str) -> DataFrame:
+    """Expected files (path, size) whose path is not among the present names of a folder."""
+    inside = F.col("name").startswith(folder)
+    paths = present.where(inside).select(F.expr(f"substr(name, {len(folder) + 1})").alias("path"))
+    return expected.join(paths, "path", "left_anti")

@@ -1,6 +1,17 @@
 """Registered queries over the star-schema tables, with the SQL that gives the same rows."""
 
-from checks import normalize, sources  # noqa: F401
+from checks import (  # noqa: F401
+    adhoc,
+    changes,
+    errors,
+    functions,
+    lineage,
+    load,
+    normalize,
+    planning,
+    schema,
+    sources,
+)
 from checks.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1 +1,152 @@
-"""."""
+"""Failure routing and retries."""
+
+from pyspark.sql import functions as F
+
+from chartloom.operators import errors
+from chartloom.sources.shaped import table
+from checks.base import check
+
+MAX_RETRIES, DELAY = 3, 5
+
+
+@check(
+    "pull_error_disposition",
+    f"""
+    SELECT event_id, disposition,
+           CASE WHEN disposition <> 'retry_queue' THEN CAST(event_id % 4 + 1 AS INTEGER) END AS retry_count,
+           CASE disposition WHEN 'retry_queue' THEN true WHEN 'failure_area' THEN NULL
+                ELSE CASE WHEN event_id % 5 = 0 THEN false END END AS retry_message,
+           CASE WHEN event_id % 2 = 0 THEN 'event-load-exporter' ELSE 'batch-load-exporter' END
+             AS application_name,
+           CASE WHEN disposition = 'event_queue' THEN {DELAY} END AS delay_minutes
+    FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN 'failure_area'
+                         WHEN event_id % 4 = 2 THEN 'retry_queue'
+                         WHEN event_id % 2 = 0 THEN 'event_queue' ELSE 'parameter_queue' END AS disposition
+          FROM events)
+    """,
+)
+def pull_error_disposition(spark, sf_dir):
+    messages = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "nullif(int(event_id % 4), 0) AS retry_count",
+        "CASE WHEN event_id % 7 = 0 THEN true WHEN event_id % 5 = 0 THEN false END AS retry_message",
+        "if(event_id % 2 = 0, 'event-load-exporter', 'batch-load-exporter') AS application_name",
+    )
+    return errors.pull_disposition(messages, MAX_RETRIES, DELAY)
+
+
+@check(
+    "read_error_disposition",
+    """
+    SELECT event_id, 'file-' || event_id AS filepath_id, CAST(event_id % 4 + 1 AS INTEGER) AS retry_count,
+           CASE WHEN event_id % 4 >= 2 THEN 'failure_area' ELSE 'requeue' END AS disposition,
+           CASE WHEN event_id % 4 >= 2 THEN '601' END AS error_code
+    FROM events
+    """,
+)
+def read_error_disposition(spark, sf_dir):
+    messages = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "concat('file-', event_id) AS filepath_id", "string(event_id % 4) AS retry_count"
+    )
+    return errors.read_disposition(messages, MAX_RETRIES)
+
+
+@check(
+    "failure_path",
+    """
+    SELECT event_id, CASE event_id % 4
+             WHEN 0 THEN '404/' || strftime(ts, '%Y%m%dT%H%M%S') || '/pat-' || user_id || '.json'
+             WHEN 1 THEN '404/' || strftime(ts, '%Y%m%dT%H%M%S') || '/Patient-'
+                         || CASE WHEN event_id % 8 = 1 THEN 0 ELSE event_id % 9 END || '.json'
+             WHEN 2 THEN '404/' || user_id || '/Patient-1.ndjson'
+             ELSE '404/plain' END AS failure_path
+    FROM events
+    """,
+)
+def failure_path(spark, sf_dir):
+    messages = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "'404' AS error_code",
+        "if(event_id % 4 = 0, 'event-load-exporter', 'batch-load-exporter') AS application_name",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") AS event_time""",
+        "concat('pat-', user_id) AS resource_id",
+        """if(event_id % 4 = 1, date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), null) AS end_time""",
+        "'Patient' AS resource_type",
+        "int(if(event_id % 8 = 1, null, event_id % 9)) AS page_number",
+        """if(event_id % 4 = 2, concat('https://store/stage_', user_id, '/Patient-1.ndjson'), 'plain')
+           AS url""",
+    )
+    return errors.failure_path(messages).select("event_id", "failure_path")
+
+
+@check(
+    "strip_error_prefix",
+    """
+    SELECT event_id, '602/' || CASE event_id % 3 WHEN 2 THEN '6021/' ELSE '' END
+                     || 'event-load/pat-' || user_id || '/Patient-1.ndjson' AS reject_location
+    FROM events
+    """,
+)
+def strip_error_prefix(spark, sf_dir):
+    paths = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """concat(element_at(array('', '601/', '6021/'), int(event_id % 3) + 1), 'event-load/pat-', user_id,
+                  '/Patient-1.ndjson') AS path""",
+    )
+    return paths.select(
+        "event_id", errors.reject_path(F.lit("602"), F.col("path")).alias("reject_location")
+    )
+
+
+@check(
+    "retry_eligible",
+    """
+    SELECT event_id FROM events WHERE event_id % 4 IN (1, 2) AND event_id % 3 = 1 AND event_id % 11 <> 0
+    """,
+)
+def retry_eligible(spark, sf_dir):
+    messages = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "element_at(array('601', '602', '603', '699'), int(event_id % 4) + 1) AS error_code",
+        """if(event_id % 11 = 0, null, concat('https://store/602/batch-load/2024-01-01/',
+           element_at(array('Patient', 'Patient-1', 'Patient-1-2'), int(event_id % 3) + 1), '.ndjson'))
+           AS url""",
+    )
+    return errors.retry_eligible(messages).select("event_id")
+
+
+@check(
+    "retry_split",
+    """
+    SELECT event_id, 'file-' || user_id AS filepath_id,
+           'Observation-' || row_number() OVER (PARTITION BY user_id ORDER BY event_id) || '.ndjson'
+             AS record_file
+    FROM events
+    """,
+)
+def retry_split(spark, sf_dir):
+    records = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "concat('file-', user_id) AS filepath_id",
+        "concat('https://store/602/batch-load/', user_id, '/Observation.ndjson') AS url",
+    )
+    split = errors.retry_split(records, "event_id", rows_per_chunk=1000)
+    return split.select("event_id", "filepath_id", "record_file")
+
+
+@check(
+    "error_codes",
+    """
+    SELECT CASE event_id % 6 WHEN 1 THEN '601' WHEN 2 THEN '602' WHEN 3 THEN '603' WHEN 4 THEN '699' END
+             AS error_code, count(*) AS row_count
+    FROM events GROUP BY 1
+    """,
+)
+def error_codes(spark, sf_dir):
+    steps = table(spark, sf_dir, "events").selectExpr(
+        "event_id % 6 <> 1 AS was_read",
+        "CASE WHEN event_id % 6 > 1 OR event_id % 6 = 0 THEN event_id % 6 <> 2 END AS was_shaped",
+        "CASE event_id % 6 WHEN 3 THEN false WHEN 4 THEN null ELSE true END AS was_inserted",
+    )
+    code = errors.outcome_code(F.col("was_read"), F.col("was_shaped"), F.col("was_inserted"))
+    return steps.groupBy(code.alias("error_code")).agg(F.count(F.lit(1)).alias("row_count"))
