@@ -21,9 +21,10 @@ def register_views(
         wide = normalize(lines, resource, catalog)
         resource_table(wide).createOrReplaceTempView(resource.lower())
         for table in SHARED_TABLES:
-            only = normalize(lines, resource, catalog, tables=(table,))
-            if f"{table}_rows" in only.columns:
-                shared[table].append(shared_table(only, table))
+            elements = [e.name for e in catalog.of_shape(resource, table)]
+            if elements:
+                rows = normalize(lines, resource, catalog, elements, (table,))
+                shared[table].append(shared_table(rows, table))
     for table, parts in shared.items():
         rows = parts[0]
         for part in parts[1:]:

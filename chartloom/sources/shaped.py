@@ -170,6 +170,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has fewer partitions than there are cores.
+
+    Parsing documents costs far more than reading them, so a table in one small file would
+    keep a single core busy. A larger table has enough partitions and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def documents(
     spark: SparkSession, sf_dir: str, resource: str, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -178,7 +188,7 @@ def documents(
     `keep` carries base columns along; the key column is called `k`.
     """
     source, key, condition, expression = SHAPES[resource]
-    rows = table(spark, sf_dir, source)
+    rows = spread(table(spark, sf_dir, source), key)
     if condition:
         rows = rows.where(condition)
     return rows.withColumnRenamed(key, "k").selectExpr(*keep, f"to_json({expression}) as value")

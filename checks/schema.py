@@ -13,23 +13,17 @@ KIND_SQL = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
 
 def schema_documents(spark, sf_dir):
     kinds = ", ".join(f"'{k}'" for k in KINDS)
+    ref = '"$ref":"#/definitions/'
     return table(spark, sf_dir, "part").selectExpr(
-        f"""to_json(named_struct('definitions', map(concat('Part', p_partkey), named_struct('properties', map(
-          'resourceType', '{{"const":"x"}}',
-          'kind', concat('{{"$ref":"#/definitions/', element_at(array({kinds}), 1 + p_size % 8), '"}}'),
-          'kindList', concat('{{"type":"array","items":{{"$ref":"#/definitions/',
-                             element_at(array({kinds}), 1 + (p_size + p_partkey) % 8), '"}}}}'),
-          'status', '{{"enum":["a","b"]}}',
-          'codes', '{{"type":"array","items":{{"enum":["a"]}}}}',
-          'valueBoolean', '{{"type":"boolean"}}',
-          '_valueBoolean', '{{"$ref":"#/definitions/Element"}}',
-          'span', '{{"$ref":"#/definitions/Period"}}',
-          'item', concat('{{"type":"array","items":{{"$ref":"#/definitions/Part', p_partkey, '_Item"}}}}')
-        ))))) AS text"""
-    ).selectExpr(
-        # The property texts above are JSON themselves.
-        r"""replace(replace(regexp_replace(text, '"(\\{.*?\\})"(?=[,}])', '$1'), '\\"', '"'), '\\/', '/')
-            AS value"""
+        f"""concat('{{"definitions":{{"Part', p_partkey, '":{{"properties":{{',
+          '"resourceType":{{"const":"x"}},',
+          '"kind":{{{ref}', element_at(array({kinds}), int(1 + p_size % 8)), '"}},',
+          '"kindList":{{"type":"array","items":{{{ref}',
+              element_at(array({kinds}), int(1 + (p_size + p_partkey) % 8)), '"}}}},',
+          '"status":{{"enum":["a","b"]}},"codes":{{"type":"array","items":{{"enum":["a"]}}}},',
+          '"valueBoolean":{{"type":"boolean"}},"_valueBoolean":{{{ref}Element"}},',
+          '"span":{{{ref}Period"}},',
+          '"item":{{"type":"array","items":{{{ref}Part', p_partkey, '_Item"}}}}}}}}}}}}') AS value"""
     )
 
 

@@ -40,7 +40,7 @@ def _sorted_rows(names, rows):
 
 
 SPARK_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-               "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
+               "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 def differences(spark, con, name, query, sql, sf_dir) -> list[str]:
