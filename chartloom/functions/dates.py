@@ -5,26 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONTH_FIRST = r"^(\d{1,2})[-/](\d{4})$"
-YEAR_FIRST = r"^\d{4}($|[-/ T])"
 # Written-out and compact forms tried when the value does not start with a year.
 OTHER_FORMATS = ("yyyyMMdd", "M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy")
 
 
-def fhir_timestamp(value: Column) -> Column:
-    """UTC timestamp of a FHIR date text; null for placeholders and junk."""
-    text = F.trim(value)
-    turned = F.regexp_replace(text, MONTH_FIRST, "$2-$1")
-    iso = F.when(turned.rlike(YEAR_FIRST), F.translate(turned, "/", "-").try_cast("timestamp"))
-    others = [F.try_to_timestamp(text, F.lit(form)) for form in OTHER_FORMATS]
-    written = F.when(~turned.rlike(YEAR_FIRST), F.coalesce(*others))
-    return F.when(~F.contains(text, F.lit("0001-01-01")), F.coalesce(iso, written))
+def fhir_timestamp_sql(value: str) -> str:
+    """SQL text for the UTC timestamp of a FHIR date text; null for placeholders and junk."""
+    year_first = rf"trim({value}) RLIKE '^\\d{{4}}($|[-/ T])'"
+    month_first = rf"trim({value}) RLIKE '^\\d{{1,2}}[-/]\\d{{4}}$'"
+    turned = f"concat(right(trim({value}), 4), '-', substring_index(substring_index(trim({value}), '-', 1), '/', 1))"
+    others = ", ".join(f"try_to_timestamp(trim({value}), '{form}')" for form in OTHER_FORMATS)
+    return f"""CASE
+        WHEN contains({value}, '0001-01-01') THEN NULL
+        WHEN {year_first} THEN try_cast(translate(trim({value}), '/', '-') AS timestamp)
+        WHEN {month_first} THEN try_cast({turned} AS timestamp)
+        WHEN {value} IS NOT NULL THEN coalesce({others}) END"""
 
 
-def date_parts(value: Column) -> Column:
+def fhir_timestamp(value: str) -> Column:
+    """UTC timestamp of the FHIR date text in a column or field."""
+    return F.expr(fhir_timestamp_sql(value))
+
+
+def date_parts(value: str) -> Column:
     """Struct of year, month, day, date, datetime and time, all null when there is no date."""
-    stamp = fhir_timestamp(value)
-    return stamp_parts(stamp)
+    return stamp_parts(fhir_timestamp(value))
 
 
 def stamp_parts(stamp: Column) -> Column:

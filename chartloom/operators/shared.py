@@ -7,14 +7,18 @@ number per resource need no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.catalog import SHARED_PARSE_TYPES, SHARED_TABLES, Catalog, Element
-from chartloom.functions.dates import fhir_timestamp
-from chartloom.operators.flatten import any_present, parse_documents, resource_columns
+from chartloom.catalog import SHARED_TABLES, Catalog, Element
+from chartloom.functions.dates import fhir_timestamp_sql
+from chartloom.operators.flatten import (
+    any_present,
+    chosen_elements,
+    parse_documents,
+    resource_columns,
+    without_empty_entries,
+)
 from chartloom.operators.frames import explode_present
 
 # Value columns of each table, after id, field_name and seq_no.
@@ -27,109 +31,79 @@ VALUE_COLUMNS = {
 }
 
 
-def _coding_row(coding: Column, text: Column, extension: Column) -> Column:
-    return F.struct(
-        coding["system"].alias("system"),
-        coding["version"].alias("version"),
-        coding["code"].alias("code"),
-        coding["display"].alias("display"),
-        coding["userSelected"].alias("userselected"),
-        text.alias("text"),
-        extension.alias("extension"),
-    )
+def _struct(values: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {text}" for name, text in values.items()) + ")"
+
+
+def _coding(coding: str, text: str, extension: str) -> str:
+    fields = {c: f"{coding}.{c}" for c in ("system", "version", "code", "display")}
+    fields["userselected"] = f"{coding}.userSelected"
+    return _struct({**fields, "text": text, "extension": extension})
 
 
-def merged_extension(concept: Column, coding: Column, position: Column) -> Column:
+def merged_extension(concept: str, coding: str, position: str) -> str:
     """Extension list of one coding, with the concept's own extensions handed out.
 
     With extensions on both levels, the i-th one of the concept joins the i-th coding and
     codings past the shorter list get none. Without any on the codings, the first coding
     takes the concept's whole list.
     """
-    on_codings = F.exists(concept["coding"], lambda c: c["extension"].isNotNull())
-    own = concept["extension"]
-    paired = F.when(
-        position < F.size(own),
-        F.concat(F.coalesce(coding["extension"], _no_text()), F.array(F.get(own, position))),
-    )
-    return (
-        F.when(own.isNull(), coding["extension"])
-        .when(on_codings, paired)
-        .when(position == 0, own)
-    )
-
+    own = f"{concept}.extension"
+    joined = f"concat(coalesce({coding}.extension, array()), array(get({own}, {position})))"
+    return f"""CASE
+        WHEN {own} IS NULL THEN {coding}.extension
+        WHEN exists({concept}.coding, x -> x.extension IS NOT NULL)
+          THEN if({position} < size({own}), {joined}, NULL)
+        WHEN {position} = 0 THEN {own} END"""
 
-def _no_text() -> Column:
-    return F.array().cast("array<string>")
 
-
-def concept_rows(concept: Column) -> Column:
+def concept_rows(concept: str) -> str:
     """One row per coding; a concept without a coding list stands for itself."""
-    codings = F.transform(
-        concept["coding"],
-        lambda c, i: _coding_row(c, concept["text"], merged_extension(concept, c, i)),
-    )
-    itself = F.array(_coding_row(concept, concept["text"], concept["extension"]))
-    return F.when(concept["coding"].isNull(), itself).otherwise(codings)
+    codings = _coding("g", f"{concept}.text", merged_extension(concept, "g", "p"))
+    itself = _coding(concept, f"{concept}.text", f"{concept}.extension")
+    return f"""if({concept}.coding IS NULL, array({itself}),
+               transform({concept}.coding, (g, p) -> {codings}))"""
 
 
-def reference_rows(reference: Column) -> Column:
-    return F.array(F.struct(*[reference[c].alias(c) for c in VALUE_COLUMNS["reference"]]))
+def reference_rows(reference: str) -> str:
+    return f"array({_struct({c: f'{reference}.{c}' for c in VALUE_COLUMNS['reference']})})"
 
 
-def identifier_rows(identifier: Column) -> Column:
-    values = {
-        **{c: identifier[c] for c in ("use", "type", "system", "value", "assigner", "extension")},
-        "period_start": fhir_timestamp(identifier["period"]["start"]),
-        "period_end": fhir_timestamp(identifier["period"]["end"]),
-    }
-    return F.array(F.struct(*[values[c].alias(c) for c in VALUE_COLUMNS["identifier"]]))
+def identifier_rows(identifier: str) -> str:
+    values = {c: f"{identifier}.{c}" for c in VALUE_COLUMNS["identifier"]}
+    values["period_start"] = fhir_timestamp_sql(f"{identifier}.period.start")
+    values["period_end"] = fhir_timestamp_sql(f"{identifier}.period.end")
+    return f"array({_struct(values)})"
 
 
-ROW_BUILDERS: dict[str, Callable[[Column], Column]] = {
+ROW_BUILDERS = {
     "codeableconcept": concept_rows,
     "reference": reference_rows,
     "identifier": identifier_rows,
 }
 
 
-def melted(table: str, elements: list[Element]) -> Column:
+def melted(elements: list[Element]) -> str:
     """Array of (field_name, items), one entry per element, scalars wrapped to a list."""
-    items_type = f"array<{SHARED_PARSE_TYPES[table].simpleString()}>"
-    entries = []
-    for element in elements:
-        value = F.col(element.name)
-        items = value if element.repeats else F.when(value.isNotNull(), F.array(value))
-        entries.append(
-            F.struct(F.lit(element.column).alias("field_name"), items.cast(items_type).alias("items"))
-        )
-    return F.filter(F.array(*entries), lambda e: e["items"].isNotNull())
-
-
-def numbered_rows(table: str, elements: list[Element]) -> Column:
-    """All shared rows of a document for one table, with dense numbers per field from 0."""
-    build, columns = ROW_BUILDERS[table], VALUE_COLUMNS[table]
+    entries = [
+        _struct({"field_name": f"'{e.column}'", "items": _items(f"`{e.name}`", e.repeats)})
+        for e in elements
+    ]
+    return f"filter(array({', '.join(entries)}), e -> e.items IS NOT NULL)"
 
-    def rows_of(entry: Column) -> Column:
-        rows = F.filter(
-            F.flatten(F.transform(entry["items"], build)),
-            lambda row: any_present([row[c] for c in columns]),
-        )
-        return F.transform(
-            rows,
-            lambda row, i: F.struct(
-                entry["field_name"].alias("field_name"),
-                i.alias("seq_no"),
-                *[row[c].alias(c) for c in columns],
-            ),
-        )
 
-    return F.flatten(F.transform(melted(table, elements), rows_of))
+def _items(value: str, repeats: bool) -> str:
+    return value if repeats else f"if({value} IS NULL, NULL, array({value}))"
 
 
-def max_array_size(rows: Column) -> Column:
-    """Largest row number of a document, 0 when it has no rows."""
-    return F.coalesce(F.array_max(rows["seq_no"]), F.lit(0))
+def numbered_rows(table: str, elements: list[Element]) -> str:
+    """All shared rows of a document for one table, with dense numbers per field from 0."""
+    columns = VALUE_COLUMNS[table]
+    present = any_present([f"r.{c}" for c in columns])
+    built = f"flatten(transform(f.items, v -> {ROW_BUILDERS[table]('v')}))"
+    numbered = {"field_name": "f.field_name", "seq_no": "i", **{c: f"r.{c}" for c in columns}}
+    rows = f"transform(filter({built}, r -> {present}), (r, i) -> {_struct(numbered)})"
+    return f"flatten(transform({melted(elements)}, f -> {rows}))"
 
 
 def normalize(
@@ -142,27 +116,23 @@ def normalize(
     """Parse documents and lay out everything they hold in one row per document.
 
     The result has the wide columns, and per shared table the array `<table>_rows` and
-    its `<table>_max_array_size`. `only` limits the elements, `tables` the shared tables.
-    Columns of the input other than `value` are carried along.
+    its `<table>_max_array_size`: the largest row number, 0 without rows. `only` limits the
+    elements, `tables` the shared tables. Columns of the input other than `value` stay.
     """
-    kept = [F.col(c) for c in lines.columns if c != "value"]
+    kept = [c for c in lines.columns if c != "value"]
     parsed = parse_documents(lines, resource, catalog, only)
-    chosen = {
-        table: [e for e in catalog.of_shape(resource, table) if only is None or e.name in only]
-        for table in tables
-    }
-    arrays = [
-        numbered_rows(table, elements).alias(f"{table}_rows")
-        for table, elements in chosen.items()
-        if elements
-    ]
-    wide = parsed.select(*kept, "id", *resource_columns(resource, catalog, only), *arrays)
-    sizes = [
-        max_array_size(F.col(f"{table}_rows")).alias(f"{table}_max_array_size")
-        for table, elements in chosen.items()
-        if elements
-    ]
-    return wide.select("*", *sizes)
+    cleaned = without_empty_entries(parsed, resource, catalog, only)
+    chosen = chosen_elements(resource, catalog, only)
+    arrays, sizes = [], []
+    for table in tables:
+        elements = [e for e in chosen if catalog.shape(e) == table]
+        if elements:
+            arrays.append(f"{numbered_rows(table, elements)} AS {table}_rows")
+            sizes.append(
+                f"coalesce(array_max({table}_rows.seq_no), 0) AS {table}_max_array_size"
+            )
+    columns = resource_columns(resource, catalog, only)
+    return cleaned.selectExpr(*kept, "id", *columns, *arrays).selectExpr("*", *sizes)
 
 
 def shared_table(normalized: DataFrame, table: str) -> DataFrame:

@@ -34,7 +34,7 @@ def patient_dimension(patients: DataFrame, catalog: Catalog, id_system: str) ->
         "id",
         "gender",
         fhir.human_name_parts(F.col("name")).alias("n"),
-        date_parts(F.col("birthDate")).alias("b"),
+        date_parts("birthDate").alias("b"),
         fhir.identifier_value(F.col("identifier"), id_system).alias("external_id"),
         fhir.address_parts(F.col("address"))["location_id"].alias("location_id"),
         fhir.concept_display(F.array("maritalStatus")).alias("marital_status"),
@@ -63,7 +63,7 @@ def observation_rows(observations: DataFrame, catalog: Catalog) -> DataFrame:
         fhir.reference_key(F.array("subject"), "Patient").alias("patient_key"),
         fhir.concept_display(F.array("code")).alias("code_display"),
         fhir.quantity_value(F.array("valueQuantity")).cast("double").alias("value"),
-        fhir_timestamp(F.col("effectiveDateTime")).alias("effective"),
+        fhir_timestamp("effectiveDateTime").alias("effective"),
         fhir.annotation_text(F.col("note")).alias("note"),
     )
 

@@ -51,7 +51,7 @@ DATE_VALUE = """
 )
 def fhir_date_parts(spark, sf_dir):
     texts = table(spark, sf_dir, "events").selectExpr("event_id", f"{DATE_TEXT} AS text")
-    return texts.select("event_id", date_parts(F.col("text")).alias("d")).select("event_id", "d.*")
+    return texts.select("event_id", date_parts("text").alias("d")).select("event_id", "d.*")
 
 
 @check(

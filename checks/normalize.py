@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.keys import row_digest
 from chartloom.operators import frames
-from chartloom.operators.flatten import parse_documents, resource_columns
+from chartloom.operators.flatten import flatten, parse_documents
 from chartloom.operators.shared import melted, normalize, resource_table, shared_table
 from chartloom.sources.ndjson import scan_documents
 from chartloom.sources.shaped import documents, table
@@ -13,8 +13,7 @@ from checks.base import CATALOG, check
 
 def flat(spark, sf_dir, resource, only):
     """Wide columns of some elements only."""
-    parsed = parse_documents(documents(spark, sf_dir, resource), resource, CATALOG, only)
-    return parsed.select("id", *resource_columns(resource, CATALOG, only))
+    return flatten(documents(spark, sf_dir, resource), resource, CATALOG, only)
 
 
 def long_rows(spark, sf_dir, resource, shared, only):
@@ -194,7 +193,7 @@ def melt_shared(spark, sf_dir):
     elements = CATALOG.of_shape("Patient", "reference")
     names = [e.name for e in elements]
     parsed = parse_documents(documents(spark, sf_dir, "Patient"), "Patient", CATALOG, names)
-    entries = parsed.select("id", F.explode(melted("reference", elements)).alias("entry"))
+    entries = parsed.select("id", F.explode(F.expr(melted(elements))).alias("entry"))
     items = entries.select(
         "id", F.col("entry.field_name"), F.posexplode("entry.items").alias("position", "item")
     )
@@ -393,8 +392,7 @@ def coerce_int_arrays(spark, sf_dir):
         """concat('{"id":"pat-', c_custkey, '","telecom":[{"rank":', c_custkey % 5,
                   '.0},{"rank":NaN},{"system":"x"},{"rank":', c_custkey % 3, '}]}') AS value"""
     )
-    parsed = parse_documents(lines, "Patient", CATALOG, ["telecom"])
-    wide = parsed.select("id", *resource_columns("Patient", CATALOG, ["telecom"]))
+    wide = flatten(lines, "Patient", CATALOG, ["telecom"])
     # The entry with nothing but NaN still counts as present.
     return wide.select("id", F.array_join("telecom_rank", ",", "-").alias("ranks"))
 
