@@ -1,9 +1,10 @@
 """Tables kept as bucketed Parquet versions, visible only once their batch is published.
 
-A batch writes the buckets it touches under its own version, for as many tables as it has,
-and then appends one list of (table, bucket, version) to `published`. That one append makes
-all of them visible; a batch that failed before it leaves nothing a reader can see. A
-replayed batch reads the versions before its own and writes the same folders again.
+A batch writes the buckets it touches under its own number, for as many tables as it has,
+and then writes one list of (table, bucket, version): the versions before it, with its own
+in place of those it rewrote. That one small file makes all its tables visible together; a
+batch that failed before it leaves nothing a reader can see. A replayed batch starts from
+the versions before its own and writes the same folders again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from pyspark.sql import types as T
 
 PUBLISHED = "table string, bucket int, version long"
 
+# (table, bucket) -> version. One entry per bucket, however large the tables are.
+Snapshot = dict[tuple[str, int], int]
+
 
 class TableSet:
     """Keyed tables below one folder, split by a hash of `key` into `buckets`."""
@@ -32,41 +36,51 @@ class TableSet:
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _published(self, before: int | None = None) -> DataFrame:
-        rows = self.spark.read.schema(PUBLISHED).parquet(f"{self.path}/published")
-        return rows if before is None else rows.where(F.col("version") < before)
-
-    def versions(self, table: str, before: int | None = None) -> dict[int, int]:
-        """Newest published version per bucket: at most one entry per bucket."""
+    def _listed(self, folder: str, schema: str) -> DataFrame | None:
         try:
-            rows = self._published(before)
+            return self.spark.read.schema(schema).parquet(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}
-        newest = rows.where(F.col("table") == table).groupBy("bucket").agg(F.max("version").alias("v"))
-        return {r["bucket"]: r["v"] for r in newest.collect()}
+            return None
+
+    def snapshot(self, before: int | None = None) -> Snapshot:
+        """Published versions, the newest ones or those in force before a batch."""
+        log = f"{self.path}/published"
+        rows = None
+        if before is not None:
+            rows = self._listed(f"{log}/batch_no={before - 1}", PUBLISHED)
+        if rows is None:
+            every = self._listed(log, f"{PUBLISHED}, batch_no long")
+            if every is None:
+                return {}
+            if before is not None:
+                every = every.where(F.col("batch_no") < before)
+            newest = every.agg(F.max("batch_no")).first()[0]
+            rows = every.where(F.col("batch_no") == newest)
+        return {(r["table"], r["bucket"]): r["version"] for r in rows.collect()}
 
     def _folder(self, table: str, version: int) -> str:
-        return f"{self.path}/{table}/version={version}"
+        return f"{self.path}/{table}/batch_no={version}"
 
     def read(
         self,
         table: str,
         schema: T.StructType,
         only: set[int] | None = None,
-        before: int | None = None,
+        snapshot: Snapshot | None = None,
     ) -> DataFrame:
         """Published rows, of all buckets or of some."""
         by_version: dict[int, list[int]] = {}
-        for bucket, version in self.versions(table, before).items():
-            if only is None or bucket in only:
+        for (name, bucket), version in (self.snapshot() if snapshot is None else snapshot).items():
+            if name == table and (only is None or bucket in only):
                 by_version.setdefault(version, []).append(bucket)
         if not by_version:
             return self.spark.createDataFrame([], schema)
-        stored = T.StructType(schema.fields).add("version", T.LongType()).add("bucket", T.IntegerType())
+        stored = T.StructType(schema.fields)
+        stored.add("batch_no", T.LongType()).add("bucket_no", T.IntegerType())
         chosen = [
-            (F.col("version") == version) & F.col("bucket").isin(buckets)
+            (F.col("batch_no") == version) & F.col("bucket_no").isin(buckets)
             for version, buckets in by_version.items()
         ]
         return (
@@ -74,7 +88,7 @@ class TableSet:
             .option("basePath", f"{self.path}/{table}")
             .parquet(*[self._folder(table, version) for version in by_version])
             .where(reduce(or_, chosen))
-            .drop("version", "bucket")
+            .drop("batch_no", "bucket_no")
         )
 
     def write(self, table: str, rows: DataFrame, version: int) -> None:
@@ -82,11 +96,11 @@ class TableSet:
 
         The rebalance splits a bucket that got very many rows and joins small ones.
         """
-        bucketed = rows.withColumn("bucket", self._bucket())
+        bucketed = rows.withColumn("bucket_no", self._bucket())
         (
-            bucketed.hint("rebalance", "bucket")
+            bucketed.hint("rebalance", "bucket_no")
             .write.mode("overwrite")
-            .partitionBy("bucket")
+            .partitionBy("bucket_no")
             .parquet(self._folder(table, version))
         )
 
@@ -95,10 +109,13 @@ class TableSet:
         return {r[0] for r in rows.select(self._bucket().alias("bucket")).distinct().collect()}
 
     def publish(self, version: int, touched: dict[str, set[int]]) -> None:
-        """Make the named buckets of all tables visible in one append of one file."""
-        listed = [(t, b, version) for t, buckets in touched.items() for b in sorted(buckets)]
+        """Make the named buckets of all tables visible with one file."""
+        versions = self.snapshot(before=version)
+        versions.update({(t, b): version for t, buckets in touched.items() for b in buckets})
+        listed = [(table, bucket, v) for (table, bucket), v in sorted(versions.items())]
         rows = self.spark.createDataFrame(listed, PUBLISHED)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+        folder = f"{self.path}/published/batch_no={version}"
+        rows.coalesce(1).write.mode("overwrite").parquet(folder)
 
     def rewrite(
         self,
@@ -107,7 +124,9 @@ class TableSet:
         buckets: set[int],
         version: int,
         change: Callable[[DataFrame], DataFrame],
+        snapshot: Snapshot | None = None,
     ) -> None:
         """Write the touched buckets anew: `change` turns their stored rows into the new ones."""
-        state = self.read(table, schema, buckets, before=version)
+        before = self.snapshot(before=version) if snapshot is None else snapshot
+        state = self.read(table, schema, buckets, before)
         self.write(table, change(state).select(*schema.fieldNames()), version)

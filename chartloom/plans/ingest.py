@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +13,9 @@ from pyspark.sql import types as T
 from chartloom.catalog import SHARED_TABLES, Catalog
 from chartloom.operators import changes, load
 from chartloom.operators.flatten import parse_documents
-from chartloom.operators.published import TableSet
+from chartloom.operators.published import Snapshot, TableSet
 from chartloom.operators.shared import normalize, resource_table, shared_table
 
-INCOMING = "id string, value string, url string"
-
 
 @dataclass
 class Ingest:
@@ -30,75 +30,84 @@ class Ingest:
     pipeline_type: str = "core-data-ingester"
     by_event: bool = False
 
+    @property
+    def table(self) -> str:
+        return self.resource.lower()
+
+    def shared_name(self, shared: str) -> str:
+        return f"{self.table}_{shared}"
 
-def table_schemas(spark: SparkSession, resource: str, catalog: Catalog) -> dict[str, T.StructType]:
-    """Schemas of the tables a resource type is loaded into."""
-    nothing = spark.createDataFrame([], "value string")
-    normalized = normalize(nothing, resource, catalog)
-    stamp = T.StructField("updated_date", T.TimestampType())
-    schemas = {resource.lower(): T.StructType([*resource_table(normalized).schema.fields, stamp])}
-    for table in SHARED_TABLES:
-        if f"{table}_rows" in normalized.columns:
-            fields = shared_table(normalized, table).schema.fields
-            schemas[f"{resource.lower()}_{table}"] = T.StructType([*fields, stamp])
-    return schemas
+    @cached_property
+    def schemas(self) -> dict[str, T.StructType]:
+        """Schemas of the tables the resource type is loaded into."""
+        nothing = self.tables.spark.createDataFrame([], "value string")
+        normalized = normalize(nothing, self.resource, self.catalog)
+        stamp = T.StructField("updated_date", T.TimestampType())
+        schemas = {self.table: T.StructType([*resource_table(normalized).schema.fields, stamp])}
+        for shared in SHARED_TABLES:
+            if f"{shared}_rows" in normalized.columns:
+                fields = shared_table(normalized, shared).schema.fields
+                schemas[self.shared_name(shared)] = T.StructType([*fields, stamp])
+        return schemas
 
+    def read(self, table: str) -> DataFrame:
+        """Published rows of one of the tables."""
+        return self.tables.read(table, self.schemas[table])
 
-def classified_documents(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) -> DataFrame:
+
+def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> DataFrame:
     """Incoming lines (value, url) with their operation against the published state."""
-    resource = run.resource
     with_text = lines.select("url", F.col("value").alias("document"), "value")
-    parsed = parse_documents(with_text, resource, run.catalog, ["meta", "identifier"])
+    parsed = parse_documents(with_text, run.resource, run.catalog, ["meta", "identifier"])
     incoming = changes.file_ids(changes.incoming_versions(parsed, run.default_source)).withColumns(
-        {"resource_type": F.lit(resource), "pipeline_type": F.lit(run.pipeline_type)}
+        {"resource_type": F.lit(run.resource), "pipeline_type": F.lit(run.pipeline_type)}
+    )
+    stored = run.tables.read(run.table, run.schemas[run.table], snapshot=snapshot)
+    # A type without one of the shared tables has size 0 there.
+    missing = {c: F.lit(0) for c in changes.SIZE_COLUMNS if c not in stored.columns}
+    version = changes.version_id(F.col("meta_versionid"))
+    joined = changes.with_stored(
+        incoming, stored.withColumns({**missing, "meta_versionid": version})
     )
-    schema = table_schemas(spark, resource, run.catalog)[resource.lower()]
-    stored = run.tables.read(resource.lower(), schema, before=version)
-    state = stored.withColumn("meta_versionid", changes.version_id(F.col("meta_versionid")))
-    joined = changes.with_stored(incoming, with_sizes(state))
     return changes.classify_events(joined) if run.by_event else changes.classify(joined)
 
 
-def with_sizes(state: DataFrame) -> DataFrame:
-    """State with all size columns; a type without a shared table has size 0 there."""
-    missing = [c for c in changes.SIZE_COLUMNS if c not in state.columns]
-    return state.withColumns({c: F.lit(0) for c in missing})
-
-
 def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) -> DataFrame:
     """Load one batch and publish it; returns its audit rows.
 
     Classified documents and normalized rows are each written once to the shared folder, so
-    the four tables neither parse again nor depend on the executors that parsed.
+    the four tables neither parse again nor depend on the executors that parsed. The tables
+    are written at the same time and published together.
     """
-    name, at = run.resource.lower(), f"{run.work}/{version}"
-    classified_documents(spark, lines, run, version).write.mode("overwrite").parquet(f"{at}/in")
+    at, before = f"{run.work}/{version}", run.tables.snapshot(before=version)
+    classified_documents(lines, run, before).write.mode("overwrite").parquet(f"{at}/in")
     classified = spark.read.parquet(f"{at}/in")
     newest = changes.newest_versions(changes.changed_rows(classified))
-    normalize(
-        newest.select(F.col("document").alias("value")), run.resource, run.catalog
-    ).write.mode("overwrite").parquet(f"{at}/rows")
+    documents = newest.select(F.col("document").alias("value"))
+    normalize(documents, run.resource, run.catalog).write.mode("overwrite").parquet(f"{at}/rows")
     normalized = spark.read.parquet(f"{at}/rows")
 
     buckets = run.tables.touched(normalized)
     if buckets:
-        schemas = table_schemas(spark, run.resource, run.catalog)
-        touched = {}
-        for table, schema in schemas.items():
-            if table == name:
+        replaced = load.updated_ids(classified).distinct()
+
+        def write(table: str) -> None:
+            if table == run.table:
                 rows = load.stamped(resource_table(normalized), run.as_of)
+                batch = rows.withColumn("__seq", F.lit(1))
 
-                def change(state, rows=rows):
-                    return load.apply_changes(state, rows.withColumn("__seq", F.lit(1)), ["id"])
+                def change(state: DataFrame) -> DataFrame:
+                    return load.apply_changes(state, batch, ["id"])
             else:
-                shared = table.removeprefix(f"{name}_")
+                shared = table.removeprefix(f"{run.table}_")
                 rows = load.stamped(shared_table(normalized, shared), run.as_of).drop("__op")
 
-                def change(state, rows=rows):
-                    old = state.join(load.updated_ids(classified).distinct(), "id", "left_anti")
-                    return old.unionByName(rows)
+                def change(state: DataFrame) -> DataFrame:
+                    return state.join(replaced, "id", "left_anti").unionByName(rows)
+
+            run.tables.rewrite(table, run.schemas[table], buckets, version, change, before)
 
-            run.tables.rewrite(table, schema, buckets, version, change)
-            touched[table] = buckets
-        run.tables.publish(version, touched)
+        with ThreadPoolExecutor(len(run.schemas)) as pool:
+            list(pool.map(write, run.schemas))
+    run.tables.publish(version, {table: buckets for table in run.schemas})
     return changes.audit_rows(classified)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,8 +129,8 @@ FIRST_VALUES = [
 def lineage_stream(messages: DataFrame, tables: TableSet, work: str) -> None:
     """Keep one row per file from the halves of its lineage, in whatever order they come.
 
-    A half that came alone waits in the same table; it is complete once `pipeline_type`
-    and `is_inserted` are both known. Only the buckets of the files at hand are rewritten.
+    A half that came alone waits in the same table until the other one is there; see
+    `lineage_state`. Only the buckets of the files at hand are rewritten.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -159,7 +159,7 @@ def merge_state(state: DataFrame, halves: DataFrame) -> DataFrame:
     is_first = F.col("pipeline_type").isNotNull()
     is_second = F.col("is_inserted").isNotNull()
 
-    def newest(columns: list[str], present) -> F.Column:
+    def newest(columns: list[str], present: Column) -> Column:
         return F.max(F.when(present, F.struct("_order", *columns)))
 
     merged = everything.groupBy("filepath_id").agg(
@@ -178,6 +178,16 @@ def merge_state(state: DataFrame, halves: DataFrame) -> DataFrame:
     )
 
 
+def lineage_state() -> Column:
+    """complete with both halves, open without an outcome, waiting without the file itself."""
+    return (
+        F.when(F.col("pipeline_type").isNull(), "waiting")
+        .when(F.col("is_inserted").isNull(), "open")
+        .otherwise("complete")
+        .alias("state")
+    )
+
+
 def redelivery_stream(messages: DataFrame, work: str, now: Callable[[int], str]) -> None:
     """Deliver messages once they are due; the others wait and are looked at again.
 

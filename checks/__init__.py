@@ -11,6 +11,7 @@ from checks import (  # noqa: F401
     planning,
     schema,
     sources,
+    streams,
 )
 from checks.base import ORACLES, QUERIES
 

@@ -1 +1,173 @@
-"""."""
+"""Streaming jobs, drained and compared with what a batch would give."""
+
+from pyspark.sql import functions as F
+
+from chartloom.operators.published import TableSet
+from chartloom.plans.ingest import Ingest
+from chartloom.session import work_dir
+from chartloom.sources.shaped import documents, table
+from chartloom.streaming import jobs
+from checks.base import AS_OF, CATALOG, check, uuid5_sql
+
+
+def patient_run(spark, work, by_event=False):
+    tables = TableSet(spark, f"{work}/tables", buckets=8)
+    return Ingest("Patient", CATALOG, tables, f"{work}/runs", AS_OF, by_event=by_event)
+
+
+@check(
+    "stream_ingest",
+    """
+    -- Every patient comes twice: first as version 1, then as its real version.
+    SELECT 'pat-' || c_custkey AS id, CAST(1 + c_custkey % 3 AS VARCHAR) AS meta_versionid,
+           CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender,
+           CASE WHEN c_custkey % 3 = 0 THEN 'first' ELSE 'second' END AS practitioner_row,
+           CASE WHEN c_custkey % 3 = 0 THEN 'duplicate' ELSE 'update' END AS last_operation
+    FROM customer WHERE c_custkey % 50 <> 0
+    """,
+)
+def stream_ingest(spark, sf_dir):
+    work = work_dir(spark, "ingest")
+    run = patient_run(spark, work)
+    docs = documents(spark, sf_dir, "Patient", ("k",)).where("k % 50 <> 0")
+    first = r"""replace(regexp_replace(value, '"versionId":"\\d+"', '"versionId":"1"'),
+                '"display":"Dr ', '"type":"first","display":"Dr ') AS value"""
+    for name, text in (("a", first), ("b", "value")):
+        docs.selectExpr(text).write.mode("append").text(f"{work}/stage/{name}")
+        lines = jobs.line_stream(spark, f"{work}/stage")
+        jobs.ingest_stream(spark, lines, run, work)
+    patients = run.read("patient")
+    references = run.read("patient_reference").where(
+        "field_name = 'generalpractitioner' AND seq_no = 0"
+    )
+    audit = spark.read.option("basePath", f"{work}/audit").parquet(f"{work}/audit")
+    last = audit.groupBy(F.col("resource_id").alias("id")).agg(
+        F.max_by("operation", "batch").alias("last_operation")
+    )
+    marked = references.select("id", F.coalesce("type", F.lit("second")).alias("practitioner_row"))
+    wide = patients.select("id", "meta_versionid", "gender")
+    return wide.join(marked, "id").join(last, "id")
+
+
+@check(
+    "stream_events",
+    f"""
+    WITH wanted AS (SELECT DISTINCT user_id FROM events WHERE event_id % 13 <> 0)
+    SELECT 'pat-' || c_custkey AS id, c_acctbal >= 0 AS active, 'new' AS operation,
+           {uuid5_sql("('pat-' || c_custkey || CASE WHEN c_custkey % 50 = 0 THEN 0 ELSE 1 + c_custkey % 3 END)")}
+             AS filepath_id
+    FROM customer JOIN wanted ON user_id = c_custkey
+    """,
+)
+def stream_events(spark, sf_dir):
+    work = work_dir(spark, "events")
+    run = patient_run(spark, work, by_event=True)
+    events = jobs.table_stream(spark, sf_dir, "events").selectExpr(
+        "concat('host/fhir/', if(event_id % 13 = 0, 'Group', 'Patient'), '/pat-', user_id) AS subject",
+        "'ResourceCreated' AS eventType",
+    )
+    docs = documents(spark, sf_dir, "Patient", ("k",))
+    served = docs.selectExpr("concat('pat-', k) AS id", "value")
+    jobs.event_stream(spark, events, served, run, work)
+    loaded = run.read("patient")
+    audit = spark.read.parquet(f"{work}/audit").selectExpr("resource_id AS id", "operation", "filepath_id")
+    return loaded.select("id", "active").join(audit, "id")
+
+
+@check(
+    "stream_audit_flush",
+    """
+    SELECT CASE WHEN event_id % 3 = 0 THEN 'audit' WHEN event_id % 2 = 0 THEN 'lineage_first'
+                ELSE 'lineage_second' END AS route,
+           count(*) AS messages, min(event_id) AS first_id, max(event_id) AS last_id
+    FROM events GROUP BY 1
+    """,
+)
+def stream_audit_flush(spark, sf_dir):
+    work = work_dir(spark, "flush")
+    messages = jobs.table_stream(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "if(event_id % 3 = 0, 'fhir_audit', 'fhir_lineage') AS table_name",
+        "if(event_id % 2 = 0, 'batch-load-exporter', null) AS pipeline_type",
+    )
+    jobs.audit_flush_stream(messages, work, AS_OF)
+    flushed = spark.read.parquet(f"{work}/flushed")
+    return flushed.groupBy("route").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"),
+    )
+
+
+@check(
+    "stream_lineage_join",
+    """
+    SELECT 'file-' || o_orderkey AS filepath_id,
+           CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 100 AS INTEGER) END AS record_count,
+           CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 2 = 0 END AS is_inserted,
+           CASE WHEN o_orderkey % 3 = 0 THEN '603' END AS error_code,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'waiting' WHEN o_orderkey % 3 <> 0 THEN 'open'
+                ELSE 'complete' END AS state
+    FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 3 = 0
+    """,
+)
+def stream_lineage_join(spark, sf_dir):
+    work = work_dir(spark, "lineage")
+    tables = TableSet(spark, f"{work}/tables", key="filepath_id", buckets=8)
+    orders = jobs.table_stream(spark, sf_dir, "orders")
+    # An order stands for a file. Its outcome is reported before the file itself.
+    halves = orders.selectExpr(
+        "o_orderkey",
+        """explode(filter(array(
+             if(o_orderkey % 3 = 0, 'second', null), if(o_orderkey % 7 <> 0, 'first', null)),
+             h -> h is not null)) AS half""",
+    )
+    messages = halves.selectExpr(
+        "concat('file-', o_orderkey) AS filepath_id",
+        "o_orderkey * 2 + int(half = 'first') AS message_no",
+        "if(half = 'first', int(o_orderkey % 100), null) AS record_count",
+        "if(half = 'first', 'batch-load-exporter', null) AS pipeline_type",
+        "if(half = 'second', o_orderkey % 2 = 0, null) AS is_inserted",
+        "if(half = 'second', '603', null) AS error_code",
+    )
+    jobs.lineage_stream(messages, tables, work)
+    state = tables.read("lineage", jobs.LINEAGE_STATE)
+    return state.select("filepath_id", "record_count", "is_inserted", "error_code", jobs.lineage_state())
+
+
+@check(
+    "stream_redelivery",
+    """
+    SELECT event_id, CASE WHEN ts + to_minutes(CAST(event_id % 4 * 1440 AS INTEGER))
+                               <= TIMESTAMP '2024-01-20' THEN 'due' ELSE 'waiting' END AS state
+    FROM events
+    """,
+)
+def stream_redelivery(spark, sf_dir):
+    work = work_dir(spark, "redelivery")
+    messages = jobs.table_stream(spark, sf_dir, "events").selectExpr(
+        "event_id", "cast(ts AS timestamp) + make_dt_interval(int(event_id % 4)) AS not_before"
+    )
+    jobs.redelivery_stream(messages, work, lambda number: "2024-01-20 00:00:00")
+    return spark.read.parquet(f"{work}/messages").select("event_id", "state")
+
+
+@check(
+    "stream_latest_version",
+    """
+    SELECT 'user-' || user_id AS id, CAST(max(event_id % 50) AS INTEGER) AS meta_versionid,
+           arg_max(event_id, (event_id % 50) * 1000000000 + event_id) AS payload
+    FROM events GROUP BY user_id
+    """,
+)
+def stream_latest_version(spark, sf_dir):
+    work = work_dir(spark, "latest")
+    tables = TableSet(spark, f"{work}/tables", buckets=8)
+    versions = jobs.table_stream(spark, sf_dir, "events").selectExpr(
+        "concat('user-', user_id) AS id",
+        "int(event_id % 50) AS meta_versionid",
+        "ts AS meta_lastupdated",
+        "event_id AS payload",
+    )
+    jobs.latest_version_stream(versions, tables, "newest", versions.schema, work)
+    return tables.read("newest", versions.schema).drop("meta_lastupdated")
