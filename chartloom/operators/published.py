@@ -77,8 +77,11 @@ class TableSet:
                 by_version.setdefault(version, []).append(bucket)
         if not by_version:
             return self.spark.createDataFrame([], schema)
-        stored = T.StructType(schema.fields)
-        stored.add("batch_no", T.LongType()).add("bucket_no", T.IntegerType())
+        partition = [
+            T.StructField("batch_no", T.LongType()),
+            T.StructField("bucket_no", T.IntegerType()),
+        ]
+        stored = T.StructType([*schema.fields, *partition])
         chosen = [
             (F.col("batch_no") == version) & F.col("bucket_no").isin(buckets)
             for version, buckets in by_version.items()

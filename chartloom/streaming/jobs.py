@@ -198,7 +198,9 @@ def redelivery_stream(messages: DataFrame, work: str, now: Callable[[int], str])
         pending = batch
         if number:
             left = (
-                batch.sparkSession.read.schema(T.StructType(batch.schema.fields).add("state", T.StringType()))
+                batch.sparkSession.read.schema(
+                    T.StructType([*batch.schema.fields, T.StructField("state", T.StringType())])
+                )
                 .parquet(_batch_folder(f"{work}/messages", number - 1))
                 .where(F.col("state") == "waiting")
                 .drop("state")

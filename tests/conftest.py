@@ -1,7 +1,9 @@
+import json
 import os
 
 import pytest
 
+from chartloom.catalog import Catalog
 from chartloom.session import build_session
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -14,6 +16,7 @@ def spark():
         "local[8]",
         **{
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
         },
@@ -26,3 +29,20 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def catalog():
+    return Catalog.builtin()
+
+
+@pytest.fixture
+def lines(spark):
+    """Documents given as dicts or texts, as a frame with a `value` column."""
+
+    def make(*documents, **columns):
+        texts = [d if isinstance(d, str) else json.dumps(d) for d in documents]
+        rows = [(text, *columns.values()) for text in texts]
+        return spark.createDataFrame(rows, ["value", *columns])
+
+    return make
