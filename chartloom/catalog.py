@@ -261,13 +261,17 @@ class Catalog:
         return element.fhir_type[:1].islower()
 
     def rows(self, spark: SparkSession, children: bool = False) -> DataFrame:
-        """The catalogue, or its data types, as rows (resource, element, fhir_type, is_array)."""
+        """The catalogue, or its data types, as rows (resource, element, fhir_type, is_array).
+
+        Literal rows, so that Spark knows their size when it plans a join with them.
+        """
         source = self.datatypes if children else self.resources
-        listed = [
-            (e.owner, e.name, e.fhir_type, e.repeats) for group in source.values() for e in group
-        ]
-        schema = "resource string, element string, fhir_type string, is_array boolean"
-        return spark.createDataFrame(listed, schema)
+        listed = ", ".join(
+            f"('{e.owner}', '{e.name}', '{e.fhir_type}', {str(e.repeats).lower()})"
+            for group in source.values()
+            for e in group
+        )
+        return spark.sql(f"SELECT * FROM VALUES {listed} AS t(resource, element, fhir_type, is_array)")
 
     # --- schemas for parsing ----------------------------------------------------------
 

@@ -20,11 +20,14 @@ def chosen_elements(resource: str, catalog: Catalog, only: list[str] | None) ->
 def parse_documents(
     lines: DataFrame, resource: str, catalog: Catalog, only: list[str] | None = None
 ) -> DataFrame:
-    """Parse the `value` column once; other columns stay. `only` prunes the parsed elements."""
+    """Parse the `value` column once; other columns stay. `only` prunes the parsed elements.
+
+    Written as a generator of one row, because the optimizer copies the expression behind a
+    plain column into every filter and join condition on it, and would parse again there.
+    """
     schema = catalog.struct_type(resource, only)
     kept = [c for c in lines.columns if c != "value"]
-    parsed = lines.select(*kept, F.from_json("value", schema).alias("doc"))
-    return parsed.select(*kept, "doc.*")
+    return lines.select(*kept, F.inline(F.array(F.from_json("value", schema))))
 
 
 def any_present(names: list[str]) -> str:

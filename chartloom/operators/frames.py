@@ -79,7 +79,7 @@ def dense_positions(
     )
 
 
-def hash_chunk(column: str, chunks: int = 1024) -> Column:
+def hash_chunk(column: str, chunks: int) -> Column:
     """Piece number for rows whose order inside a group does not matter."""
     return F.pmod(F.xxhash64(column), F.lit(chunks))
 

@@ -47,11 +47,15 @@ def batch_ids(rows: DataFrame, file_name: str = "file_name") -> DataFrame:
 
 
 def apply_changes(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Keyed table after a batch: per key the last row wins, and a delete removes it."""
-    current = state.withColumns({"__op": F.lit(UPSERT), "__seq": F.lit(-1)})
-    merged = current.unionByName(batch, allowMissingColumns=True)
-    last = latest_per_key(merged, keys, [F.col("__seq").desc()])
-    return last.where(F.col("__op") == UPSERT).drop("__op", "__seq")
+    """Keyed table after a batch: per key the last row wins, and a delete removes it.
+
+    Only the batch is sorted. The stored rows pass an anti join on its keys, which needs no
+    shuffle of the table as long as the keys of the batch are small enough to broadcast.
+    """
+    last = latest_per_key(batch, keys, [F.col("__seq").desc()])
+    kept = state.join(last.select(*keys), keys, "left_anti")
+    written = last.where(F.col("__op") == UPSERT).drop("__op", "__seq")
+    return kept.unionByName(written, allowMissingColumns=True).select(*state.columns)
 
 
 def replace_shared_rows(

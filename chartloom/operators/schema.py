@@ -17,9 +17,10 @@ SHARED = ("CodeableConcept", "Coding", "Reference", "Identifier")
 def element_catalog(documents: DataFrame) -> DataFrame:
     """Rows (resource, element, fhir_type, is_array) from JSON-schema texts in `value`."""
     parsed = documents.select(F.from_json("value", DEFINITIONS)["definitions"].alias("definitions"))
-    definitions = parsed.select(F.explode("definitions").alias("resource", "definition"))
+    # The outer form keeps the optimizer from parsing again for a size check.
+    definitions = parsed.select(F.explode_outer("definitions").alias("resource", "definition"))
     elements = definitions.select(
-        "resource", F.explode("definition.properties").alias("element", "spec")
+        "resource", F.explode_outer("definition.properties").alias("element", "spec")
     ).where(~F.col("element").isin(*IGNORED_ELEMENTS) & ~F.col("element").startswith("_"))
     target = F.coalesce(F.col("spec.$ref"), F.col("spec.items.$ref"))
     enum = F.col("spec.enum").isNotNull() | F.col("spec.items.enum").isNotNull()

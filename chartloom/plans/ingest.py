@@ -56,13 +56,18 @@ class Ingest:
 
 
 def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> DataFrame:
-    """Incoming lines (value, url) with their operation against the published state."""
+    """Incoming lines (value, url) with their operation against the published state.
+
+    Only the buckets the incoming ids fall into are read.
+    """
+    ids = parse_documents(lines.select("value"), run.resource, run.catalog, [])
     with_text = lines.select("url", F.col("value").alias("document"), "value")
     parsed = parse_documents(with_text, run.resource, run.catalog, ["meta", "identifier"])
     incoming = changes.file_ids(changes.incoming_versions(parsed, run.default_source)).withColumns(
         {"resource_type": F.lit(run.resource), "pipeline_type": F.lit(run.pipeline_type)}
     )
-    stored = run.tables.read(run.table, run.schemas[run.table], snapshot=snapshot)
+    buckets = run.tables.touched(ids)
+    stored = run.tables.read(run.table, run.schemas[run.table], buckets, snapshot)
     # A type without one of the shared tables has size 0 there.
     missing = {c: F.lit(0) for c in changes.SIZE_COLUMNS if c not in stored.columns}
     version = changes.version_id(F.col("meta_versionid"))

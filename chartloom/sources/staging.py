@@ -12,10 +12,17 @@ PAGE_SIZE = 1000
 
 
 def assign_pages(
-    documents: DataFrame, group: list[str], key: str, page_size: int = PAGE_SIZE
+    documents: DataFrame,
+    group: list[str],
+    key: str,
+    page_size: int = PAGE_SIZE,
+    chunks: int = 1024,
 ) -> DataFrame:
-    """Spread the rows of every group over pages of at most `page_size` rows, from page 1."""
-    numbered = dense_positions(documents, group, ["_chunk", key], hash_chunk(key))
+    """Spread the rows of every group over pages of at most `page_size` rows, from page 1.
+
+    `chunks` is the number of pieces a group is numbered in; take more for larger groups.
+    """
+    numbered = dense_positions(documents, group, [key], hash_chunk(key, chunks))
     return numbered.withColumn(
         "page", F.floor((F.col("position") - 1) / page_size).cast("int") + 1
     ).drop("position")

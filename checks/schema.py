@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from chartloom.operators import schema
-from chartloom.sources.shaped import table
+from chartloom.sources.shaped import spread, table
 from checks.base import AS_OF, CATALOG, check
 
 # One definition per part. Its `kind` element takes a different type by part size.
@@ -14,7 +14,7 @@ KIND_SQL = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
 def schema_documents(spark, sf_dir):
     kinds = ", ".join(f"'{k}'" for k in KINDS)
     ref = '"$ref":"#/definitions/'
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part"), "p_partkey").selectExpr(
         f"""concat('{{"definitions":{{"Part', p_partkey, '":{{"properties":{{',
           '"resourceType":{{"const":"x"}},',
           '"kind":{{{ref}', element_at(array({kinds}), int(1 + p_size % 8)), '"}},',

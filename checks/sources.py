@@ -98,10 +98,11 @@ def bundle_explode(spark, sf_dir):
 def stage_ndjson(spark, sf_dir):
     folder = work_dir(spark, "stage")
     kinds = ("Patient", "Observation")
-    docs = [documents(spark, sf_dir, r).withColumn("resource_type", F.lit(r)) for r in kinds]
-    lines = docs[0].unionByName(docs[1]).withColumns(
-        {"id": F.get_json_object("value", "$.id"), "folder": F.lit("batch-load/20240201T0000")}
-    )
+    docs = [
+        documents(spark, sf_dir, r, ("string(k) AS id",)).withColumn("resource_type", F.lit(r))
+        for r in kinds
+    ]
+    lines = docs[0].unionByName(docs[1]).withColumn("folder", F.lit("batch-load/20240201T0000"))
     staging.write_pages(staging.assign_pages(lines, ["folder", "resource_type"], "id"), folder)
     back = spark.read.schema("value string, folder string, resource_type string, page int").text(folder)
     return back.groupBy("resource_type", "page").agg(
