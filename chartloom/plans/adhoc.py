@@ -6,30 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.catalog import SHARED_TABLES, Catalog
+from chartloom.operators.frames import union_frames
 from chartloom.operators.shared import normalize, resource_table, shared_table
 
 
 def register_views(
-    spark: SparkSession, documents: dict[str, DataFrame], catalog: Catalog
+    spark: SparkSession,
+    documents: dict[str, DataFrame],
+    catalog: Catalog,
+    only: dict[str, list[str]] | None = None,
 ) -> None:
     """Views over documents by resource type, plus the shared tables of all of them.
 
-    A view is a plan: a query parses only for the tables it names.
+    A view is a plan: a query parses only for the tables it names. `only` lists the elements
+    the queries need, by resource type, so that the others are skipped in parsing.
     """
     shared: dict[str, list[DataFrame]] = {table: [] for table in SHARED_TABLES}
     for resource, lines in documents.items():
-        wide = normalize(lines, resource, catalog)
+        chosen = (only or {}).get(resource)
+        wide = normalize(lines, resource, catalog, chosen)
         resource_table(wide).createOrReplaceTempView(resource.lower())
         for table in SHARED_TABLES:
-            elements = [e.name for e in catalog.of_shape(resource, table)]
+            elements = [
+                e.name
+                for e in catalog.of_shape(resource, table)
+                if chosen is None or e.name in chosen
+            ]
             if elements:
                 rows = normalize(lines, resource, catalog, elements, (table,))
                 shared[table].append(shared_table(rows, table))
     for table, parts in shared.items():
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        rows.createOrReplaceTempView(table)
+        rows = union_frames(None, parts)
+        if rows is not None:
+            rows.createOrReplaceTempView(table)
 
 
 PATIENT_DEMOGRAPHICS = """

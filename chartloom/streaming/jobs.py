@@ -24,14 +24,14 @@ FILES_PER_BATCH = 1000
 def table_stream(
     spark: SparkSession, folder: str, name: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream over the Parquet files of a table, arriving files included."""
+    """Stream over the Parquet files of a table, arriving files included.
+
+    A stream wants a folder, but a table may be one file. Written as a pattern, the same
+    path stands for either.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}*.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{name}[.]parquet")
 
 
 def line_stream(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:

@@ -6,11 +6,11 @@ from chartloom.plans import adhoc
 from chartloom.sources.shaped import documents, table
 from checks.base import CATALOG, check
 
-RESOURCES = ("Patient", "Observation", "Condition", "Encounter")
 
-
-def views(spark, sf_dir, resources):
-    adhoc.register_views(spark, {r: documents(spark, sf_dir, r) for r in resources}, CATALOG)
+def views(spark, sf_dir, **elements):
+    """Views of the named resource types, with the elements the query at hand needs."""
+    docs = {resource: documents(spark, sf_dir, resource) for resource in elements}
+    adhoc.register_views(spark, docs, CATALOG, elements)
 
 
 @check(
@@ -22,7 +22,7 @@ def views(spark, sf_dir, resources):
     """,
 )
 def sql_patient_demographics(spark, sf_dir):
-    views(spark, sf_dir, ["Patient"])
+    views(spark, sf_dir, Patient=["gender", "birthDate", "name"])
     rows = spark.sql(adhoc.PATIENT_DEMOGRAPHICS.format(limit=5))
     return rows.select("id", "gender", F.array_join("name_family", ",", "-").alias("families"))
 
@@ -36,7 +36,7 @@ def sql_patient_demographics(spark, sf_dir):
     """,
 )
 def sql_observation_units(spark, sf_dir):
-    views(spark, sf_dir, ["Observation"])
+    views(spark, sf_dir, Observation=["valueQuantity", "code"])
     rows = spark.sql(adhoc.OBSERVATION_UNITS)
     return rows.withColumn("valuequantity_value", F.col("valuequantity_value").cast("double"))
 
@@ -49,7 +49,7 @@ def sql_observation_units(spark, sf_dir):
     """,
 )
 def sql_condition_codes(spark, sf_dir):
-    views(spark, sf_dir, ["Condition"])
+    views(spark, sf_dir, Condition=["code"])
     return spark.sql(adhoc.CONDITION_CODES.format(limit=10))
 
 
@@ -61,7 +61,7 @@ def sql_condition_codes(spark, sf_dir):
     """,
 )
 def sql_obs_per_patient(spark, sf_dir):
-    views(spark, sf_dir, ["Observation"])
+    views(spark, sf_dir, Observation=["subject"])
     return spark.sql(adhoc.OBSERVATIONS_PER_PATIENT.format(limit=10))
 
 
@@ -77,8 +77,9 @@ def sql_obs_per_patient(spark, sf_dir):
     """,
 )
 def sql_table_count(spark, sf_dir):
-    views(spark, sf_dir, RESOURCES)
-    names = [r.lower() for r in RESOURCES] + ["identifier"]
+    kept = ["identifier"]
+    views(spark, sf_dir, Patient=kept, Encounter=kept, Observation=[], Condition=[])
+    names = ["patient", "encounter", "observation", "condition", "identifier"]
     counts = [f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in names]
     return spark.sql(" UNION ALL ".join(counts))
 

@@ -202,3 +202,16 @@ def test_disposition_counts_and_flags(spark):
         ("failure_area", 3, None),
         ("parameter_queue", 1, False),
     ]
+
+
+def test_a_table_streams_from_one_file_or_from_a_folder(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(3, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    for folder, batches in ((sf_dir, 1), (str(tmp_path), 3)):
+        counts = []
+        jobs.drain(
+            jobs.table_stream(spark, folder, "events", 1),
+            work_dir(spark, "files"),
+            lambda batch, number, counts=counts: counts.append(batch.count()),
+        )
+        assert len(counts) == batches and sum(counts) == events.count()
