@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,11 +22,13 @@ def _text(value: Column) -> Column:
 
 
 def _path_value(extension: Column, path: str) -> Column:
-    """JSON text at a dotted path. A list on the way stands for its entries' values."""
-    steps = path.split(".")
-    plain = F.get_json_object(extension, "$." + ".".join(steps))
-    through_lists = F.get_json_object(extension, "$." + "[*].".join(steps))
-    return F.coalesce(plain, through_lists)
+    """JSON text at a dotted path. A list on the way stands for its entries' values.
+
+    Any step but the last may meet an object or a list, so every combination is tried.
+    """
+    *inner, last = path.split(".")
+    ways = product(*[(step, f"{step}[*]") for step in inner])
+    return F.coalesce(*[F.get_json_object(extension, ".".join(["$", *way, last])) for way in ways])
 
 
 def extension_display(extensions: Column, urls: list[str], paths: list[str]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.catalog import SHARED_TABLES
 from chartloom.functions.keys import batch_file_id, event_file_id
@@ -40,11 +41,12 @@ def is_resource_type(name: Column) -> Column:
 def incoming_versions(parsed: DataFrame, default_source: str) -> DataFrame:
     """Id, version, update time and source of parsed documents, with the carried columns."""
     carried = [c for c in parsed.columns if c not in ("id", "meta", "identifier")]
-    source = (
-        identifier_source(F.col("identifier"), default_source)
-        if "identifier" in parsed.columns
-        else F.lit(default_source)
-    )
+    source = F.lit(default_source)
+    if "identifier" in parsed.columns:
+        # Some types have one identifier instead of a list.
+        single = isinstance(parsed.schema["identifier"].dataType, T.StructType)
+        identifiers = F.array("identifier") if single else F.col("identifier")
+        source = identifier_source(identifiers, default_source)
     return parsed.select(
         "id",
         version_id(F.col("meta.versionId")).alias("meta_versionid"),
@@ -55,14 +57,20 @@ def incoming_versions(parsed: DataFrame, default_source: str) -> DataFrame:
 
 
 def file_ids(rows: DataFrame) -> DataFrame:
-    """Add `filepath_id`: per resource and version below event folders, else per file."""
-    event = F.contains("url", F.lit(EVENT_MARK))
-    return rows.withColumn(
-        "filepath_id",
-        F.when(event, event_file_id(F.col("id"), F.col("meta_versionid"))).otherwise(
-            batch_file_id(F.col("url"))
-        ),
-    )
+    """Add `filepath_id`: per resource and version below event folders, else per file.
+
+    An id that came with the rows is kept.
+    """
+    made = F.when(
+        from_event(), event_file_id(F.col("id"), F.col("meta_versionid"))
+    ).otherwise(batch_file_id(F.col("url")))
+    given = [F.col("filepath_id")] if "filepath_id" in rows.columns else []
+    return rows.withColumn("filepath_id", F.coalesce(*given, made))
+
+
+def from_event() -> Column:
+    """Whether a row's file was staged by the event exporter."""
+    return F.coalesce(F.contains("url", F.lit(EVENT_MARK)), F.lit(False))
 
 
 def newest_versions(rows: DataFrame) -> DataFrame:
@@ -102,12 +110,11 @@ def classify(joined: DataFrame) -> DataFrame:
     )
 
 
-def classify_events(joined: DataFrame) -> DataFrame:
-    """As `classify`, but the first version of a resource is new without looking."""
+def classify_by_file(joined: DataFrame) -> DataFrame:
+    """As `classify`, but the first version of a resource from an event is always new."""
     looked_up = operation_of(F.col("meta_versionid_db"), F.col("meta_versionid"))
-    return joined.withColumn(
-        "operation", F.when(F.col("meta_versionid") == 1, NEW).otherwise(looked_up)
-    )
+    first = from_event() & (F.col("meta_versionid") == 1)
+    return joined.withColumn("operation", F.when(first, NEW).otherwise(looked_up))
 
 
 def changed_rows(classified: DataFrame) -> DataFrame:

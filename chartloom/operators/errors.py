@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.operators.frames import dense_positions
+from chartloom.sources.staging import stage_file_name, stored_path
 
 # Codes of the ingesting side.
 READ_FAILED, SHAPE_FAILED, INSERT_FAILED, UNEXPECTED = "601", "602", "603", "699"
@@ -103,8 +104,9 @@ def without_code(path: Column) -> Column:
     return F.regexp_replace(path, r"^\d{3}(/|$)", "")
 
 
-def reject_path(code: Column, path: Column) -> Column:
-    return F.concat_ws("/", code, without_code(path))
+def reject_location(code: Column, url: Column) -> Column:
+    """Where a failed file is kept: its stored path below the new code."""
+    return F.concat_ws("/", code, without_code(stored_path(url)))
 
 
 def retry_eligible(messages: DataFrame) -> DataFrame:
@@ -114,13 +116,22 @@ def retry_eligible(messages: DataFrame) -> DataFrame:
     return messages.where(F.col("error_code").isin(*RETRYABLE) & (dashes == 1))
 
 
-def retry_split(records: DataFrame, order: str, rows_per_chunk: int = 100_000) -> DataFrame:
-    """One file per record of a failed file, numbered from 1 in file order."""
+def retry_split(
+    records: DataFrame, order: str, base_url: str, rows_per_chunk: int = 100_000
+) -> DataFrame:
+    """One file per record of a failed file, numbered from 1 in file order.
+
+    `record_url` is where that file is staged: below the folder the failed file came from.
+    """
     chunk = F.floor(F.col(order) / rows_per_chunk)
     numbered = dense_positions(records, ["url"], [order], chunk, "record_no")
-    base = F.regexp_replace(F.substring_index("url", "/", -1), r"\.ndjson$", "")
-    return numbered.withColumn(
-        "record_file", F.concat(base, F.lit("-"), F.col("record_no").cast("string"), F.lit(".ndjson"))
+    # A folder name may hold several levels, joined by `_`.
+    parts = F.split(F.translate(stage_file_name(F.col("url")), "_", "/"), "/")
+    folder = F.array_join(F.slice(parts, F.lit(1), F.lit(2)), "/")
+    base = F.regexp_replace(F.element_at(parts, -1), r"\.ndjson$", "")
+    name = F.concat(base, F.lit("-"), F.col("record_no").cast("string"), F.lit(".ndjson"))
+    return numbered.withColumns(
+        {"record_file": name, "record_url": F.concat_ws("/", F.lit(base_url), folder, name)}
     )
 
 

@@ -28,7 +28,6 @@ class Ingest:
     as_of: str
     default_source: str = "default"
     pipeline_type: str = "core-data-ingester"
-    by_event: bool = False
 
     @property
     def table(self) -> str:
@@ -58,10 +57,10 @@ class Ingest:
 def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> DataFrame:
     """Incoming lines (value, url) with their operation against the published state.
 
-    Only the buckets the incoming ids fall into are read.
+    Further columns of the lines, such as a `filepath_id` given with the file, stay. Only the buckets the incoming ids fall into are read.
     """
     ids = parse_documents(lines.select("value"), run.resource, run.catalog, [])
-    with_text = lines.select("url", F.col("value").alias("document"), "value")
+    with_text = lines.withColumn("document", F.col("value"))
     parsed = parse_documents(with_text, run.resource, run.catalog, ["meta", "identifier"])
     incoming = changes.file_ids(changes.incoming_versions(parsed, run.default_source)).withColumns(
         {"resource_type": F.lit(run.resource), "pipeline_type": F.lit(run.pipeline_type)}
@@ -74,7 +73,7 @@ def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> D
     joined = changes.with_stored(
         incoming, stored.withColumns({**missing, "meta_versionid": version})
     )
-    return changes.classify_events(joined) if run.by_event else changes.classify(joined)
+    return changes.classify_by_file(joined)
 
 
 def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) -> DataFrame:

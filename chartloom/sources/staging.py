@@ -76,6 +76,12 @@ def stage_resource_type(url: Column) -> Column:
     return F.substring_index(F.substring_index(url, "/", -1), "-", 1)
 
 
+def stored_path(url: Column) -> Column:
+    """Address without its host and container."""
+    parts = F.split(url, "/")
+    return F.array_join(F.slice(parts, F.lit(5), F.greatest(F.size(parts) - 4, F.lit(0))), "/")
+
+
 def stage_messages(files: DataFrame, base_url: str, as_of: str) -> DataFrame:
     """Message per staged file (folder, file_name): address, request time, file id."""
     url = F.concat_ws("/", F.lit(base_url), "folder", "file_name")

@@ -81,9 +81,7 @@ def event_stream(
 
     def each(batch: DataFrame, number: int) -> None:
         targets = event_target(batch).where(F.col("resource_type") == run.resource)
-        wanted = targets.groupBy(F.substring_index("subject", "/", -1).alias("id")).agg(
-            F.max("url").alias("source_url")
-        )
+        wanted = targets.select(F.substring_index("subject", "/", -1).alias("id")).distinct()
         folder = F.concat(F.lit("event-load/"), F.col("id"), F.lit(f"/{run.resource}-1.ndjson"))
         fetched = wanted.join(documents, "id").select("value", folder.alias("url"))
         audit = ingest(spark, fetched, run, number + 1)

@@ -130,7 +130,7 @@ def classify_change(spark, sf_dir):
 def classify_event_change(spark, sf_dir):
     rows = incoming(spark, sf_dir, "concat('https://store/stage/event-load/pat-', k, '/Patient-1.ndjson')")
     joined = changes.with_stored(rows, stored_state(spark, sf_dir))
-    return changes.classify_events(joined).select("id", "meta_versionid", "operation", "filepath_id")
+    return changes.classify_by_file(joined).select("id", "meta_versionid", "operation", "filepath_id")
 
 
 @check(

@@ -90,12 +90,11 @@ def failure_path(spark, sf_dir):
 def strip_error_prefix(spark, sf_dir):
     paths = table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        """concat(element_at(array('', '601/', '6021/'), int(event_id % 3) + 1), 'event-load/pat-', user_id,
-                  '/Patient-1.ndjson') AS path""",
-    )
-    return paths.select(
-        "event_id", errors.reject_path(F.lit("602"), F.col("path")).alias("reject_location")
+        """concat('https://store/failure/', element_at(array('', '601/', '6021/'), int(event_id % 3) + 1),
+                  'event-load/pat-', user_id, '/Patient-1.ndjson') AS url""",
     )
+    location = errors.reject_location(F.lit("602"), F.col("url"))
+    return paths.select("event_id", location.alias("reject_location"))
 
 
 @check(
@@ -119,19 +118,19 @@ def retry_eligible(spark, sf_dir):
     "retry_split",
     """
     SELECT event_id, 'file-' || user_id AS filepath_id,
-           'Observation-' || row_number() OVER (PARTITION BY user_id ORDER BY event_id) || '.ndjson'
-             AS record_file
-    FROM events
+           'Observation-3-' || n || '.ndjson' AS record_file,
+           'https://store/stage/batch-load/' || user_id || '/Observation-3-' || n || '.ndjson' AS record_url
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
     """,
 )
 def retry_split(spark, sf_dir):
     records = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "concat('file-', user_id) AS filepath_id",
-        "concat('https://store/602/batch-load/', user_id, '/Observation.ndjson') AS url",
+        "concat('https://store/602/batch-load/', user_id, '/Observation-3.ndjson') AS url",
     )
-    split = errors.retry_split(records, "event_id", rows_per_chunk=1000)
-    return split.select("event_id", "filepath_id", "record_file")
+    split = errors.retry_split(records, "event_id", "https://store/stage", rows_per_chunk=1000)
+    return split.select("event_id", "filepath_id", "record_file", "record_url")
 
 
 @check(

@@ -10,9 +10,9 @@ from chartloom.streaming import jobs
 from checks.base import AS_OF, CATALOG, check, uuid5_sql
 
 
-def patient_run(spark, work, by_event=False):
+def patient_run(spark, work):
     tables = TableSet(spark, f"{work}/tables", buckets=8)
-    return Ingest("Patient", CATALOG, tables, f"{work}/runs", AS_OF, by_event=by_event)
+    return Ingest("Patient", CATALOG, tables, f"{work}/runs", AS_OF)
 
 
 @check(
@@ -61,7 +61,7 @@ def stream_ingest(spark, sf_dir):
 )
 def stream_events(spark, sf_dir):
     work = work_dir(spark, "events")
-    run = patient_run(spark, work, by_event=True)
+    run = patient_run(spark, work)
     events = jobs.table_stream(spark, sf_dir, "events").selectExpr(
         "concat('host/fhir/', if(event_id % 13 = 0, 'Group', 'Patient'), '/pat-', user_id) AS subject",
         "'ResourceCreated' AS eventType",

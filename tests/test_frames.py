@@ -25,9 +25,10 @@ def test_pages_are_full_but_the_last(spark):
 
 
 def test_split_numbers_follow_file_order(spark):
-    rows = spark.range(50).selectExpr("id", "'s/Patient-3.ndjson' AS url").repartition(7)
-    split = retry_split(rows, "id", rows_per_chunk=7).orderBy("id").collect()
+    rows = spark.range(50).selectExpr("id", "'https://s/602/batch-load/x/Patient-3.ndjson' AS url").repartition(7)
+    split = retry_split(rows, "id", "https://b", rows_per_chunk=7).orderBy("id").collect()
     assert [r.record_file for r in split] == [f"Patient-3-{i + 1}.ndjson" for i in range(50)]
+    assert split[0].record_url == "https://b/batch-load/x/Patient-3-1.ndjson"
 
 
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):

@@ -106,6 +106,13 @@ def test_extension_path_through_a_list(spark):
     assert frame.select(display.alias("d")).first().d == "d"
 
 
+def test_extension_path_through_objects_and_lists(spark):
+    extension = '{"url":"e","extension":[{"url":"x","valueCodeableConcept":{"coding":[{"display":"d"}]}}]}'
+    frame = spark.createDataFrame([([extension],)], "e array<string>")
+    display = fhir.extension_display(F.col("e"), ["e"], ["extension.valueCodeableConcept.coding"])
+    assert frame.select(display.alias("d")).first().d == "d"
+
+
 def test_first_extension_with_a_value_wins(spark):
     extensions = ['{"url":"a"}', '{"url":"a","valueCoding":{"display":"second"}}']
     frame = spark.createDataFrame([(extensions,)], "e array<string>")

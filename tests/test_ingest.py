@@ -18,9 +18,9 @@ def patient(number, version, concepts=1, **more):
     return {**document, "maritalStatus": {"coding": coding}} if concepts else document
 
 
-def new_run(spark, catalog, name, **settings):
+def new_run(spark, catalog, name, resource="Patient"):
     work = work_dir(spark, name)
-    return Ingest("Patient", catalog, TableSet(spark, f"{work}/tables"), f"{work}/runs", AS_OF, **settings)
+    return Ingest(resource, catalog, TableSet(spark, f"{work}/tables"), f"{work}/runs", AS_OF)
 
 
 def operations(audit):
@@ -96,7 +96,7 @@ def test_only_touched_buckets_are_rewritten(spark, catalog, lines):
 
 
 def test_first_version_event_is_new_without_a_lookup(spark, catalog, lines):
-    run = new_run(spark, catalog, "event", by_event=True)
+    run = new_run(spark, catalog, "event")
     url = "s/event-load/p1/Patient-1.ndjson"
     ingest(spark, lines(patient(1, 1), url=url), run, 1)
     assert operations(ingest(spark, lines(patient(1, 1), url=url), run, 2)) == [("p1", 1, "new")]
@@ -215,3 +215,16 @@ def test_a_table_streams_from_one_file_or_from_a_folder(spark, sf_dir, tmp_path)
             lambda batch, number, counts=counts: counts.append(batch.count()),
         )
         assert len(counts) == batches and sum(counts) == events.count()
+
+
+def test_given_file_id_and_single_identifier(spark, lines):
+    from chartloom.catalog import Catalog
+
+    small = Catalog.builtin()
+    encounter = small.resources["Encounter"]
+    one = [e if e.name != "identifier" else type(e)(e.owner, e.name, e.fhir_type, False) for e in encounter]
+    run = new_run(spark, Catalog({"Encounter": one}, small.datatypes), "single", "Encounter")
+    document = {"id": "e1", "identifier": {"system": "urn:Source", "value": "north"}}
+    audit = ingest(spark, lines(document, url="u", filepath_id="given"), run, 1).first()
+    assert (audit.meta_source, audit.filepath_id, audit.meta_versionid) == ("north", "given", 0)
+    assert run.read("encounter_identifier").first().value == "north"
