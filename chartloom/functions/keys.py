@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Namespace of RFC 4122 for DNS names.
+# The namespace of RFC 4122 for DNS names, and the canonical form of an id.
 DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
 UUID_PATTERN = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 

@@ -10,6 +10,7 @@ from chartloom.catalog import SHARED_TABLES
 from chartloom.functions.keys import batch_file_id, event_file_id
 from chartloom.operators.frames import blank_to_null, latest_per_key
 
+# Operations, the folder mark of single-resource files, valid table names.
 NEW, UPDATE, DUPLICATE = "new", "update", "duplicate"
 EVENT_MARK = "event-load"
 SIZE_COLUMNS = [f"{table}_max_array_size" for table in SHARED_TABLES]

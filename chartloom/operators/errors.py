@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chartloom.operators.frames import dense_positions
 from chartloom.sources.staging import stage_file_name, stored_path
 
-# Codes of the ingesting side.
+# Codes of the ingesting side, and names of the exporting jobs.
 READ_FAILED, SHAPE_FAILED, INSERT_FAILED, UNEXPECTED = "601", "602", "603", "699"
 RETRYABLE = (SHAPE_FAILED, INSERT_FAILED)
 EVENT_EXPORTER, BATCH_EXPORTER = "event-load-exporter", "batch-load-exporter"
@@ -123,7 +123,7 @@ def retry_split(
 
     `record_url` is where that file is staged: below the folder the failed file came from.
     """
-    chunk = F.floor(F.col(order) / rows_per_chunk)
+    chunk = F.expr(f"`{order}` div {rows_per_chunk}")
     numbered = dense_positions(records, ["url"], [order], chunk, "record_no")
     # A folder name may hold several levels, joined by `_`.
     parts = F.split(F.translate(stage_file_name(F.col("url")), "_", "/"), "/")

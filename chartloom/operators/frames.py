@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,13 +70,13 @@ def dense_positions(
         pieces.groupBy(*group, "_chunk")
         .agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("_offset", F.coalesce(F.sum("_count").over(before), F.lit(0)))
-        .drop("_count")
     )
-    numbered = pieces.withColumn("_inside", F.row_number().over(inside))
-    return (
-        numbered.join(offsets, [*group, "_chunk"])
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_chunk", "_inside", "_offset")
+    numbered = pieces.withColumn("_inside", F.row_number().over(inside)).alias("n")
+    # Null-safe, so that rows without a group or chunk are numbered too.
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*group, "_chunk"]]
+    return numbered.join(offsets.alias("o"), reduce(and_, same)).select(
+        *[F.col(f"n.{c}") for c in df.columns],
+        (F.col("_offset") + F.col("_inside")).alias(name),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.keys import is_uuid
 
-# What the ingesting side reports about a file.
+# Columns of the lineage table. These four are what the ingesting side reports.
 OUTCOME_COLUMNS = ["is_inserted", "retry_count", "error_code", "reject_location"]
 FIRST_HALF_COLUMNS = [
     "filepath_id", "resource_type", "fhir_request_url", "record_count", "pipeline_type",

@@ -93,7 +93,8 @@ def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) ->
 
     buckets = run.tables.touched(normalized)
     if buckets:
-        replaced = load.updated_ids(classified).distinct()
+        # Rows stored for any loaded id go, whatever it was classified as.
+        replaced = normalized.select("id")
 
         def write(table: str) -> None:
             if table == run.table:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from chartloom.catalog import IGNORED_ELEMENTS, Catalog
 from chartloom.operators.frames import explode_present
 
+# Error codes.
 READ_FAILED = "601"
 SHAPE_FAILED = "602"
 

@@ -61,15 +61,20 @@ def sync_log_append(spark, sf_dir):
 
 @check(
     "sync_watermark",
-    f"SELECT max(window_end) AS last, TIMESTAMP '2020-01-01' AS before_first FROM ({WINDOWS})",
+    f"""
+    SELECT 'logged' AS log, max(window_end) AS last FROM ({WINDOWS})
+    UNION ALL SELECT 'empty', TIMESTAMP '2020-01-01'
+    """,
 )
 def sync_watermark(spark, sf_dir):
     log = windows.sync_log(due(spark, sf_dir), AS_OF)
     start = "2020-01-01 00:00:00"
-    unused = log.where("till_date_time < since_date_time")
-    first = windows.sync_watermark(unused, start).withColumnRenamed("last", "before_first")
-    last = windows.sync_watermark(log, start)
-    return last.withColumn("_k", F.lit(1)).join(first.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    logs = {"logged": log, "empty": log.where("till_date_time < since_date_time")}
+    marks = [
+        windows.sync_watermark(rows, start).withColumn("log", F.lit(name))
+        for name, rows in logs.items()
+    ]
+    return marks[0].unionByName(marks[1])
 
 
 @check(

@@ -231,7 +231,7 @@ def keyed_upsert_sink(spark, sf_dir):
     "audit_sink",
     """
     SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS audit_rows, count(DISTINCT user_id) AS users
-    FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY ALL
+    FROM events GROUP BY ALL
     """,
 )
 def audit_sink(spark, sf_dir):
@@ -240,8 +240,7 @@ def audit_sink(spark, sf_dir):
         "concat('pat-', user_id) AS resource_id", "ts AS meta_lastupdated", "'new' AS operation"
     )
     staging.append_by_day(rows, folder, "meta_lastupdated")
-    kept = spark.read.parquet(folder).where("day >= date'2024-01-05'")
-    return kept.groupBy(F.col("day").cast("string").alias("day")).agg(
+    return spark.read.parquet(folder).groupBy(F.col("day").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("audit_rows"), F.countDistinct("resource_id").alias("users")
     )
 

@@ -18,18 +18,22 @@ def patient_run(spark, work):
 @check(
     "stream_ingest",
     """
-    -- Every patient comes twice: first as version 1, then as its real version.
-    SELECT 'pat-' || c_custkey AS id, CAST(1 + c_custkey % 3 AS VARCHAR) AS meta_versionid,
+    -- Every patient comes twice: first as version 1, then as its real version. One without
+    -- a version counts as version 0, which is new each time.
+    SELECT 'pat-' || c_custkey AS id,
+           CASE WHEN c_custkey % 50 <> 0 THEN CAST(1 + c_custkey % 3 AS VARCHAR) END AS meta_versionid,
            CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender,
-           CASE WHEN c_custkey % 3 = 0 THEN 'first' ELSE 'second' END AS practitioner_row,
-           CASE WHEN c_custkey % 3 = 0 THEN 'duplicate' ELSE 'update' END AS last_operation
-    FROM customer WHERE c_custkey % 50 <> 0
+           CASE WHEN c_custkey % 50 <> 0 AND c_custkey % 3 = 0 THEN 'first' ELSE 'second' END
+             AS practitioner_row,
+           CASE WHEN c_custkey % 50 = 0 THEN 'new' WHEN c_custkey % 3 = 0 THEN 'duplicate'
+                ELSE 'update' END AS last_operation
+    FROM customer
     """,
 )
 def stream_ingest(spark, sf_dir):
     work = work_dir(spark, "ingest")
     run = patient_run(spark, work)
-    docs = documents(spark, sf_dir, "Patient", ("k",)).where("k % 50 <> 0")
+    docs = documents(spark, sf_dir, "Patient")
     first = r"""replace(regexp_replace(value, '"versionId":"\\d+"', '"versionId":"1"'),
                 '"display":"Dr ', '"type":"first","display":"Dr ') AS value"""
     for name, text in (("a", first), ("b", "value")):

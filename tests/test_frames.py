@@ -18,6 +18,15 @@ def test_positions_are_dense_with_a_hot_group(spark):
     assert len(got) == 5000
 
 
+def test_rows_without_a_group_are_numbered_too(spark):
+    rows = spark.range(10).selectExpr("id", "if(id < 4, null, 'g') AS g")
+    numbered = frames.dense_positions(rows, ["g"], ["id"], F.expr("id div 3")).collect()
+    assert sorted((r.g or "", r.position) for r in numbered) == [
+        *[("", n) for n in range(1, 5)],
+        *[("g", n) for n in range(1, 7)],
+    ]
+
+
 def test_pages_are_full_but_the_last(spark):
     rows = spark.range(2345).selectExpr("string(id) AS id", "'Patient' AS resource_type")
     pages = assign_pages(rows, ["resource_type"], "id").groupBy("page").count().collect()
