@@ -27,11 +27,20 @@ Snapshot = dict[tuple[str, int], int]
 class TableSet:
     """Keyed tables below one folder, split by a hash of `key` into `buckets`."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 16):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str = "id",
+        buckets: int = 16,
+        lookups: tuple[str, ...] = (),
+    ):
+        """`lookups` are columns often searched for single values; they get bloom filters."""
         self.spark = spark
         self.path = path
         self.key = key
         self.buckets = buckets
+        self.lookups = (key, *lookups)
 
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -99,10 +108,13 @@ class TableSet:
 
         The rebalance splits a bucket that got very many rows and joins small ones.
         """
-        bucketed = rows.withColumn("bucket_no", self._bucket())
+        bucketed = rows.withColumn("bucket_no", self._bucket()).hint("rebalance", "bucket_no")
+        blooms = {
+            f"parquet.bloom.filter.enabled#{c}": "true" for c in self.lookups if c in rows.columns
+        }
         (
-            bucketed.hint("rebalance", "bucket_no")
-            .write.mode("overwrite")
+            bucketed.write.mode("overwrite")
+            .options(**blooms)
             .partitionBy("bucket_no")
             .parquet(self._folder(table, version))
         )
@@ -115,8 +127,9 @@ class TableSet:
         """Make the named buckets of all tables visible with one file."""
         versions = self.snapshot(before=version)
         versions.update({(t, b): version for t, buckets in touched.items() for b in buckets})
-        listed = [(table, bucket, v) for (table, bucket), v in sorted(versions.items())]
-        rows = self.spark.createDataFrame(listed, PUBLISHED)
+        listed = [f"('{table}', {b}, {v}L)" for (table, b), v in sorted(versions.items())]
+        source = f"VALUES {', '.join(listed)}" if listed else "(SELECT '', 0, 0L WHERE false)"
+        rows = self.spark.sql(f"SELECT * FROM {source} AS t(table, bucket, version)")
         folder = f"{self.path}/published/batch_no={version}"
         rows.coalesce(1).write.mode("overwrite").parquet(folder)
 

@@ -41,6 +41,20 @@ def register_views(
             rows.createOrReplaceTempView(table)
 
 
+def save_colocated(rows: DataFrame, name: str, path: str, buckets: int = 16) -> None:
+    """Save a produced table hashed by id, so that joins on id with others need no shuffle.
+
+    Tables to be joined must have the same number of buckets.
+    """
+    (
+        rows.write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, "id")
+        .sortBy("id")
+        .saveAsTable(name)
+    )
+
+
 PATIENT_DEMOGRAPHICS = """
     SELECT id, gender, birthdate, name_family, name_given FROM patient ORDER BY id LIMIT {limit}
 """

@@ -31,9 +31,9 @@ def scan_documents(lines: DataFrame, resource: str, catalog: Catalog) -> DataFra
     doc = F.from_json("value", schema, options)
     keys = F.filter(F.json_object_keys("value"), lambda k: ~k.startswith("_"))
     unknown = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
-    rows = lines.where(F.trim("value") != "").select(
-        *lines.columns, doc.alias("doc"), unknown.alias("unknown_elements")
-    )
+    # A generator of one row, as in `parse_documents`: no filter on it parses again.
+    scanned = F.struct(doc.alias("doc"), unknown.alias("unknown_elements"))
+    rows = lines.where(F.trim("value") != "").select(*lines.columns, F.inline(F.array(scanned)))
     code = F.when(
         F.col("doc._corrupt").isNotNull(),
         F.when(F.try_parse_json("value").isNull(), READ_FAILED).otherwise(SHAPE_FAILED),

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from chartloom.functions.keys import batch_file_id
 from chartloom.operators.frames import dense_positions, hash_chunk
 
+# Records per staged file, and days an audit row stays.
 PAGE_SIZE = 1000
+LIVE_DAYS = 365
 
 
 def assign_pages(
@@ -91,11 +93,16 @@ def stage_messages(files: DataFrame, base_url: str, as_of: str) -> DataFrame:
 
 
 def append_by_day(rows: DataFrame, path: str, stamp: str) -> None:
-    """Append audit rows into day folders; retention is the removal of old folders."""
-    days = rows.withColumn("day", F.to_date(stamp))
+    """Append audit rows into day folders, gathered by day so that each gets few files."""
+    days = rows.withColumn("day", F.to_date(stamp)).hint("rebalance", "day")
     days.write.mode("append").partitionBy("day").parquet(path)
 
 
+def live_days(rows: DataFrame, as_of: str, days: int = LIVE_DAYS) -> DataFrame:
+    """Rows of the day folders still within retention; older folders are not read."""
+    return rows.where(F.col("day") > F.date_sub(F.lit(as_of).cast("date"), days))
+
+
 def write_rejects(rows: DataFrame, path: str) -> None:
     """Keep failed rows below a folder per error code."""
     rows.write.mode("append").partitionBy("error_code").parquet(path)
