@@ -15,6 +15,9 @@ from chartloom.operators import changes, load
 from chartloom.operators.flatten import parse_documents
 from chartloom.operators.published import Snapshot, TableSet
 from chartloom.operators.shared import normalize, resource_table, shared_table
+from chartloom.sources.ndjson import scan_documents
+
+VERSION_ELEMENTS = ("meta", "identifier")
 
 
 @dataclass
@@ -53,19 +56,32 @@ class Ingest:
         """Published rows of one of the tables."""
         return self.tables.read(table, self.schemas[table])
 
+    def rejected(self, version: int) -> DataFrame:
+        """Lines of a batch that could not be loaded, with their error code."""
+        incoming = self.tables.spark.read.parquet(f"{self.work}/{version}/in")
+        return incoming.where(F.col("error_code").isNotNull()).select(
+            "url", "filepath_id", F.col("document").alias("value"), "error_code", "unknown_elements"
+        )
+
 
 def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> DataFrame:
     """Incoming lines (value, url) with their operation against the published state.
 
-    Further columns of the lines, such as a `filepath_id` given with the file, stay. Only the buckets the incoming ids fall into are read.
+    Rows that cannot be loaded have an error code instead. Further columns of the lines, such
+    as a `filepath_id` given with the file, stay. Only the buckets of the incoming ids are
+    read.
     """
     ids = parse_documents(lines.select("value"), run.resource, run.catalog, [])
-    with_text = lines.withColumn("document", F.col("value"))
-    parsed = parse_documents(with_text, run.resource, run.catalog, ["meta", "identifier"])
+    buckets = run.tables.touched(ids)
+    scanned = scan_documents(lines, run.resource, run.catalog)
+    used = [f"doc.{e.name}" for e in run.catalog.elements(run.resource) if e.name in VERSION_ELEMENTS]
+    kept = [c for c in lines.columns if c != "value"]
+    parsed = scanned.select(
+        *kept, F.col("value").alias("document"), "unknown_elements", "error_code", "doc.id", *used
+    )
     incoming = changes.file_ids(changes.incoming_versions(parsed, run.default_source)).withColumns(
         {"resource_type": F.lit(run.resource), "pipeline_type": F.lit(run.pipeline_type)}
     )
-    buckets = run.tables.touched(ids)
     stored = run.tables.read(run.table, run.schemas[run.table], buckets, snapshot)
     # A type without one of the shared tables has size 0 there.
     missing = {c: F.lit(0) for c in changes.SIZE_COLUMNS if c not in stored.columns}
@@ -73,11 +89,13 @@ def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> D
     joined = changes.with_stored(
         incoming, stored.withColumns({**missing, "meta_versionid": version})
     )
-    return changes.classify_by_file(joined)
+    classified = changes.classify_by_file(joined)
+    loadable = F.col("error_code").isNull()
+    return classified.withColumn("operation", F.when(loadable, F.col("operation")))
 
 
 def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) -> DataFrame:
-    """Load one batch and publish it; returns its audit rows.
+    """Load one batch and publish it; returns the audit rows of what could be loaded.
 
     Classified documents and normalized rows are each written once to the shared folder, so
     the four tables neither parse again nor depend on the executors that parsed. The tables
@@ -85,7 +103,7 @@ def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) ->
     """
     at, before = f"{run.work}/{version}", run.tables.snapshot(before=version)
     classified_documents(lines, run, before).write.mode("overwrite").parquet(f"{at}/in")
-    classified = spark.read.parquet(f"{at}/in")
+    classified = spark.read.parquet(f"{at}/in").where(F.col("error_code").isNull())
     newest = changes.newest_versions(changes.changed_rows(classified))
     documents = newest.select(F.col("document").alias("value"))
     normalize(documents, run.resource, run.catalog).write.mode("overwrite").parquet(f"{at}/rows")

@@ -229,3 +229,13 @@ def test_given_file_id_and_single_identifier(spark, lines):
     audit = ingest(spark, lines(document, url="u", filepath_id="given"), run, 1).first()
     assert (audit.meta_source, audit.filepath_id, audit.meta_versionid) == ("north", "given", 0)
     assert run.read("encounter_identifier").first().value == "north"
+
+
+def test_bad_lines_are_rejected_and_the_rest_of_the_file_loads(spark, catalog, lines):
+    run = new_run(spark, catalog, "rejects")
+    texts = [patient(1, 1), '{"id": "p2", "meta": {"versionId"', "  ", {**patient(3, 1), "shoeSize": 4}]
+    audit = ingest(spark, lines(*texts, {"meta": {}}, url="s/Patient-1.ndjson"), run, 1)
+    assert operations(audit) == [("p1", 1, "new")]
+    assert [r.id for r in run.read("patient").collect()] == ["p1"]
+    rejected = sorted((r.error_code, r.unknown_elements or []) for r in run.rejected(1).collect())
+    assert rejected == [("601", []), ("602", []), ("602", ["shoeSize"])]
