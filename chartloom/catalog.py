@@ -257,9 +257,6 @@ class Catalog:
     def children(self, element: Element) -> list[Element]:
         return self.datatypes.get(element.fhir_type, [])
 
-    def is_primitive(self, element: Element) -> bool:
-        return element.fhir_type[:1].islower()
-
     def rows(self, spark: SparkSession, children: bool = False) -> DataFrame:
         """The catalogue, or its data types, as rows (resource, element, fhir_type, is_array).
 

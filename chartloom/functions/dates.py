@@ -13,7 +13,8 @@ def fhir_timestamp_sql(value: str) -> str:
     """SQL text for the UTC timestamp of a FHIR date text; null for placeholders and junk."""
     year_first = rf"trim({value}) RLIKE '^\\d{{4}}($|[-/ T])'"
     month_first = rf"trim({value}) RLIKE '^\\d{{1,2}}[-/]\\d{{4}}$'"
-    turned = f"concat(right(trim({value}), 4), '-', substring_index(substring_index(trim({value}), '-', 1), '/', 1))"
+    month = f"substring_index(substring_index(trim({value}), '-', 1), '/', 1)"
+    turned = f"concat(right(trim({value}), 4), '-', {month})"
     others = ", ".join(f"try_to_timestamp(trim({value}), '{form}')" for form in OTHER_FORMATS)
     return f"""CASE
         WHEN contains({value}, '0001-01-01') THEN NULL

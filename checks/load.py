@@ -35,12 +35,14 @@ NEW_REFERENCES = f"""
 
 def stored_references(spark, sf_dir):
     state = stored_state(spark, sf_dir)
+    names = F.explode(F.array(*map(F.lit, FIELDS))).alias("field_name")
     own = (
-        state.select("id", "reference_max_array_size", F.explode(F.array(*map(F.lit, FIELDS))).alias("field_name"))
+        state.select("id", "reference_max_array_size", names)
         .withColumn("seq_no", F.explode(F.sequence(F.lit(0), "reference_max_array_size")))
         .selectExpr("id", "field_name", "seq_no", "'old' AS reference")
-    )
-    return own.unionByName(state.selectExpr("id", "'link' AS field_name", "0 AS seq_no", "'kept' AS reference"))
+    )
+    kept = state.selectExpr("id", "'link' AS field_name", "0 AS seq_no", "'kept' AS reference")
+    return own.unionByName(kept)
 
 
 def new_references(spark, sf_dir):

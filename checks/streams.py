@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from chartloom.operators.published import TableSet
 from chartloom.plans.ingest import Ingest
 from chartloom.session import work_dir
-from chartloom.sources.shaped import documents, table
+from chartloom.sources.shaped import documents
 from chartloom.streaming import jobs
-from checks.base import AS_OF, CATALOG, check, uuid5_sql
+from checks.base import AS_OF, CATALOG, PATIENT_VERSION, check, uuid5_sql
 
 
 def patient_run(spark, work):
@@ -58,8 +58,7 @@ def stream_ingest(spark, sf_dir):
     f"""
     WITH wanted AS (SELECT DISTINCT user_id FROM events WHERE event_id % 13 <> 0)
     SELECT 'pat-' || c_custkey AS id, c_acctbal >= 0 AS active, 'new' AS operation,
-           {uuid5_sql("('pat-' || c_custkey || CASE WHEN c_custkey % 50 = 0 THEN 0 ELSE 1 + c_custkey % 3 END)")}
-             AS filepath_id
+           {uuid5_sql(f"('pat-' || c_custkey || {PATIENT_VERSION})")} AS filepath_id
     FROM customer JOIN wanted ON user_id = c_custkey
     """,
 )

@@ -73,7 +73,12 @@ def main(sf_dir: str, names: list[str]) -> int:
     spark = build_session(
         "compare",
         "local[8]",
-        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf_dir), 0
