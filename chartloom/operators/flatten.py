@@ -38,7 +38,7 @@ def any_present(names: list[str]) -> str:
 def without_empty_entries(
     parsed: DataFrame, resource: str, catalog: Catalog, only: list[str] | None = None
 ) -> DataFrame:
-    """Remove entries without any child from repeating complex values.
+    """Remove entries without any child from repeating complex values, and lists left empty.
 
     A step of its own, so that the columns cut from one value share the filtered list.
     """
@@ -47,7 +47,8 @@ def without_empty_entries(
         children = catalog.children(element)
         if catalog.shape(element) == "array_complex" and children:
             present = any_present([f"e.`{c.name}`" for c in children])
-            filtered[element.name] = F.expr(f"filter(`{element.name}`, e -> {present})")
+            kept = f"filter(`{element.name}`, e -> {present})"
+            filtered[element.name] = F.expr(f"nullif({kept}, array())")
     return parsed.withColumns(filtered) if filtered else parsed
 
 

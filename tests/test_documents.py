@@ -92,6 +92,12 @@ def test_array_struct_keeps_positions_and_drops_empty_entries(lines, catalog):
     assert row.name_text == [None, None, "t"]
 
 
+def test_list_of_empty_entries_is_null(lines, catalog):
+    documents = lines({"id": "a", "name": [{}]}, {"id": "b", "name": []}, {"id": "c", "name": [{"use": "u"}]})
+    rows = flatten(documents, "Patient", catalog, ["name"]).orderBy("id").collect()
+    assert [r.name_use for r in rows] == [None, None, ["u"]]
+
+
 def test_sizes_are_zero_without_rows(lines, catalog):
     row = resource_table(normalize(lines({"id": "p"}), "Patient", catalog)).first()
     assert (row.codeableconcept_max_array_size, row.reference_max_array_size) == (0, 0)
