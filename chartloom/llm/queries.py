@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import table
+from chartloom.llm.common import fold, table
 from chartloom.llm.fingerprints import edit_fingerprints
+from chartloom.llm.language import identify_held_out
 from chartloom.llm.mixing import mix_plan
+from chartloom.llm.packing import pack_documents
+
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +27,17 @@ def register(query: Query) -> Query:
     return query
 
 
+@register
+def op2_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2)
+
+
+@register
+def op4_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @register
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
