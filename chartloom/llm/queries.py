@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import fold, table
 from chartloom.llm.fingerprints import edit_fingerprints
 from chartloom.llm.language import identify_held_out
+from chartloom.llm.minhash import near_duplicates
 from chartloom.llm.mixing import mix_plan
 from chartloom.llm.packing import pack_documents
+from chartloom.llm.suffixes import without_repeats
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -38,6 +40,16 @@ def op4_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@register
+def op7_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@register
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
