@@ -14,6 +14,7 @@ from chartloom.llm.language import identify_held_out
 from chartloom.llm.minhash import near_duplicates
 from chartloom.llm.mixing import mix_plan
 from chartloom.llm.packing import pack_documents
+from chartloom.llm.scoring import score_texts
 from chartloom.llm.suffixes import without_repeats
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +30,11 @@ def register(query: Query) -> Query:
     return query
 
 
+@register
+def op1_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 @register
 def op2_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2)
