@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import fold, table
 from chartloom.llm.fingerprints import edit_fingerprints
+from chartloom.llm.graph import nearest
 from chartloom.llm.language import identify_held_out
 from chartloom.llm.minhash import near_duplicates
 from chartloom.llm.mixing import mix_plan
 from chartloom.llm.packing import pack_documents
+from chartloom.llm.preferences import format_preferences, reply_pairs
 from chartloom.llm.scoring import score_texts
 from chartloom.llm.suffixes import without_repeats
+from chartloom.llm.toxicity import score_toxicity
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -40,12 +43,29 @@ def op2_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2)
 
 
+@register
+def op3_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @register
 def op4_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@register
+def op5_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_toxicity(documents, labels, fold("doc_id", 3) == 1)
+
+
+@register
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_preferences(reply_pairs(table(spark, sf_dir, "conversations")))
+
+
 @register
 def op7_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
