@@ -6,8 +6,8 @@ Viterbi pass over the lattice picks the likeliest reading under a character trig
 restored words, their first four to six letters included, are scored by how much of the labelled text that has them is
 toxic; evidence is combined as a noisy or.
 
-The classifier is fitted on at most SAMPLE labelled rows of either class, the lowest by a hash of their id; the character
-model counts all texts. Null and empty texts score the rate of toxic texts without any evidence. Rows with equal ids are
+The classifier is fitted on at most SAMPLE labelled rows, the lowest by a hash of their id; the character model counts
+all texts. A feature tells if the toxic texts that have it are too many for chance among exp(LOG_FEATURES) features. Null and empty texts score the rate of toxic texts without any evidence. Rows with equal ids are
 scored each, null labels are not learned from, and without labels nothing is toxic. An empty table gives no rows.
 """
 
@@ -23,7 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 10_000
+from chartloom.llm.minhash import shingle_set
+
+SAMPLE = 50_000
+LOG_FEATURES = 16.0
 # Letters that signs commonly stand for.
 SIGNS = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
@@ -131,15 +134,31 @@ def character_model(documents: DataFrame) -> np.ndarray:
 
 
 def labelled_sample(labels: DataFrame, learned: Column, size: int) -> DataFrame:
-    """At most `size` labelled ids of either class, the lowest by hash."""
-    rows: list[tuple] = []
-    for kind in (0, 1):
-        own = labels.where(learned & (F.col("toxic") == kind) & F.col("doc_id").isNotNull())
-        picked = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).collect()
-        rows += [(r["doc_id"], kind) for r in picked]
+    """At most `size` labelled ids, the lowest by hash."""
+    own = labels.where(learned & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    picked = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    rows = [(r["doc_id"], r["toxic"]) for r in picked.collect()]
     return labels.sparkSession.createDataFrame(rows, "doc_id long, toxic int")
 
 
+def one_of_copies(documents: DataFrame, sample: DataFrame) -> DataFrame:
+    """The sample with one row for all texts that share their lowest shingle hash, as near copies mostly do.
+
+    Copies of one text are no independent evidence for its words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, 2) for t in batch.column("text").to_pylist()]
+            lowest = pa.array([int(s[0]) >> 1 if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), lowest], ["doc_id", "toxic", "low"])
+
+    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    found = rows.mapInArrow(run, "doc_id long, toxic int, low long").where("low IS NOT NULL")
+    kept = found.groupBy("low").agg(F.min(F.struct("doc_id", "toxic")).alias("r")).select("r.doc_id", "r.toxic").collect()
+    return sample.sparkSession.createDataFrame([tuple(r) for r in kept], "doc_id long, toxic int")
+
+
 def fit_evidence(documents: DataFrame, sample: DataFrame, restorer: Restorer, least: int = 5) -> tuple[dict[str, float], float]:
     """Share of toxic texts among those with a feature, for telling features, and the rate of toxic ones without any."""
     model = documents.sparkSession.sparkContext.broadcast(restorer)
@@ -156,18 +175,21 @@ def fit_evidence(documents: DataFrame, sample: DataFrame, restorer: Restorer, le
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
     counted = texts.mapInArrow(run, "feature string, clean long, toxic long").groupBy("feature")
     counted = counted.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    telling = counted.where((F.col("feature") == "") | (F.col("toxic") >= F.greatest(F.lit(least), 4 * F.col("clean"))))
-    shares = {r["feature"]: (r["toxic"], r["clean"]) for r in telling.collect()}
-    toxic, clean = shares.pop("", (0, 0))
-    ratio = max(1.0, clean / max(1, toxic))
-    evidence = {f: t / (t + c * min(ratio, 10.0) + 1) for f, (t, c) in shares.items()}
+    telling = counted.where((F.col("feature") == "") | (F.col("toxic") >= F.greatest(F.lit(least), 9 * F.col("clean"))))
+    counts = {r["feature"]: (r["toxic"], r["clean"]) for r in telling.collect()}
+    toxic, clean = counts.pop("", (0, 0))
+    rarity = -math.log(max(toxic, 1) / max(toxic + clean, 1))
+    evidence = {
+        f: t / (t + c + 1) for f, (t, c) in counts.items() if t * rarity - math.log(math.comb(t + c, c)) >= LOG_FEATURES
+    }
     return evidence, 0.02 if toxic else 0.0
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, held_out: Column, size: int = SAMPLE) -> DataFrame:
     """`doc_id`, `held_out`, `score`, `predicted` and the strongest `evidence` of every document."""
     restorer = Restorer(character_model(documents))
-    evidence, rest = fit_evidence(documents, labelled_sample(labels, ~held_out, size), restorer)
+    sample = one_of_copies(documents, labelled_sample(labels, ~held_out, size))
+    evidence, rest = fit_evidence(documents, sample, restorer)
     model = documents.sparkSession.sparkContext.broadcast((restorer, evidence, rest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
