@@ -1,10 +1,42 @@
-"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns the documents it keeps."""
+"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns the documents it keeps.
+
+Every stage but the last returns the columns of `documents`. Empty inputs give empty outputs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from chartloom.llm.language import UNKNOWN, fit_decoder, identify
+from chartloom.llm.minhash import near_duplicates
 from chartloom.llm.mixing import mixed_rows
+from chartloom.llm.packing import pack_documents
+from chartloom.llm.queries import WORD_VOCABULARY
+from chartloom.llm.suffixes import cut_repeats
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in some language: those without letters, and those of which no language has half the share, go."""
+    found = identify(docs, fit_decoder(docs.select("text", "lang")), keep=tuple(docs.columns))
+    return found.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, five-word shingles and a similarity of 0.8: the one of least id.
+
+    Rows without id stay. Of rows with the same id one stays.
+    """
+    found = near_duplicates(docs, words=5, percent=80)
+    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    single = docs.join(kept.where("rows = 1"), "doc_id", "left_semi")
+    several = docs.join(kept.where("rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(several).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that are anywhere else as well."""
+    return cut_repeats(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,4 +44,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_rows(docs).drop("shard", "order")
 
 
-STAGES = [("mix_sources", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences with their token ids."""
+    return pack_documents(docs, WORD_VOCABULARY)
+
+
+STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("mix_sources", mix),
+    ("pack", pack),
+]

@@ -199,7 +199,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
     """`uid` and the byte range `first` to `last` (exclusive) of repeats; ranges of a document may overlap."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = anchor_rows(documents, length, seed)
-    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    again = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
     rows = cut(found.join(again, "key"))
     contexts = cut(
         rows.groupBy("key", "context").agg(
@@ -210,7 +210,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
     covered = rows.join(whole, ["key", "context"]).select(
         "uid", (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last")
     )
-    diverse = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key")
+    diverse = cut(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key"))
     spots = contexts.join(diverse, "key").groupBy("uid").agg(
         F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
     )
@@ -259,3 +259,28 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fa
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     result = joined.mapInArrow(run, schema)
     return result if texts else result.drop("kept_text")
+
+
+def cut_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """`documents` with the bytes of repeats cut from `text`, and `n_chars`, where there is one, counted again."""
+    spans = repeated_spans(documents, length).groupBy("uid").agg(F.collect_set(F.struct("first", "last")).alias("__spans"))
+    rows = documents.withColumn("__uid", _uid()).join(spans.withColumnRenamed("uid", "__uid"), "__uid", "left")
+
+    names = documents.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
+                if found:
+                    data, gone = _encoded(text), _merged(found)
+                    ends = [0, *(x for s in gone for x in s), len(data)]
+                    text = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)).decode("utf-8", "ignore")
+                left.append(text)
+            columns = [pa.array(left, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    result = rows.select(*documents.columns, "__spans").mapInArrow(run, documents.schema)
+    if "n_chars" in documents.columns:
+        result = result.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return result
