@@ -5,10 +5,12 @@ permutation and offers j plus a fraction there. Rounds stop as soon as every pla
 later offers are higher. Signatures are cut into bands; documents that share a band are candidates, candidates are
 verified on their full shingle sets, and links are joined to components.
 
-Documents with equal shingle sets are one class and go through as one. Within a bucket of candidates not all pairs are
-made: all members are compared with the first; then, while a bucket holds several components, members outside its
-largest one are compared, a few at a time, with all members of other components. A pair is left out only once it is
-known to be in one component, so no link between components is missed, and no bucket is capped.
+Documents with equal shingle sets are one class and go through as one. A class can share with others only shingles that
+are in some other candidate as well; where these are too few for any link, it is no candidate. Within a bucket not all
+pairs are made: all members are compared with the one that has the least of its own, which joins nearly all that belong
+together. Members left outside the bucket's largest component are then compared with all of that component, block by
+block within tasks, and with each other. A pair of bucket mates is left out only if it is known to be in one component
+or too unlike, so no link between components is missed, and no bucket is capped.
 
 Null and empty texts have no shingles and are linked with nothing; rows with a null id stand alone. Rows with equal ids
 count as one document. Columns other than `doc_id` and `text` are not read. An empty table gives no rows.
@@ -19,15 +21,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import ODD, cut, mix64, shingle_hashes, word_hashes
 from chartloom.llm.components import components
 
-PLACES, ROWS = 72, 3
-CHUNK = 1000
+PLACES, ROWS = 128, 4
+CHUNK = 500
+BLOCK = 512
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, count: int, places: int = PLACES) -> np.ndarray:
@@ -50,7 +54,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, count: int, places: int =
             break
         if order is None:
             hashes, owner, pick = hashes[stay], owner[stay], pick[stay]
-            order = np.tile(np.arange(places, dtype=np.int16), (len(hashes), 1))
+            order = np.tile(np.arange(places, dtype=np.min_scalar_type(places)), (len(hashes), 1))
             order[np.arange(len(hashes)), pick] = 0
         elif not stay.all():
             hashes, owner, order = hashes[stay], owner[stay], order[stay]
@@ -129,47 +133,99 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(first: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of bucket mates (`first` with any other member) whose sizes allow a link and whose components differ."""
+    """Pairs of bucket mates (`first` with any other member) in different components that can be linked at all.
+
+    What two of them have in common is at most what either shares with any candidate.
+    """
     x, y = first.alias("x"), members.alias("y")
-    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    common = F.least("x.shared", "y.shared")
+    fits = 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
     pairs = x.join(y, "bucket").where("x.node <> y.node AND x.component <> y.component").where(fits)
     return pairs.select(
         F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")
     ).distinct()
 
 
-def linked_components(classes: DataFrame, documents: DataFrame, words: int, percent: int, at_once: int) -> DataFrame:
+def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members with the number of their shingles that other members have (`shared`), where it suffices for a link."""
+    single = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    single = single.agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node")).where("holders = 1")
+    own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    shared = members.join(own, "node", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+    return shared.where(100 * F.col("shared") >= percent * F.col("n")).drop("own")
+
+
+def linked_components(classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
     """`node` and `component` of the classes (`node`, `n`, `bands`) that are linked to a lower one."""
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates"), F.min("node").alias("hub")).where("mates > 1")
-    members = cut(banded.join(shared, "bucket").select("bucket", "node", "n", "hub"))
+    mates = cut(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1").select("bucket"))
+    members = cut(banded.join(mates, "bucket").select("bucket", "node", "n"))
     wanted = members.select("node").distinct()
     sets = cut(shingle_sets(documents.join(wanted, documents["doc_id"] == wanted["node"], "left_semi"), words))
+    members = cut(_able(members, sets, percent))
+    least = F.min(F.struct((F.col("n") - F.col("shared")) / F.col("n"), "node"))["node"]
+    hubs = cut(members.groupBy("bucket").agg(least.alias("hub"), F.count(F.lit(1)).alias("mates")).where("mates > 1"))
+    members = cut(members.join(hubs.drop("mates"), "bucket"))
     fresh = members.withColumn("component", F.col("node"))
-    pairs = _candidates(fresh.where("node = hub"), fresh, percent)
-    links = cut(verified(pairs, sets, percent))
-    done = None
-    while True:
-        found = components(links)
-        placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("held"))
-        main = sizes.groupBy("bucket").agg(
-            F.max(F.struct("held", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("kinds")
-        )
-        mixed = cut(placed.join(main.where("kinds > 1"), "bucket"))
-        out = mixed.where("component <> main AND node <> hub")
-        if done is not None:
-            out = out.join(done, ["bucket", "node"], "left_anti")
-        turn = Window.partitionBy("bucket").orderBy("node")
-        hubs = cut(out.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once))
-        if hubs.isEmpty():
-            return found
-        links = cut(links.union(verified(_candidates(hubs, mixed, percent), sets, percent)).distinct())
-        served = hubs.select("bucket", "node")
-        done = cut(served if done is None else done.union(served))
-
-
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, at_once: int = 16) -> DataFrame:
+    links = cut(verified(_candidates(fresh.where("node = hub"), fresh, percent), sets, percent))
+    placed = cut(_placed(members, links))
+    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("held"))
+    main = sizes.groupBy("bucket").agg(
+        F.max(F.struct("held", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("kinds")
+    )
+    outside = cut(placed.join(cut(main.where("kinds > 1")), "bucket").where("component <> main"))
+    return components(links.union(_against(outside, placed, sets, percent)))
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links)
+    return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _against(outside: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the nodes `outside` with any member of their buckets' `main` component, and with each other.
+
+    One link is enough for each node, block and component.
+
+    Both sides are dealt to blocks of about BLOCK sets; every pair of blocks is compared in a task of its own.
+    """
+    asked = cut(outside.select(F.col("main").alias("part"), "node", "component").distinct())
+    parts = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("p"))
+    inside = placed.select(F.col("component").alias("part"), "node", "component").distinct()
+    held = cut(inside.join(cut(parts), "part").union(asked.join(parts, "part")))
+    blocks = held.groupBy("part", "p").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q"))
+    blocks = cut(blocks)
+
+    def dealt(rows: DataFrame, own: str, mine: str, every: str, other: str) -> DataFrame:
+        cells = rows.join(blocks, "part").withColumn(own, F.pmod(F.xxhash64("node"), F.col(mine)))
+        cells = cells.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(every) - 1)))
+        named = cells.join(sets, "node").select("part", "x", "y", "node", "component", "shingles")
+        return named.toDF("part", "x", "y", "node", "component", "shingles").groupBy("part", "x", "y")
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            sizes = right["shingles"].map(len).to_numpy()
+            values = np.concatenate(right["shingles"].to_numpy())
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(right)), sizes)[order]
+            parts = right["component"].to_numpy()
+            for node, part, own in zip(left["node"], left["component"], left["shingles"], strict=True):
+                first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                spans = last - first
+                at = np.repeat(first - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+                common = np.bincount(owner[at], minlength=len(right))
+                hits = np.flatnonzero((100 * common >= percent * (len(own) + sizes - common)) & (parts != part))
+                for at in hits[np.unique(parts[hits], return_index=True)[1]]:
+                    found.append((node, right["node"].iloc[at]))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs.max(1, initial=-(2**63)), "b": pairs.min(1, initial=2**63 - 1)})
+
+    cells = dealt(asked, "x", "p", "q", "y").cogroup(dealt(held.drop("p"), "y", "q", "p", "x"))
+    return cells.applyInPandas(compare, "a long, b long")
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` (the least id linked with it, however far) and `kept` of every document."""
     rows = cut(sketched(documents, words))
     able = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
@@ -179,7 +235,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, at_
         .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
         .withColumnRenamed("n_shingles", "n")
     )
-    found = linked_components(classes, documents, words, percent, at_once)
+    found = linked_components(classes, documents, words, percent)
     named = classes.join(found, "node", "left").select(
         "d1", "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id")
     )

@@ -1,10 +1,12 @@
 """Language-model scoring by context-tree weighting over the bytes of words.
 
 A text is its words in turn, each closed by a space, then an end. Every byte is eight binary decisions. A decision's
-contexts are the bytes before it, none to DEPTH of them, whichever words they are of. Each context keeps a
-Krichevsky-Trofimov estimate, and the weighted probability of a context is half its own estimate and half the product
-of its children's, over all depths. Predictions of the trained tree are linear in the estimates along a path, so the
-tree is folded from the leaves up for its weights and from the root down for its predictions, one join a depth.
+contexts are the bytes before it, none to DEPTH of them; contexts that reach into the word before end at CROSS bytes.
+Each context keeps a Krichevsky-Trofimov estimate, and the weighted probability of a context is half its own estimate
+and half the product of its children's, over all depths. Predictions of the trained tree are linear in the estimates
+along a path, so the tree is folded from the leaves up for its weights and from the root down for its predictions.
+Counts of distinct n-grams are dealt by the last TOP bytes of context, so each task folds whole subtrees; the levels
+above them, bounded by the alphabet, are folded on the driver.
 
 The corpus comes in blocks, parts of file splits of bounded size. A block asks once for each of its distinct words and
 n-grams, so frequent words are one row a block however many documents hold them; answers meet the block's texts again.
@@ -17,21 +19,20 @@ are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import cut
+from chartloom.llm.common import cut, word_hashes
 
-DEPTH = 5
+DEPTH, CROSS, TOP = 5, 4, 2
 SLICE = 1 << 20
 BLOCK_BYTES = 16 << 20
 END = b"\n"
+END_HASH = np.uint64(0xE4D)
 
 
 def with_block(documents: DataFrame) -> DataFrame:
@@ -42,131 +43,187 @@ def with_block(documents: DataFrame) -> DataFrame:
     return documents.withColumn("block", F.xxhash64(F.input_file_name(), F.expr("input_file_block_start()"), part))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
+def _lower(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def gram_keys(words: list[bytes], depth: int = DEPTH) -> Iterator[np.ndarray]:
-    """For each byte of a text its `depth` bytes of context, oldest first, and the byte itself as one number."""
-    raw = np.frombuffer(END * (depth - 1) + b" " + b" ".join(words), np.uint8).astype(np.int64)
-    for at in range(0, len(raw) - depth, SLICE):
-        some = raw[at : at + SLICE + depth]
-        key = some[depth:].copy()
+def words_of(data: bytes) -> np.ndarray:
+    """Hashes of the words of a text, then of the end."""
+    return np.append(word_hashes(data)[0], END_HASH)
+
+
+def gram_keys(data: bytes, depth: int = DEPTH, cross: int = CROSS) -> Iterator[np.ndarray]:
+    """One number for each byte of a text: the length of its context, the context, oldest byte first, and the byte."""
+    raw = np.frombuffer(END * depth + b" ".join([b"", *data.split(), END]), np.uint8).astype(np.int64)
+    for at in range(0, len(raw) - depth - 1, SLICE):
+        some = raw[at : at + SLICE + depth + 1]
+        key, crossed = some[depth + 1 :].copy(), np.zeros(len(some) - depth - 1, bool)
         for back in range(1, depth + 1):
-            key += some[depth - back : len(some) - back] << (8 * back)
-        yield key
-
-
-def _word_rows(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each block met in a task, with their count in training texts."""
-    seen: dict[int, set[bytes]] = {}
-    learned: dict[int, Counter] = {}
-    for batch in blocks:
-        columns = (batch.column(c).to_pylist() for c in ("block", "held_out", "text"))
-        for block, held_out, text in zip(*columns, strict=True):
-            words = tokens(text)
-            seen.setdefault(block, set()).update(words)
-            if not held_out:
-                learned.setdefault(block, Counter()).update(words)
-    for block, words in seen.items():
-        counts = learned.get(block, {})
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * len(words), pa.int64()),
-                pa.array(words, pa.binary()),
-                pa.array([counts.get(w, 0) for w in words], pa.int64()),
-            ],
-            ["block", "word", "n"],
-        )
-
-
-def _folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return [(keys, np.bincount(where, np.concatenate([p[1] for p in parts])))]
-
-
-def _gram_rows(depth: int):
-    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        fresh: dict[int, int] = {}
-        for batch in blocks:
+            before = some[depth + 1 - back : len(some) - back]
+            key += np.where(crossed, 0, before) << (8 * back) if back > cross else before << (8 * back)
+            crossed |= (before == 32) & (back <= cross)
+        yield key + (np.where(crossed, cross, depth) << 56)
+
+
+def _folded(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(where, np.concatenate(n), len(found))
+
+
+class _Tally:
+    """Distinct keys of a block with their counts in training texts."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.fresh = 0
+
+    def add(self, keys: np.ndarray, weight: float) -> None:
+        self.keys.append(keys)
+        self.n.append(np.full(len(keys), weight))
+        self.fresh += len(keys)
+        if self.fresh > 2 * SLICE:
+            self.fold()
+
+    def fold(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = _folded(self.keys, self.n)
+        self.keys, self.n, self.fresh = [keys], [n], 0
+        return keys, n
+
+
+def _asked(split: Callable[[bytes], Iterable[np.ndarray]]):
+    """Rows (`block`, `key`, `n`) of what the texts of each block are made of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, _Tally] = {}
+        for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("block", "held_out", "text"))
             for block, held_out, text in zip(*columns, strict=True):
-                for keys in gram_keys(tokens(text), depth):
-                    found.setdefault(block, []).append((keys, np.full(len(keys), 0.0 if held_out else 1.0)))
-                    fresh[block] = fresh.get(block, 0) + len(keys)
-                if fresh[block] > 2 * SLICE:
-                    found[block], fresh[block] = _folded(found[block]), 0
-        for block, parts in found.items():
-            keys, n = _folded(parts)[0]
+                tally = found.setdefault(block, _Tally())
+                for keys in split(_lower(text)):
+                    tally.add(keys, 0.0 if held_out else 1.0)
+        for block, tally in found.items():
+            keys, n = tally.fold()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(n.astype(np.int64))], ["block", "key", "n"]
+                [pa.array(np.full(len(keys), block)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
+                ["block", "key", "n"],
             )
 
     return run
 
 
-def _log_gamma(x: Column) -> Column:
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series after a shift by eight, exact to about 1e-12 for x >= 0.5."""
-    y = x + 8
-    product = reduce(lambda a, b: a * b, [x + i for i in range(8)])
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+    y, product = x + 8, np.ones_like(x)
+    for i in range(8):
+        product = product * (x + i)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(product)
 
 
-def _estimate() -> Column:
-    """Log probability of the counts `n0` and `n1` under Krichevsky and Trofimov."""
-    zero, one = F.col("n0").cast("double"), F.col("n1").cast("double")
+def estimate(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Log probability of the counts under Krichevsky and Trofimov."""
     return _log_gamma(zero + 0.5) + _log_gamma(one + 0.5) - math.log(math.pi) - _log_gamma(zero + one + 1)
 
 
-def _parent(depth: int) -> Column:
-    """Context of length `depth` without its oldest byte."""
-    return F.col("context").bitwiseAND(F.lit((1 << (8 * (depth - 1))) - 1))
+class Level:
+    """Nodes (context and bits so far) of one depth: counts, weighted probability, and which are leaves."""
+
+    def __init__(self, node, zero, one, weighted, leaf):
+        order = np.argsort(node)
+        self.node, self.zero, self.one, self.weighted, self.leaf = (x[order] for x in (node, zero, one, weighted, leaf))
+
+    @classmethod
+    def of_leaves(cls, node: np.ndarray, zero: np.ndarray, one: np.ndarray) -> Level:
+        found, where = np.unique(node, return_inverse=True)
+        zero, one = (np.bincount(where, x, len(found)) for x in (zero, one))
+        return cls(found, zero, one, estimate(zero, one), np.ones(len(found), bool))
+
+    def parents(self, depth: int) -> np.ndarray:
+        return (self.node >> 8 & (1 << 8 * (depth - 1)) - 1) << 8 | self.node & 255
+
+    def above(self, depth: int, leaves: Level) -> Level:
+        """The level of depth - 1: parents of these nodes, and its own leaves."""
+        found, where = np.unique(self.parents(depth), return_inverse=True)
+        zero, one, below = (np.bincount(where, x, len(found)) for x in (self.zero, self.one, self.weighted))
+        weighted = np.logaddexp(estimate(zero, one), below) - math.log(2)
+        inner = (found, zero, one, weighted, np.zeros(len(found), bool))
+        names = ("node", "zero", "one", "weighted", "leaf")
+        return Level(*(np.concatenate((getattr(leaves, n), x)) for n, x in zip(names, inner, strict=True)))
+
+    def mixed(self, sure: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Prediction of a one settled down to here, and the share left to deeper contexts."""
+        chance = (self.one + 0.5) / (self.zero + self.one + 1)
+        share = np.where(self.leaf, 1.0, np.exp(estimate(self.zero, self.one) - self.weighted - math.log(2)))
+        return sure + open_ * share * chance, open_ * (1 - share)
+
+
+def _bits(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Node and bit of each of the eight decisions of a key."""
+    context, byte = keys >> 8 & (1 << 48) - 1, keys & 255
+    for j in range(8):
+        yield context << 8 | (1 << j) + (byte >> 8 - j), byte >> 7 - j & 1
+
+
+def fold_up(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> dict[int, Level]:
+    """Levels `depth` to `top` of the subtrees that hold `keys`."""
+    length = keys >> 56
+    node, bit = (np.concatenate(x) for x in zip(*_bits(keys), strict=True))
+    every, long_ = np.tile(n, 8), np.tile(length, 8)
+    levels: dict[int, Level] = {}
+    for d in range(depth, top - 1, -1):
+        m = long_ == d
+        leaves = Level.of_leaves(node[m], np.where(bit[m] == 0, every[m], 0), np.where(bit[m] == 1, every[m], 0))
+        levels[d] = levels[d + 1].above(d + 1, leaves) if levels else leaves
+    return levels
 
 
-def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+def gram_scores(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFrame:
     """`key` and `log10p`, the model's probability of the byte in its context, from training counts (`key`, `n`)."""
-    counts = cut(
-        counts.select(
-            "key", "n", F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("byte")
-        )
-    )
-    steps = F.expr(
-        "transform(sequence(0, 7), j -> struct(shiftleft(1, j) + shiftright(byte, 8 - j) AS node,"
-        " shiftright(byte, 7 - j) & 1 AS bit))"
-    )
-    bits = counts.withColumn("step", F.explode(steps)).select("context", "n", "step.*")
-    zero, one = (F.sum(F.when(F.col("bit") == b, F.col("n")).otherwise(0)) for b in (0, 1))
-    level = bits.groupBy("context", "node").agg(zero.alias("n0"), one.alias("n1"))
-    levels = [cut(level.withColumn("weighted", _estimate()))]
-    for length in range(depth, 0, -1):
-        below = levels[0].groupBy(_parent(length).alias("context"), "node").agg(
-            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("below")
-        )
-        both = F.greatest("own", "below") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("below")))) - math.log(2)
-        levels.insert(0, cut(below.withColumn("own", _estimate()).withColumn("weighted", both).drop("own", "below")))
-
-    known: DataFrame | None = None
-    for length, level in enumerate(levels):
-        chance = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-        share = F.lit(1.0) if length == depth else F.exp(_estimate() - F.col("weighted") - math.log(2))
-        rows = level.withColumn("chance", chance).withColumn("share", share)
-        if known is None:
-            rows = rows.withColumn("sure", F.lit(0.0)).withColumn("open", F.lit(1.0))
-        else:
-            rows = rows.withColumn("parent", _parent(length)).join(known.withColumnRenamed("context", "parent"), ["parent", "node"])
-        sure = F.col("sure") + F.col("open") * F.col("share") * F.col("chance")
-        known = rows.select("context", "node", sure.alias("sure"), (F.col("open") * (1 - F.col("share"))).alias("open"))
-
-    ones = known.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("node", "sure"))).alias("ones"))
-    code = F.aggregate(
-        steps,
-        F.lit(0.0),
-        lambda total, s: total
-        + F.log10(F.when(s["bit"] == 1, F.col("ones")[s["node"]]).otherwise(1 - F.col("ones")[s["node"]])),
-    )
-    return counts.join(ones, "context").select("key", code.alias("log10p"))
+    part = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * top) - 1))
+    counts = cut(counts.select("key", "n", part.alias("part")))
+
+    def roots(table: pa.Table) -> pa.Table:
+        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy().astype(float)
+        level = fold_up(keys, n, depth, top)[top]
+        names = ["node", "zero", "one", "weighted"]
+        return pa.table([pa.array(getattr(level, c)) for c in names], names=names)
+
+    tops = counts.groupBy("part").applyInArrow(roots, "node long, zero double, one double, weighted double").toPandas()
+    inner = np.zeros(len(tops), bool)
+    levels = [Level(*(tops[c].to_numpy() for c in ("node", "zero", "one", "weighted")), inner)]
+    none = Level(*(x[:0] for x in (levels[0].node, levels[0].zero, levels[0].one, levels[0].weighted, inner)))
+    for d in range(top, 0, -1):
+        levels.insert(0, levels[0].above(d, none))
+    sure, open_ = np.zeros(len(levels[0].node)), np.ones(len(levels[0].node))
+    for d, level in enumerate(levels):
+        if d:
+            at = np.searchsorted(levels[d - 1].node, level.parents(d))
+            sure, open_ = sure[at], open_[at]
+        if d < top:
+            sure, open_ = level.mixed(sure, open_)
+    shared = counts.sparkSession.sparkContext.broadcast((levels[-1].node, sure, open_))
+
+    def score(table: pa.Table) -> pa.Table:
+        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy().astype(float)
+        tree, (node, sure, open_) = fold_up(keys, n, depth, top), shared.value
+        known: dict[int, tuple] = {}
+        for d in range(top, depth + 1):
+            if d == top:
+                at = np.searchsorted(node, tree[d].node)
+                known[d] = tree[d].mixed(sure[at], open_[at])
+            else:
+                at = np.searchsorted(tree[d - 1].node, tree[d].parents(d))
+                known[d] = tree[d].mixed(*(x[at] for x in known[d - 1]))
+        length, total = keys >> 56, np.zeros(len(keys))
+        for node, bit in _bits(keys):
+            for d in range(top, depth + 1):
+                m = length == d
+                one = known[d][0][np.searchsorted(tree[d].node, node[m])]
+                total[m] += np.log10(np.where(bit[m] == 1, one, 1 - one))
+        return pa.table([pa.array(keys), pa.array(total)], names=["key", "log10p"])
+
+    return counts.groupBy("part").applyInArrow(score, "key long, log10p double")
 
 
 SCHEMA = (
@@ -175,29 +232,27 @@ SCHEMA = (
 )
 
 
-def _scorer(total: int, distinct: int, depth: int):
+def _scorer(total: int, distinct: int):
     """Scores of a block's texts from the answers to what it asked."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = right.column("word").to_pylist()
-        counts, keys, values = (right.column(c).to_numpy() for c in ("n", "key", "log10p"))
-        is_word = np.array([w is not None for w in names], bool)
-        known = counts[is_word]
-        base = np.log10((known + 1) / (total + distinct + 1))
-        order = np.argsort(keys[~is_word])
-        keys, values = keys[~is_word][order], values[~is_word][order].astype(np.float64)
-        number = {w: i for i, w in enumerate(w for w in names if w is not None)}
+        is_word, keys, values = (right.column(c).to_numpy() for c in ("word", "key", "value"))
+        order = np.argsort(keys, kind="stable")
+        is_word, keys, values = is_word[order], keys[order], values[order]
+        words, counts, grams, logs = keys[is_word], values[is_word], keys[~is_word], values[~is_word]
+        base = np.log10((counts + 1) / (total + distinct + 1))
         out = []
         columns = (left.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
         for doc_id, held_out, text in zip(*columns, strict=True):
-            words = tokens(text)
-            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            data = _lower(text)
+            at = np.searchsorted(words, words_of(data).view(np.int64))
             score, size = 0.0, 0
-            for asked in gram_keys(words, depth):
-                score += float(values[np.searchsorted(keys, asked)].sum())
+            for asked in gram_keys(data):
+                score += float(logs[np.searchsorted(grams, asked)].sum())
                 size += len(asked)
             bits = -score / math.log10(2) / size
-            out.append((doc_id, held_out, len(at), int((known[at] > 0).sum()), total, float(base[at].sum()), score, size, bits))
+            known = int((counts[at] > 0).sum())
+            out.append((doc_id, held_out, len(at), known, total, float(base[at].sum()), score, size, bits))
         kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         fields = [(f.split()[0], kinds[f.split()[1]]) for f in SCHEMA.split(", ")]
         data = list(zip(*out, strict=True)) or [()] * len(fields)
@@ -206,24 +261,22 @@ def _scorer(total: int, distinct: int, depth: int):
     return run
 
 
-def score_texts(documents: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
+def score_texts(documents: DataFrame, held_out: Column) -> DataFrame:
     """Token counts, unigram base score and context-tree score (log10) of every text; learned from those not held out.
 
-    Distinct training words are counted by their 64-bit hash.
+    Words are told apart by a 64-bit hash.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     blocks = with_block(rows)
-    texts = blocks.select("block", "held_out", "text")
-    asked_words = texts.mapInArrow(_word_rows, "block long, word binary, n long")
-    asked_grams = texts.mapInArrow(_gram_rows(depth), "block long, key long, n long")
-    hashed = asked_words.groupBy(F.xxhash64("word").alias("word")).agg(F.sum("n").alias("n"))
-    totals = hashed.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
-    scores = cut(gram_scores(asked_grams.groupBy("key").agg(F.sum("n").alias("n")), depth))
-    no_word, no_key = F.lit(None).cast("binary"), F.lit(0).cast("long")
-    held = F.sum("n").over(Window.partitionBy("word"))
-    word_answers = asked_words.select("block", "word", held.alias("n"), no_key.alias("key"), F.lit(0).cast("float").alias("log10p"))
+    texts, schema = blocks.select("block", "held_out", "text"), "block long, key long, n long"
+    asked_words = texts.mapInArrow(_asked(lambda data: [words_of(data)]), schema)
+    asked_grams = texts.mapInArrow(_asked(gram_keys), schema)
+    counted = asked_words.groupBy("key").agg(F.sum("n").alias("n"))
+    totals = counted.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
+    scores = cut(gram_scores(asked_grams.groupBy("key").agg(F.sum("n").alias("n"))))
+    held = F.sum("n").over(Window.partitionBy("key"))
+    word_answers = asked_words.select("block", F.lit(True).alias("word"), "key", held.cast("double").alias("value"))
     gram_answers = asked_grams.drop("n").join(scores, "key")
-    gram_answers = gram_answers.select("block", no_word.alias("word"), no_key.alias("n"), "key", F.col("log10p").cast("float"))
-    answers = word_answers.union(gram_answers).groupBy("block")
-    scorer = _scorer(totals["n"] or 0, totals["v"] or 0, depth)
-    return blocks.groupBy("block").cogroup(answers).applyInArrow(scorer, SCHEMA)
+    gram_answers = gram_answers.select("block", F.lit(False).alias("word"), "key", F.col("log10p").alias("value"))
+    scorer = _scorer(totals["n"] or 0, totals["v"] or 0)
+    return blocks.groupBy("block").cogroup(word_answers.union(gram_answers).groupBy("block")).applyInArrow(scorer, SCHEMA)
