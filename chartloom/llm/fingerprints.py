@@ -101,7 +101,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     )
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     places = keyed.select("key").approxQuantile("key", [i / parts for i in range(1, parts)], 1 / (4 * parts))
-    splits = [-float("inf"), *sorted(set(places)), float("inf")]
+    splits = [-float("inf"), *sorted(set(places) or {0.0}), float("inf")]
     bins = Bucketizer(splits=splits, inputCol="at", outputCol="bin")
     placed = bins.transform(keyed.withColumn("at", F.col("key").cast("double")))
     placed = placed.select("doc_id", "key", "text", F.col("bin").cast("int").alias("bin"))

@@ -48,6 +48,8 @@ def gram_ids(text: str) -> Iterator[np.ndarray]:
 
 def codewords(classes: int) -> np.ndarray:
     """Codewords of -1 and 1: all two-sided splits of up to five classes, else the best of some random codes."""
+    if classes < 2:
+        return np.zeros((classes, 0), np.int64)
     if classes <= 5:
         bits = [[1 if (j >> i) & 1 else -1 for i in range(classes)] for j in range(1, 1 << max(0, classes - 1))]
         return np.array(bits).T.reshape(classes, -1)

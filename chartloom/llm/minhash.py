@@ -12,8 +12,8 @@ together. Members left outside the bucket's largest component are then compared
 block within tasks, and with each other. A pair of bucket mates is left out only if it is known to be in one component
 or too unlike, so no link between components is missed, and no bucket is capped.
 
-Null and empty texts have no shingles and are linked with nothing; rows with a null id stand alone. Rows with equal ids
-count as one document. Columns other than `doc_id` and `text` are not read. An empty table gives no rows.
+Null and empty texts have no shingles and are linked with nothing; rows with a null id stand alone. Rows are told
+apart by their shingles, so rows with equal ids and different texts can be in different components. Columns other than `doc_id` and `text` are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -74,20 +74,24 @@ class _Tally:
     """Distinct keys of a block with their counts in training texts."""
 
     def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.n: list[np.ndarray] = []
-        self.fresh = 0
-
-    def add(self, keys: np.ndarray, weight: float) -> None:
-        self.keys.append(keys)
-        self.n.append(np.full(len(keys), weight))
-        self.fresh += len(keys)
-        if self.fresh > 2 * SLICE:
+        self.keys, self.n = [np.empty(0, np.int64)], [np.empty(0)]
+        self.fresh: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        self.size = 0
+
+    def add(self, keys: np.ndarray, held_out: bool) -> None:
+        self.fresh[held_out].append(keys.view(np.int64))
+        self.size += len(keys)
+        if self.size > 4 * SLICE:
             self.fold()
 
     def fold(self) -> tuple[np.ndarray, np.ndarray]:
+        for held_out, parts in enumerate(self.fresh):
+            if parts:
+                keys, n = np.unique(np.concatenate(parts), return_counts=True)
+                self.keys.append(keys)
+                self.n.append(n * (0.0 if held_out else 1.0))
         keys, n = _folded(self.keys, self.n)
-        self.keys, self.n, self.fresh = [keys], [n], 0
+        self.keys, self.n, self.fresh, self.size = [keys], [n], ([], []), 0
         return keys, n
 
 
@@ -101,11 +105,11 @@ def _asked(split: Callable[[bytes], Iterable[np.ndarray]]):
             for block, held_out, text in zip(*columns, strict=True):
                 tally = found.setdefault(block, _Tally())
                 for keys in split(_lower(text)):
-                    tally.add(keys, 0.0 if held_out else 1.0)
+                    tally.add(keys, bool(held_out))
         for block, tally in found.items():
             keys, n = tally.fold()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), block)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
+                [pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(n.astype(np.int64))],
                 ["block", "key", "n"],
             )
 

@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, five-word shingles and a similarity of 0.8: the one of least id.
 
-    Rows without id stay. Of rows with the same id one stays.
+    Rows without id stay. Of rows with the same id and text one stays.
     """
     found = near_duplicates(docs, words=5, percent=80)
     kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
