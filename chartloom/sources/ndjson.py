@@ -33,7 +33,7 @@ def scan_documents(lines: DataFrame, resource: str, catalog: Catalog) -> DataFra
     unknown = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
     # A generator of one row, as in `parse_documents`: no filter on it parses again.
     scanned = F.struct(doc.alias("doc"), unknown.alias("unknown_elements"))
-    rows = lines.where(F.trim("value") != "").select(*lines.columns, F.inline(F.array(scanned)))
+    rows = lines.where(F.col("value").rlike(r"\S")).select(*lines.columns, F.inline(F.array(scanned)))
     code = F.when(
         F.col("doc._corrupt").isNotNull(),
         F.when(F.try_parse_json("value").isNull(), READ_FAILED).otherwise(SHAPE_FAILED),
@@ -58,4 +58,4 @@ def batch_documents(texts: DataFrame) -> DataFrame:
         F.ltrim("value").startswith("["), F.from_json("value", "array<string>")
     ).otherwise(F.split("value", "\n"))
     rows = explode_present(texts.withColumn("value", items), "value", "document")
-    return rows.where(F.trim("document") != "")
+    return rows.where(F.col("document").rlike(r"\S"))

@@ -150,3 +150,8 @@ def test_parsing_happens_once_per_document(lines, catalog):
     rows = shared_table(normalize(lines({"id": "p"}), "Patient", catalog), "reference")
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_lines_of_white_space_are_skipped(lines, catalog):
+    found = scan_documents(lines("\t", "\r", " \t\r", '{"resourceType":"Patient","id":"a"}'), "Patient", catalog)
+    assert found.count() == 1 and rejected_lines(found).count() == 0
