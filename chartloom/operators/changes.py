@@ -26,7 +26,7 @@ AUDIT_COLUMNS = [
 def version_id(version: Column) -> Column:
     """Whole-number version, 0 when it is missing or no number."""
     text = F.trim(version.cast("string"))
-    return F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int")), F.lit(0))
+    return F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def identifier_source(identifiers: Column, default: str) -> Column:
@@ -76,11 +76,18 @@ def from_event() -> Column:
 
 def newest_versions(rows: DataFrame) -> DataFrame:
     """One row per id: highest version, then latest update time."""
-    return latest_per_key(
-        rows,
-        ["id"],
-        [F.col("meta_versionid").desc(), F.col("meta_lastupdated").desc_nulls_last()],
-    )
+    return latest_per_key(rows, ["id"], newest_first(rows))
+
+
+def newest_first(rows: DataFrame) -> list[Column]:
+    """Order by version and instant of the update; rows equal in both go by their digest, so reruns agree."""
+    instant = F.col("meta_lastupdated").try_cast("timestamp")
+    return [
+        F.col("meta_versionid").desc(),
+        instant.desc_nulls_last(),
+        F.col("meta_lastupdated").desc_nulls_last(),
+        F.xxhash64(*rows.columns).desc(),
+    ]
 
 
 def with_stored(incoming: DataFrame, state: DataFrame) -> DataFrame:

@@ -65,10 +65,10 @@ def replace_shared_rows(
 
     Driven by the set of updated ids, so an update that drops its last row still clears it.
     """
-    doomed = updated_ids.select("id").distinct()
-    touched = F.col("field_name").isin(fields)
-    kept = state.where(touched).join(doomed, "id", "left_anti")
-    return state.where(~touched).unionByName(kept).unionByName(rows, allowMissingColumns=True)
+    names = F.array(*[F.lit(f) for f in fields]) if fields else F.array().cast("array<string>")
+    doomed = updated_ids.select("id").distinct().select("id", F.explode(names).alias("field_name"))
+    kept = state.join(doomed, ["id", "field_name"], "left_anti")
+    return kept.select(*state.columns).unionByName(rows, allowMissingColumns=True)
 
 
 def updated_ids(classified: DataFrame) -> DataFrame:

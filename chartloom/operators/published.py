@@ -5,13 +5,14 @@ and then writes one list of (table, bucket, version): the versions before it, wi
 in place of those it rewrote. That one small file makes all its tables visible together; a
 batch that failed before it leaves nothing a reader can see. A replayed batch starts from
 the versions before its own and writes the same folders again.
+
+Tables that are published together are a group with numbers and lists of its own, so batches of
+other groups in the same folder neither see nor undo them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +35,27 @@ class TableSet:
         key: str = "id",
         buckets: int = 16,
         lookups: tuple[str, ...] = (),
+        group: str = "all",
     ):
-        """`lookups` are columns often searched for single values; they get bloom filters."""
+        """`lookups` are columns often searched for single values; they get bloom filters.
+
+        Batch numbers have to be unique within `group`.
+        """
         self.spark = spark
         self.path = path
         self.key = key
         self.buckets = buckets
         self.lookups = (key, *lookups)
+        self.group = group
+
+    def of(self, group: str) -> TableSet:
+        """The tables of another group in the same folder."""
+        others = tuple(c for c in self.lookups if c != self.key)
+        return TableSet(self.spark, self.path, self.key, self.buckets, others, group)
+
+    @property
+    def _log(self) -> str:
+        return f"{self.path}/published/{self.group}"
 
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -55,7 +70,7 @@ class TableSet:
 
     def snapshot(self, before: int | None = None) -> Snapshot:
         """Published versions, the newest ones or those in force before a batch."""
-        log = f"{self.path}/published"
+        log = self._log
         rows = None
         if before is not None:
             rows = self._listed(f"{log}/batch_no={before - 1}", PUBLISHED)
@@ -91,15 +106,14 @@ class TableSet:
             T.StructField("bucket_no", T.IntegerType()),
         ]
         stored = T.StructType([*schema.fields, *partition])
-        chosen = [
-            (F.col("batch_no") == version) & F.col("bucket_no").isin(buckets)
-            for version, buckets in by_version.items()
-        ]
+        # One flat set over the partition columns, however many versions are in force.
+        chosen = [v * self.buckets + b for v, buckets in by_version.items() for b in buckets]
+        place = F.col("batch_no") * self.buckets + F.col("bucket_no")
         return (
             self.spark.read.schema(stored)
             .option("basePath", f"{self.path}/{table}")
             .parquet(*[self._folder(table, version) for version in by_version])
-            .where(reduce(or_, chosen))
+            .where(place.isin(chosen))
             .drop("batch_no", "bucket_no")
         )
 
@@ -130,7 +144,7 @@ class TableSet:
         listed = [f"('{table}', {b}, {v}L)" for (table, b), v in sorted(versions.items())]
         source = f"VALUES {', '.join(listed)}" if listed else "(SELECT '', 0, 0L WHERE false)"
         rows = self.spark.sql(f"SELECT * FROM {source} AS t(table, bucket, version)")
-        folder = f"{self.path}/published/batch_no={version}"
+        folder = f"{self._log}/batch_no={version}"
         rows.coalesce(1).write.mode("overwrite").parquet(folder)
 
     def rewrite(

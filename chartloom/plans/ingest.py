@@ -32,6 +32,10 @@ class Ingest:
     default_source: str = "default"
     pipeline_type: str = "core-data-ingester"
 
+    def __post_init__(self) -> None:
+        # Every resource type numbers its batches itself.
+        self.tables = self.tables.of(self.table)
+
     @property
     def table(self) -> str:
         return self.resource.lower()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.operators import lineage
+from chartloom.operators import changes, lineage
 from chartloom.operators.frames import latest_per_key
 from chartloom.operators.published import TableSet
 from chartloom.plans.ingest import Ingest, ingest
@@ -76,15 +76,26 @@ def event_stream(
     """Change events to loaded resources.
 
     `documents` (id, value) stands for the server the resources are fetched from. Several
-    events of a batch on one resource fetch it once.
+    events of a batch on one resource fetch it once. Targets that cannot be loaded, because no
+    document has the id or the run loads another type, go to `work`/unfetched with the reason.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        targets = event_target(batch).where(F.col("resource_type") == run.resource)
-        wanted = targets.select(F.substring_index("subject", "/", -1).alias("id")).distinct()
+        at = _batch_folder(f"{work}/fetched", number)
+        last = F.substring_index("subject", "/", -1).alias("id")
+        wanted = event_target(batch).select("resource_type", last).distinct()
+        # No document has a null key, so targets of other types are only carried along.
+        mine = F.when(F.col("resource_type").eqNullSafe(F.lit(run.resource)), F.col("id"))
+        served = documents.select(F.col("id").alias("served_id"), "value")
+        found = wanted.withColumn("key", mine).join(served, F.col("key") == F.col("served_id"), "left")
+        found.drop("served_id").write.mode("overwrite").parquet(at)
+        fetched = spark.read.parquet(at)
+        reason = F.when(F.col("key").isNull(), "other_type").otherwise("not_found")
+        missed = fetched.where(F.col("value").isNull()).select("resource_type", "id", reason.alias("reason"))
+        missed.write.mode("overwrite").parquet(_batch_folder(f"{work}/unfetched", number))
         folder = F.concat(F.lit("event-load/"), F.col("id"), F.lit(f"/{run.resource}-1.ndjson"))
-        fetched = wanted.join(documents, "id").select("value", folder.alias("url"))
-        audit = ingest(spark, fetched, run, number + 1)
+        lines = fetched.where(F.col("value").isNotNull()).select("value", folder.alias("url"))
+        audit = ingest(spark, lines, run, number + 1)
         audit.write.mode("overwrite").parquet(_batch_folder(f"{work}/audit", number))
 
     drain(events, f"{work}/checkpoint", each)
@@ -216,15 +227,22 @@ def redelivery_stream(messages: DataFrame, work: str, now: Callable[[int], str])
     drain(messages, f"{work}/checkpoint", each)
 
 
+def redelivered(spark: SparkSession, work: str) -> DataFrame:
+    """Every message once: those delivered by any batch, and those the newest batch left waiting."""
+    written = spark.read.option("basePath", f"{work}/messages").parquet(f"{work}/messages")
+    newest = written.agg(F.max("batch")).first()[0]
+    return written.where((F.col("state") == "due") | (F.col("batch") == newest)).drop("batch")
+
+
 def latest_version_stream(
     rows: DataFrame, tables: TableSet, table: str, schema: T.StructType, work: str
 ) -> None:
     """Keep the highest version of every id over all micro-batches."""
-    newest_first = [F.col("meta_versionid").desc(), F.col("meta_lastupdated").desc()]
+    order = changes.newest_first(rows)
 
     def each(batch: DataFrame, number: int) -> None:
         version, at = number + 1, f"{work}/newest/{number}"
-        latest_per_key(batch, ["id"], newest_first).write.mode("overwrite").parquet(at)
+        latest_per_key(batch, ["id"], order).write.mode("overwrite").parquet(at)
         newest = batch.sparkSession.read.parquet(at)
         buckets = tables.touched(newest)
         if buckets:
@@ -233,7 +251,7 @@ def latest_version_stream(
                 schema,
                 buckets,
                 version,
-                lambda state: latest_per_key(state.unionByName(newest), ["id"], newest_first),
+                lambda state: latest_per_key(state.unionByName(newest), ["id"], order),
             )
             tables.publish(version, {table: buckets})
 

@@ -58,7 +58,7 @@ CLASSIFIED = f"""
     """
     SELECT 'pat-' || c_custkey AS id,
            CAST(CASE c_custkey % 6 WHEN 0 THEN 7 WHEN 1 THEN 7 WHEN 5 THEN c_custkey ELSE 0 END
-                AS INTEGER) AS meta_versionid
+                AS BIGINT) AS meta_versionid
     FROM customer
     """,
 )

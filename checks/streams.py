@@ -152,7 +152,7 @@ def stream_redelivery(spark, sf_dir):
         "event_id", "cast(ts AS timestamp) + make_dt_interval(int(event_id % 4)) AS not_before"
     )
     jobs.redelivery_stream(messages, work, lambda number: "2024-01-20 00:00:00")
-    return spark.read.parquet(f"{work}/messages").select("event_id", "state")
+    return jobs.redelivered(spark, work).select("event_id", "state")
 
 
 @check(

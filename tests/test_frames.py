@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chartloom.operators import frames
 from chartloom.operators.changes import classify, newest_versions, with_stored
 from chartloom.operators.errors import retry_split
+from chartloom.operators.load import replace_shared_rows
 from chartloom.sources.staging import assign_pages
 
 
@@ -85,3 +86,22 @@ def test_union_skips_absent_frames_and_fills_columns(spark):
     assert frames.union_frames(None, [None]) is None
     rows = frames.union_frames(one, [None, two]).collect()
     assert sorted((r.id, r.x) for r in rows if r.x) == [(2, 1), (3, 1)] and len(rows) == 4
+
+
+def test_newest_goes_by_the_instant_and_ties_by_the_row(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "2024-01-01T10:00:00+09:00", "x"), ("a", 1, "2024-01-01T05:00:00Z", "y"),
+         ("b", 1, None, "x"), ("b", 1, None, "y")],
+        "id string, meta_versionid int, meta_lastupdated string, document string",
+    )
+    kept = {r.id: r.document for r in newest_versions(rows).collect()}
+    turned = {r.id: r.document for r in newest_versions(rows.orderBy("document", ascending=False)).collect()}
+    assert kept["a"] == "y" and kept == turned
+
+
+def test_shared_rows_without_a_field_name_stay(spark):
+    columns = "id string, field_name string, seq_no int"
+    state = spark.createDataFrame([("a", None, 0), ("a", "code", 0), ("a", "other", 0), ("b", "code", 0)], columns)
+    ids = spark.createDataFrame([("a",)], "id string")
+    kept = replace_shared_rows(state, state.where("false"), ids, ["code"]).collect()
+    assert {(r.id, r.field_name) for r in kept} == {("a", None), ("a", "other"), ("b", "code")}

@@ -239,3 +239,43 @@ def test_bad_lines_are_rejected_and_the_rest_of_the_file_loads(spark, catalog, l
     assert [r.id for r in run.read("patient").collect()] == ["p1"]
     rejected = sorted((r.error_code, r.unknown_elements or []) for r in run.rejected(1).collect())
     assert rejected == [("601", []), ("602", []), ("602", ["shoeSize"])]
+
+
+def test_types_of_one_set_number_their_batches_themselves(spark, catalog, lines):
+    run = new_run(spark, catalog, "types")
+    other = Ingest("Encounter", catalog, run.tables, f"{run.work}/encounters", AS_OF)
+    ingest(spark, lines(patient(1, 1), url="u"), run, 1)
+    ingest(spark, lines({"id": "e1", "meta": {"versionId": "1"}}, url="u"), other, 1)
+    ingest(spark, lines(patient(2, 1), url="u"), run, 2)
+    assert run.read("patient").count() == 2 and other.read("encounter").count() == 1
+
+
+def test_versions_beyond_four_bytes_are_kept(spark, catalog, lines):
+    run = new_run(spark, catalog, "long")
+    ingest(spark, lines(patient(1, 20240101120000), url="u"), run, 1)
+    again = ingest(spark, lines(patient(1, 4294967296), url="u"), run, 2)
+    assert operations(again) == [("p1", 4294967296, "duplicate")]
+
+
+def test_events_without_a_document_are_told(spark, catalog, tmp_path):
+    run, work = new_run(spark, catalog, "events"), work_dir(spark, "events-work")
+    events = [(f"h/{name}", "Created") for name in ("Patient/p1", "Patient/p2", "Group/p1")]
+    for number, event in enumerate(events):
+        write_messages(spark, tmp_path, f"m{number}", [event], "subject string, eventType string")
+        stream = message_stream(spark, str(tmp_path), "subject string, eventType string")
+        served = spark.createDataFrame([("p1", json.dumps(patient(1, 1)))], "id string, value string")
+        jobs.event_stream(spark, stream, served, run, work)
+    missed = spark.read.parquet(f"{work}/unfetched").select("resource_type", "id", "reason").collect()
+    assert sorted(map(tuple, missed)) == [("Group", "p1", "other_type"), ("Patient", "p2", "not_found")]
+    assert run.read("patient").count() == 1 and run.read("patient_codeableconcept").count() == 1
+
+
+def test_waiting_messages_are_told_once_over_batches(spark, tmp_path):
+    schema, work = "k string, not_before timestamp", work_dir(spark, "waiting")
+    for number, day in enumerate(("2024-01-01", "2024-01-03", "2024-01-09")):
+        row = spark.sql(f"SELECT 'k{number}' AS k, timestamp'{day}' AS not_before").first()
+        write_messages(spark, tmp_path, f"m{number}", [tuple(row)], schema)
+        stream = message_stream(spark, str(tmp_path), schema)
+        jobs.redelivery_stream(stream, work, lambda batch: f"2024-01-0{batch + 1} 12:00:00")
+    found = jobs.redelivered(spark, work).select("k", "state").collect()
+    assert sorted(map(tuple, found)) == [("k0", "due"), ("k1", "due"), ("k2", "waiting")]

@@ -62,3 +62,15 @@ def test_filtering_scanned_rows_parses_once(lines, catalog):
     good = good_documents(scan_documents(lines({"id": "p"}), "Patient", catalog))
     plan = good.where(F.col("gender") == "male")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_many_versions_in_force_are_one_flat_filter(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path), buckets=2000)
+    rows = spark.range(20).selectExpr("string(id) AS id")
+    tables.write("t", rows, 1)
+    snapshot = {("t", bucket): 1 for bucket in range(2000)}
+    assert tables.read("t", rows.schema, snapshot=snapshot).count() == 20
+    for version in range(2, 2001):
+        (tmp_path / "t" / f"batch_no={version}").mkdir()
+        snapshot["t", 2001 - version] = version
+    tables.read("t", rows.schema, snapshot=snapshot).count()
