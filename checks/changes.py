@@ -45,7 +45,7 @@ CLASSIFIED = f"""
     SELECT c.id, c.v AS meta_versionid, c.u AS meta_lastupdated, c.source, c.k, s.*,
            CASE WHEN s.meta_versionid IS NULL THEN 'new' WHEN s.meta_versionid >= c.v THEN 'duplicate'
                 ELSE 'update' END AS operation
-    FROM (SELECT 'pat-' || c_custkey AS id, CAST({PATIENT_VERSION} AS INTEGER) AS v,
+    FROM (SELECT 'pat-' || c_custkey AS id, CAST({PATIENT_VERSION} AS BIGINT) AS v,
                  {PATIENT_UPDATED} AS u, c_custkey AS k,
                  CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment ELSE 'default' END AS source
           FROM customer) c
