@@ -23,77 +23,113 @@ from chartloom.llm.common import cut
 
 SHARD, QUERIES = 5000, 2048
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 120, 1.2
+BATCH, HOPS = 256, 4
 
 
-def beam_search(points: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query the `width` nearest nodes that a greedy walk over `edges` meets, and their squared distances."""
+def beam_search(
+    points: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the `width` nearest nodes that a greedy walk over `edges` meets, and their squared distances.
+
+    A step opens the HOPS nearest nodes not opened yet. `edges` has one row more than `points`, which is empty.
+    """
     count, n = len(queries), len(points)
     width = min(width, n)
-    nodes = np.full((count, width), start)
-    far = np.full((count, width), np.inf)
-    far[:, 0] = ((queries - points[start]) ** 2).sum(1)
+    norms, own = (points**2).sum(1), (queries**2).sum(1)
+    nodes = np.full((count, width), n)
+    far = np.full((count, width), np.inf, points.dtype)
+    nodes[:, 0], far[:, 0] = start, ((queries - points[start]) ** 2).sum(1)
     open_ = np.zeros((count, width), bool)
     open_[:, 0] = True
     seen = np.zeros((count, n + 1), bool)
     seen[:, [start, n]] = True
     while len(active := np.flatnonzero(open_.any(1))):
-        pick = np.where(open_[active], far[active], np.inf).argmin(1)
-        at = nodes[active, pick]
-        open_[active, pick] = False
-        near = edges[at]
+        line = np.arange(len(active))[:, None]
+        pick = np.argsort(~open_[active], 1, kind="stable")[:, :HOPS]
+        at = np.where(open_[active[:, None], pick], nodes[active[:, None], pick], n)
+        open_[active[:, None], pick] = False
+        near = np.sort(edges[at].reshape(len(active), -1), 1)
         new = ~seen[active[:, None], near]
-        seen[active[:, None], near] = True
-        gap = queries[active, None, :] - points[np.minimum(near, n - 1)]
-        distance = np.where(new, np.einsum("ijk,ijk->ij", gap, gap), np.inf)
+        new[:, 1:] &= near[:, 1:] != near[:, :-1]
+        row, column = np.nonzero(new)
+        met = near[row, column]
+        seen[active[row], met] = True
+        distance = np.full(near.shape, np.inf, points.dtype)
+        inner = np.einsum("ij,ij->i", points[met], queries[active[row]])
+        distance[row, column] = norms[met] + own[active[row]] - 2 * inner
         every = np.concatenate((far[active], distance), 1)
         best = np.argsort(every, 1, kind="stable")[:, :width]
-        line = np.arange(len(active))[:, None]
         far[active] = every[line, best]
         nodes[active] = np.concatenate((nodes[active], near), 1)[line, best]
         open_[active] = np.concatenate((open_[active], new), 1)[line, best]
     return nodes, far
 
 
-def robust_prune(points: np.ndarray, node: int, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """At most `degree` of the candidates: nearest first, dropping those a kept one is closer to by `alpha`."""
-    candidates = np.unique(candidates)
-    candidates = candidates[(candidates != node) & (candidates < len(points))]
-    distance = ((points[candidates] - points[node]) ** 2).sum(1)
-    order = np.argsort(distance, kind="stable")
-    candidates, distance, kept = candidates[order], distance[order], []
-    while len(candidates) and len(kept) < degree:
-        kept.append(candidates[0])
-        stays = alpha * alpha * ((points[candidates] - points[candidates[0]]) ** 2).sum(1) > distance
-        stays[0] = False
-        candidates, distance = candidates[stays], distance[stays]
-    return np.array(kept, np.int64)
+def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """For each node at most `degree` of its candidates: nearest first, dropping those a kept one is closer to by `alpha`.
+
+    Rows of candidates and of the result are padded with len(points).
+    """
+    n, line = len(points), np.arange(len(nodes))
+    candidates = np.sort(candidates, 1)
+    candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = n
+    candidates[candidates == nodes[:, None]] = n
+    some = points[np.minimum(candidates, n - 1)]
+    distance = ((some - points[nodes][:, None]) ** 2).sum(2)
+    distance[candidates == n] = np.inf
+    order = np.argsort(distance, 1, kind="stable")
+    candidates, distance, some = candidates[line[:, None], order], distance[line[:, None], order], some[line[:, None], order]
+    norms = (some**2).sum(2)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * np.matmul(some, some.transpose(0, 2, 1))
+    open_, kept = np.isfinite(distance), np.full((len(nodes), degree), n)
+    for j in range(degree):
+        left = np.flatnonzero(open_.any(1))
+        if not len(left):
+            break
+        first = open_[left].argmax(1)
+        kept[left, j] = candidates[left, first]
+        open_[left] &= alpha * alpha * between[left, first] > distance[left]
+        open_[left, first] = False
+    return kept
+
+
+def _link_back(points: np.ndarray, edges: np.ndarray, batch: np.ndarray, own: np.ndarray, alpha: float) -> None:
+    """Edges from the new neighbours back to the nodes of `batch`; a node with too many is pruned anew."""
+    n, degree = len(points), edges.shape[1]
+    row, column = np.nonzero(own < n)
+    ends, sources = own[row, column], batch[row]
+    order = np.argsort(ends, kind="stable")
+    ends, sources = ends[order], sources[order]
+    others, first, counts = np.unique(ends, return_index=True, return_counts=True)
+    by_count = np.argsort(counts, kind="stable")
+    for at in range(0, len(by_count), BATCH):
+        some = by_count[at : at + BATCH]
+        place = first[some][:, None] + np.arange(counts[some].max())
+        fresh = np.where(place < (first + counts)[some][:, None], sources[np.minimum(place, len(sources) - 1)], n)
+        node, every = others[some], np.sort(np.concatenate((edges[others[some]], fresh), 1), 1)
+        every[:, 1:][every[:, 1:] == every[:, :-1]] = n
+        every.sort(1)
+        full = every[:, degree] < n
+        edges[node[~full]] = every[~full, :degree]
+        if full.any():
+            edges[node[full]] = robust_prune(points, node[full], every[full], degree, alpha)
 
 
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA) -> tuple[np.ndarray, int]:
-    """Edges of every node, padded with len(points), and the node to start from."""
+    """Edges of every node, padded with len(points), one empty row more, and the node to start from."""
     n, random = len(points), np.random.default_rng(11)
     start = int(((points - points.mean(0)) ** 2).sum(1).argmin())
-    edges = np.full((n, degree), n)
+    edges = np.full((n + 1, degree), n)
     if n > 1:
         some = random.integers(0, n, (n, min(degree // 2, n - 1)))
-        edges[:, : some.shape[1]] = np.where(some == np.arange(n)[:, None], (some + 1) % n, some)
+        edges[:n, : some.shape[1]] = np.where(some == np.arange(n)[:, None], (some + 1) % n, some)
     for slack in (1.0, alpha):
         order = random.permutation(n)
-        for at in range(0, n, 256):
-            batch = order[at : at + 256]
-            found, far = beam_search(points, edges, start, points[batch], beam)
-            for node, near, gap in zip(batch, found, far, strict=True):
-                own = robust_prune(points, node, np.concatenate((near[np.isfinite(gap)], edges[node])), degree, slack)
-                edges[node, : len(own)], edges[node, len(own) :] = own, n
-                for other in own:
-                    back = edges[other]
-                    if node not in back:
-                        free = np.flatnonzero(back == n)
-                        if len(free):
-                            back[free[0]] = node
-                        else:
-                            kept = robust_prune(points, other, np.append(back, node), degree, slack)
-                            edges[other, : len(kept)], edges[other, len(kept) :] = kept, n
+        for at in range(0, n, BATCH):
+            batch = order[at : at + BATCH]
+            found, _ = beam_search(points, edges, start, points[batch], beam)
+            edges[batch] = robust_prune(points, batch, np.concatenate((found, edges[batch]), 1), degree, slack)
+            _link_back(points, edges, batch, edges[batch], slack)
     return edges, start
 
 
@@ -104,8 +140,10 @@ def _index(table: pa.Table) -> pa.Table:
     usable = [i for i, v in enumerate(lists) if len(v) == width]
     vectors, ids = np.array([lists[i] for i in usable], np.float64), ids[usable]
     points, group = np.unique(vectors, axis=0, return_inverse=True)
-    norms = (points**2).sum(1)
-    lifted = np.concatenate((points, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]), 1)
+    scaled = points / np.abs(points).max()
+    norms = (scaled**2).sum(1)
+    lifted = np.concatenate((scaled, np.sqrt(norms.max() - norms)[:, None]), 1) / np.sqrt(norms.max())
+    lifted = lifted.astype(np.float32)
     edges, start = build_graph(lifted)
     data = io.BytesIO()
     np.savez(data, points=points, lifted=lifted, edges=edges, start=start, ids=ids, group=group.ravel())
@@ -126,11 +164,13 @@ def _search(k: int):
             for at in range(0, len(fits), 256):
                 some = fits[at : at + 256]
                 queries = np.array([asked[i] for i in some], np.float64)
-                found, far = beam_search(lifted, edges, int(shard["start"]), np.pad(queries, ((0, 0), (0, 1))), max(SEARCH_BEAM, 2 * k))
+                asking = queries / np.abs(queries).max(1, keepdims=True)
+                asking = np.pad(asking / np.linalg.norm(asking, axis=1, keepdims=True), ((0, 0), (0, 1))).astype(np.float32)
+                found, far = beam_search(lifted, edges, int(shard["start"]), asking, max(SEARCH_BEAM, 2 * k))
                 for i, query, near, gap in zip(some, queries, found, far, strict=True):
                     near = near[np.isfinite(gap)]
                     scores = np.array([float(np.dot(points[p], query)) for p in near])
-                    best = np.argsort(-scores, kind="stable")[: k + 1]
+                    best = np.lexsort((ids[order[first[near]]], -scores))[: k + 1]
                     for node, score in zip(near[best], scores[best], strict=True):
                         members = [m for m in ids[order[first[node] : first[node + 1]]][: k + 1].tolist() if m != names[i]]
                         out += [(names[i], m, float(score)) for m in members]
