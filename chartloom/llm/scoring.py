@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import cut, word_hashes
+from chartloom.llm.common import ODD, cut, mix64, word_hashes
 
 DEPTH, CROSS, TOP = 5, 4, 2
 SLICE = 1 << 20
@@ -236,27 +236,69 @@ SCHEMA = (
 )
 
 
+class Lookup:
+    """Values of distinct keys by direct address; keys whose place is taken are looked up in a table of their own."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, level: int = 1):
+        self.shift = np.uint64(64 - max(3, len(keys).bit_length() + 1))
+        self.factor = mix64(np.full(1, level, np.uint64)) | np.uint64(1)
+        place = self._place(keys)
+        holder = np.full(1 << 64 - int(self.shift), -1)
+        holder[place] = np.arange(len(keys))
+        late = holder[place] != np.arange(len(keys))
+        self.keys, self.values = np.append(keys, 0)[holder], np.append(values, 0.0)[holder]
+        self.rest = Lookup(keys[late], values[late], level + 1) if late.any() else None
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * self.factor >> self.shift).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that are all in the table."""
+        place = self._place(keys)
+        found = self.values[place]
+        if self.rest is not None:
+            late = np.flatnonzero(self.keys[place] != keys)
+            found[late] = self.rest(keys[late])
+        return found
+
+
+def _groups(ids: list, held_out: list, texts: list) -> Iterator[list[tuple]]:
+    """Rows with their lower-cased bytes, about SLICE bytes at a time."""
+    some, size = [], 0
+    for row in zip(ids, held_out, map(_lower, texts), strict=True):
+        some.append(row)
+        size += len(row[2])
+        if size > SLICE:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _sums(values: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Sums of runs of the given sizes, none of which is empty."""
+    return np.add.reduceat(values, np.cumsum([0, *sizes[:-1]]))
+
+
 def _scorer(total: int, distinct: int):
     """Scores of a block's texts from the answers to what it asked."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         is_word, keys, values = (right.column(c).to_numpy() for c in ("word", "key", "value"))
-        order = np.argsort(keys, kind="stable")
-        is_word, keys, values = is_word[order], keys[order], values[order]
-        words, counts, grams, logs = keys[is_word], values[is_word], keys[~is_word], values[~is_word]
-        base = np.log10((counts + 1) / (total + distinct + 1))
-        out = []
-        columns = (left.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
-        for doc_id, held_out, text in zip(*columns, strict=True):
-            data = _lower(text)
-            at = np.searchsorted(words, words_of(data).view(np.int64))
-            score, size = 0.0, 0
-            for asked in gram_keys(data):
-                score += float(logs[np.searchsorted(grams, asked)].sum())
-                size += len(asked)
-            bits = -score / math.log10(2) / size
-            known = int((counts[at] > 0).sum())
-            out.append((doc_id, held_out, len(at), known, total, float(base[at].sum()), score, size, bits))
+        counted, logs = Lookup(keys[is_word], values[is_word]), Lookup(keys[~is_word], values[~is_word])
+        out, base = [], math.log10(total + distinct + 1)
+        for some in _groups(*(left.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
+            grams = [[*gram_keys(data)] for *_, data in some]
+            words_ = [words_of(data).view(np.int64) for *_, data in some]
+            counts = counted(np.concatenate(words_))
+            score = _sums(logs(np.concatenate([k for keys in grams for k in keys])), [sum(map(len, keys)) for keys in grams])
+            sizes = [len(w) for w in words_]
+            base_score = _sums(np.log10(counts + 1) - base, sizes)
+            known = _sums((counts > 0).astype(np.int64), sizes)
+            for i, (doc_id, held_out, _) in enumerate(some):
+                size = sum(map(len, grams[i]))
+                bits = -float(score[i]) / math.log10(2) / size
+                out.append((doc_id, held_out, sizes[i], int(known[i]), total, float(base_score[i]), float(score[i]), size, bits))
         kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         fields = [(f.split()[0], kinds[f.split()[1]]) for f in SCHEMA.split(", ")]
         data = list(zip(*out, strict=True)) or [()] * len(fields)
