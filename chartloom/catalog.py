@@ -305,11 +305,12 @@ class Catalog:
         return T.StructType(fields + [T.StructField(e.name, self.parse_type(e)) for e in chosen])
 
 
-# Integers are read as doubles, so that 1.0 and NaN can be told apart and coerced.
+# Integers are read as doubles, so that 1.0 and NaN can be told apart and coerced. Decimals are
+# read wider than their column, so that a value too large for it is null and its row stays.
 _PARSED = {
     "INTEGER": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
-    "DECIMAL(20,10)": T.DecimalType(20, 10),
+    "DECIMAL(20,10)": T.DecimalType(38, 10),
 }
 
 _JSON_ARRAY = T.ArrayType(T.StringType())

@@ -117,14 +117,22 @@ def retry_eligible(messages: DataFrame) -> DataFrame:
 
 
 def retry_split(
-    records: DataFrame, order: str, base_url: str, rows_per_chunk: int = 100_000
+    records: DataFrame, order: str, base_url: str, pieces: int = 256
 ) -> DataFrame:
     """One file per record of a failed file, numbered from 1 in file order.
 
-    `record_url` is where that file is staged: below the folder the failed file came from.
+    A file is numbered in pieces between quantiles of `order`, so the pieces are alike however
+    the numbers lie. `record_url` is where that file is staged: below the folder the failed
+    file came from.
     """
-    chunk = F.expr(f"`{order}` div {rows_per_chunk}")
-    numbered = dense_positions(records, ["url"], [order], chunk, "record_no")
+    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)]) if pieces > 1 else F.array(F.lit(1.0))
+    bounds = records.groupBy(F.col("url").alias("_url")).agg(
+        F.percentile_approx(order, shares, F.lit(40 * pieces)).alias("_bounds")
+    )
+    placed = records.join(bounds, F.col("url").eqNullSafe(F.col("_url")))
+    below = F.size(F.filter("_bounds", lambda bound: bound < F.col(order)))
+    cut = placed.select(*records.columns, below.alias("_piece"))
+    numbered = dense_positions(cut, ["url"], [order], F.col("_piece"), "record_no").drop("_piece")
     # A folder name may hold several levels, joined by `_`.
     parts = F.split(F.translate(stage_file_name(F.col("url")), "_", "/"), "/")
     folder = F.array_join(F.slice(parts, F.lit(1), F.lit(2)), "/")

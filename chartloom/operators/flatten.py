@@ -65,6 +65,8 @@ def _typed(value: str, element: Element, depth: int) -> str:
     column_type = PRIMITIVE_COLUMN_TYPES.get(element.fhir_type)
     if column_type == "INTEGER":
         return whole_number(value, depth)
+    if column_type == "DECIMAL(20,10)":
+        return f"try_cast({value} AS {'array<' * depth}decimal(20,10){'>' * depth})"
     if column_type == "DATETIME" and not depth:
         return fhir_timestamp_sql(value)
     return value

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.operators.frames import explode_present
 
 SECOND = "yyyy-MM-dd'T'HH:mm:ss"
+LOG = "since_date_time timestamp, till_date_time timestamp, created_date timestamp, cycle int"
 
 
 def _seconds(moment: Column) -> Column:
@@ -76,6 +78,40 @@ def sync_log(windows: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def append_sync_log(rows: DataFrame, path: str, cycle: int) -> None:
+    """Add the log rows of one sync cycle; a repeated cycle replaces its own rows."""
+    rows.write.mode("overwrite").parquet(f"{path}/cycle={cycle}")
+
+
+def read_sync_log(spark: SparkSession, path: str) -> DataFrame:
+    """Log rows of all cycles so far, none before the first one."""
+    try:
+        return spark.read.schema(LOG).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG)
+
+
+def sync_cycle(
+    spark: SparkSession, path: str, cycle: int, start: str, end: str, now: str,
+    types: list[str], interval: int, multiplier: int, max_cycles: int,
+) -> DataFrame:
+    """Tasks of the next sync cycle: watermark of the log, due windows, log rows, fan-out.
+
+    Only cycles before this one count for the watermark, so a repeated cycle gives the same tasks.
+    """
+    log = read_sync_log(spark, path).where(F.col("cycle") < cycle)
+    moments = {"end": F.lit(end).cast("timestamp"), "now": F.lit(now).cast("timestamp")}
+    last = sync_watermark(log, start).withColumns(moments)
+    append_sync_log(sync_log(plan_windows(last, interval, multiplier, max_cycles), now), path, cycle)
+    logged = spark.read.schema(LOG).parquet(f"{path}/cycle={cycle}")
+    windows = logged.select(
+        F.col("since_date_time").alias("window_start"), F.col("till_date_time").alias("window_end")
+    )
+    return fan_out_tasks(windows, types)
+
+
 def fan_out_tasks(windows: DataFrame, types: list[str]) -> DataFrame:
     """One task per window and resource type, with the folder its files go to."""
     others = [c for c in windows.columns if c not in ("window_start", "window_end")]

@@ -92,10 +92,23 @@ def stage_messages(files: DataFrame, base_url: str, as_of: str) -> DataFrame:
     )
 
 
-def append_by_day(rows: DataFrame, path: str, stamp: str) -> None:
-    """Append audit rows into day folders, gathered by day so that each gets few files."""
-    days = rows.withColumn("day", F.to_date(stamp)).hint("rebalance", "day")
-    days.write.mode("append").partitionBy("day").parquet(path)
+def _add(rows: DataFrame, path: str, column: str, job: int | None) -> None:
+    """Append rows; those of a numbered job replace what the same job wrote before.
+
+    All writers of a path give a job, or none does.
+    """
+    if job is None:
+        rows.write.mode("append").partitionBy(column).parquet(path)
+    else:
+        rows.write.mode("overwrite").partitionBy(column).parquet(f"{path}/job={job}")
+
+
+def append_by_day(rows: DataFrame, path: str, stamp: str, job: int | None = None) -> None:
+    """Append audit rows into day folders, gathered by day so that each gets few files.
+
+    Give `job` a number of its own for every run and a repeated run adds nothing twice.
+    """
+    _add(rows.withColumn("day", F.to_date(stamp)).hint("rebalance", "day"), path, "day", job)
 
 
 def live_days(rows: DataFrame, as_of: str, days: int = LIVE_DAYS) -> DataFrame:
@@ -103,6 +116,6 @@ def live_days(rows: DataFrame, as_of: str, days: int = LIVE_DAYS) -> DataFrame:
     return rows.where(F.col("day") > F.date_sub(F.lit(as_of).cast("date"), days))
 
 
-def write_rejects(rows: DataFrame, path: str) -> None:
-    """Keep failed rows below a folder per error code."""
-    rows.write.mode("append").partitionBy("error_code").parquet(path)
+def write_rejects(rows: DataFrame, path: str, job: int | None = None) -> None:
+    """Keep failed rows below a folder per error code; `job` as in `append_by_day`."""
+    _add(rows, path, "error_code", job)

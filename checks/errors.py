@@ -129,7 +129,7 @@ def retry_split(spark, sf_dir):
         "concat('file-', user_id) AS filepath_id",
         "concat('https://store/602/batch-load/', user_id, '/Observation-3.ndjson') AS url",
     )
-    split = errors.retry_split(records, "event_id", "https://store/stage", rows_per_chunk=1000)
+    split = errors.retry_split(records, "event_id", "https://store/stage")
     return split.select("event_id", "filepath_id", "record_file", "record_url")
 
 

@@ -116,6 +116,14 @@ def test_decimals_keep_their_value(lines, catalog):
     assert float(wide.first().valuequantity_value) == 1.25
 
 
+def test_a_decimal_too_large_for_its_column_is_null_and_the_row_stays(lines, catalog):
+    texts = lines({"id": "o", "status": "final", "valueQuantity": {"value": 12345678901234567.5}})
+    scanned = scan_documents(texts, "Observation", catalog)
+    assert [r.error_code for r in scanned.collect()] == [None]
+    row = flatten(texts, "Observation", catalog).first()
+    assert row.status == "final" and row.valuequantity_value is None
+
+
 def test_bad_lines_are_set_aside_and_blank_ones_skipped(lines, catalog):
     texts = lines(
         {"id": "good", "gender": "male"},

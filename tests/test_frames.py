@@ -36,11 +36,21 @@ def test_pages_are_full_but_the_last(spark):
 
 def test_split_numbers_follow_file_order(spark):
     rows = spark.range(50).selectExpr("id", "'https://s/602/batch-load/x/Patient-3.ndjson' AS url").repartition(7)
-    split = retry_split(rows, "id", "https://b", rows_per_chunk=7).orderBy("id").collect()
+    split = retry_split(rows, "id", "https://b", pieces=7).orderBy("id").collect()
     assert [r.record_file for r in split] == [f"Patient-3-{i + 1}.ndjson" for i in range(50)]
     assert split[0].record_url == "https://b/batch-load/x/Patient-3-1.ndjson"
 
 
+def test_split_of_sparse_orders_and_missing_addresses(spark):
+    rows = spark.range(300).selectExpr(
+        "id * id * 1000003L AS at", "if(id % 3 = 0, null, concat('https://s/602/batch-load/x/Patient-', id % 3, '.ndjson')) AS url"
+    )
+    split = retry_split(rows, "at", "https://b", pieces=16)
+    assert split.columns == ["at", "url", "record_no", "record_file", "record_url"]
+    numbered = split.selectExpr("*", "row_number() OVER (PARTITION BY url ORDER BY at) AS want")
+    assert numbered.where("record_no = want").count() == 300
+
+
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     rows = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
     latest = frames.latest_per_key(rows, ["k"], [F.col("v").desc()])

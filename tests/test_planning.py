@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 
-from chartloom.plans.windows import export_windows, plan_windows, task_messages
+from chartloom.plans.windows import export_windows, plan_windows, read_sync_log, sync_cycle, task_messages
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -61,3 +61,19 @@ def test_message_folder_has_no_separators(spark):
     rows = [("Patient", "2024-01-01T00:00:00", "2024-01-01T00:15:00", 1, "u", 0, False)]
     message = task_messages(spark.createDataFrame(rows, columns), "now").first()
     assert message.folder_name == "20240101T001500"
+
+
+def test_each_sync_cycle_goes_on_where_the_log_ends(spark, tmp_path):
+    log = f"{tmp_path}/log"
+
+    def cycle(number, now):
+        span = ("2024-01-01", "2030-01-01", now)
+        tasks = sync_cycle(spark, log, number, *span, ["Patient", "Encounter"], 15, 4, 3).collect()
+        return sorted((t.resource_type, t.start_time[11:16], t.end_time[11:16]) for t in tasks)
+
+    first = [(r, "00:00", "00:15") for r in ("Encounter", "Patient")]
+    assert cycle(1, "2024-01-01 00:15:00") == first
+    assert cycle(2, "2024-01-01 00:20:00") == []
+    assert cycle(3, "2024-01-01 00:31:00") == [(r, "00:15", "00:30") for r in ("Encounter", "Patient")]
+    assert cycle(1, "2024-01-01 00:15:00") == first
+    assert read_sync_log(spark, log).count() == 2

@@ -7,7 +7,7 @@ from chartloom.operators.shared import normalize, resource_table, shared_table
 from chartloom.plans.adhoc import OBSERVATION_UNITS, save_colocated
 from chartloom.sources.ndjson import good_documents, scan_documents
 from chartloom.sources.shaped import documents
-from chartloom.sources.staging import append_by_day, live_days
+from chartloom.sources.staging import append_by_day, live_days, write_rejects
 
 
 def test_saved_tables_join_without_a_shuffle(spark, catalog, sf_dir, tmp_path):
@@ -36,6 +36,15 @@ def test_only_live_days_are_read(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in live._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_repeated_job_adds_nothing_twice(spark, tmp_path):
+    rows = spark.sql("SELECT id, timestamp'2024-03-01' AS t, '602' AS error_code FROM range(6)")
+    for job in (1, 2, 2):
+        append_by_day(rows, f"{tmp_path}/audit", "t", job)
+        write_rejects(rows, f"{tmp_path}/rejects", job)
+    assert live_days(spark.read.parquet(f"{tmp_path}/audit"), "2024-03-02").count() == 12
+    assert spark.read.parquet(f"{tmp_path}/rejects").where("error_code = 602").count() == 12
+
+
 def test_reading_some_buckets_prunes_the_others(spark, tmp_path):
     tables = TableSet(spark, str(tmp_path), buckets=8, lookups=("system",))
     rows = spark.range(100).selectExpr("string(id) AS id", "concat('s', id % 3) AS system")
