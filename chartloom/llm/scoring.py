@@ -1,8 +1,7 @@
 """Language-model scoring by context-tree weighting over the bytes of words.
 
 A text is its words in turn, each closed by a space, then an end. Every byte is eight binary decisions. A decision's
-contexts are the bytes before it, none to DEPTH of them; contexts that reach into the word before end at CROSS bytes.
-Each context keeps a Krichevsky-Trofimov estimate, and the weighted probability of a context is half its own estimate
+contexts are the bytes before it, none to DEPTH of them, whichever words they are of. Each context keeps a Krichevsky-Trofimov estimate, and the weighted probability of a context is half its own estimate
 and half the product of its children's, over all depths. Predictions of the trained tree are linear in the estimates
 along a path, so the tree is folded from the leaves up for its weights and from the root down for its predictions.
 Counts of distinct n-grams are dealt by the last TOP bytes of context, so each task folds whole subtrees; the levels
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import ODD, cut, mix64, word_hashes
 
-DEPTH, CROSS, TOP = 5, 4, 2
+DEPTH, TOP = 6, 2
 SLICE = 1 << 20
 BLOCK_BYTES = 16 << 20
 END = b"\n"
@@ -52,17 +51,15 @@ def words_of(data: bytes) -> np.ndarray:
     return np.append(word_hashes(data)[0], END_HASH)
 
 
-def gram_keys(data: bytes, depth: int = DEPTH, cross: int = CROSS) -> Iterator[np.ndarray]:
-    """One number for each byte of a text: the length of its context, the context, oldest byte first, and the byte."""
+def gram_keys(data: bytes, depth: int = DEPTH) -> Iterator[np.ndarray]:
+    """One number for each byte of a text: its `depth` bytes of context, oldest first, and the byte."""
     raw = np.frombuffer(END * depth + b" ".join([b"", *data.split(), END]), np.uint8).astype(np.int64)
     for at in range(0, len(raw) - depth - 1, SLICE):
         some = raw[at : at + SLICE + depth + 1]
-        key, crossed = some[depth + 1 :].copy(), np.zeros(len(some) - depth - 1, bool)
+        key = some[depth + 1 :].copy()
         for back in range(1, depth + 1):
-            before = some[depth + 1 - back : len(some) - back]
-            key += np.where(crossed, 0, before) << (8 * back) if back > cross else before << (8 * back)
-            crossed |= (before == 32) & (back <= cross)
-        yield key + (np.where(crossed, cross, depth) << 56)
+            key += some[depth + 1 - back : len(some) - back] << (8 * back)
+        yield key
 
 
 def _folded(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,34 +128,34 @@ def estimate(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """Nodes (context and bits so far) of one depth: counts, weighted probability, and which are leaves."""
+    """Nodes (context and bits so far) of one depth: counts, weighted probability, and whether they are leaves."""
 
-    def __init__(self, node, zero, one, weighted, leaf):
+    def __init__(self, node, zero, one, weighted, leaf: bool = False):
         order = np.argsort(node)
-        self.node, self.zero, self.one, self.weighted, self.leaf = (x[order] for x in (node, zero, one, weighted, leaf))
+        self.node, self.zero, self.one, self.weighted = (x[order] for x in (node, zero, one, weighted))
+        self.leaf = leaf
 
     @classmethod
     def of_leaves(cls, node: np.ndarray, zero: np.ndarray, one: np.ndarray) -> Level:
         found, where = np.unique(node, return_inverse=True)
         zero, one = (np.bincount(where, x, len(found)) for x in (zero, one))
-        return cls(found, zero, one, estimate(zero, one), np.ones(len(found), bool))
+        return cls(found, zero, one, estimate(zero, one), True)
 
     def parents(self, depth: int) -> np.ndarray:
         return (self.node >> 8 & (1 << 8 * (depth - 1)) - 1) << 8 | self.node & 255
 
-    def above(self, depth: int, leaves: Level) -> Level:
-        """The level of depth - 1: parents of these nodes, and its own leaves."""
+    def above(self, depth: int) -> Level:
+        """The level of depth - 1: parents of these nodes."""
         found, where = np.unique(self.parents(depth), return_inverse=True)
         zero, one, below = (np.bincount(where, x, len(found)) for x in (self.zero, self.one, self.weighted))
-        weighted = np.logaddexp(estimate(zero, one), below) - math.log(2)
-        inner = (found, zero, one, weighted, np.zeros(len(found), bool))
-        names = ("node", "zero", "one", "weighted", "leaf")
-        return Level(*(np.concatenate((getattr(leaves, n), x)) for n, x in zip(names, inner, strict=True)))
+        return Level(found, zero, one, np.logaddexp(estimate(zero, one), below) - math.log(2))
 
     def mixed(self, sure: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Prediction of a one settled down to here, and the share left to deeper contexts."""
         chance = (self.one + 0.5) / (self.zero + self.one + 1)
-        share = np.where(self.leaf, 1.0, np.exp(estimate(self.zero, self.one) - self.weighted - math.log(2)))
+        if self.leaf:
+            return sure + open_ * chance, np.zeros_like(open_)
+        share = np.exp(estimate(self.zero, self.one) - self.weighted - math.log(2))
         return sure + open_ * share * chance, open_ * (1 - share)
 
 
@@ -171,14 +168,11 @@ def _bits(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def fold_up(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> dict[int, Level]:
     """Levels `depth` to `top` of the subtrees that hold `keys`."""
-    length = keys >> 56
     node, bit = (np.concatenate(x) for x in zip(*_bits(keys), strict=True))
-    every, long_ = np.tile(n, 8), np.tile(length, 8)
-    levels: dict[int, Level] = {}
-    for d in range(depth, top - 1, -1):
-        m = long_ == d
-        leaves = Level.of_leaves(node[m], np.where(bit[m] == 0, every[m], 0), np.where(bit[m] == 1, every[m], 0))
-        levels[d] = levels[d + 1].above(d + 1, leaves) if levels else leaves
+    every = np.tile(n, 8)
+    levels = {depth: Level.of_leaves(node, np.where(bit == 0, every, 0), np.where(bit == 1, every, 0))}
+    for d in range(depth, top, -1):
+        levels[d - 1] = levels[d].above(d)
     return levels
 
 
@@ -194,11 +188,9 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFr
         return pa.table([pa.array(getattr(level, c)) for c in names], names=names)
 
     tops = counts.groupBy("part").applyInArrow(roots, "node long, zero double, one double, weighted double").toPandas()
-    inner = np.zeros(len(tops), bool)
-    levels = [Level(*(tops[c].to_numpy() for c in ("node", "zero", "one", "weighted")), inner)]
-    none = Level(*(x[:0] for x in (levels[0].node, levels[0].zero, levels[0].one, levels[0].weighted, inner)))
+    levels = [Level(*(tops[c].to_numpy() for c in ("node", "zero", "one", "weighted")))]
     for d in range(top, 0, -1):
-        levels.insert(0, levels[0].above(d, none))
+        levels.insert(0, levels[0].above(d))
     sure, open_ = np.zeros(len(levels[0].node)), np.ones(len(levels[0].node))
     for d, level in enumerate(levels):
         if d:
@@ -219,12 +211,10 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFr
             else:
                 at = np.searchsorted(tree[d - 1].node, tree[d].parents(d))
                 known[d] = tree[d].mixed(*(x[at] for x in known[d - 1]))
-        length, total = keys >> 56, np.zeros(len(keys))
+        total = np.zeros(len(keys))
         for node, bit in _bits(keys):
-            for d in range(top, depth + 1):
-                m = length == d
-                one = known[d][0][np.searchsorted(tree[d].node, node[m])]
-                total[m] += np.log10(np.where(bit[m] == 1, one, 1 - one))
+            one = known[depth][0][np.searchsorted(tree[depth].node, node)]
+            total += np.log10(np.where(bit == 1, one, 1 - one))
         return pa.table([pa.array(keys), pa.array(total)], names=["key", "log10p"])
 
     return counts.groupBy("part").applyInArrow(score, "key long, log10p double")
