@@ -27,6 +27,11 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def row_key() -> Column:
+    """Tells documents apart by id and text; equal rows have equal keys."""
+    return F.xxhash64("doc_id", "text")
+
+
 def fold(doc_id: Column | str, parts: int) -> Column:
     """crc32 of the id's decimal text modulo `parts`; null ids fall into fold 0."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -13,7 +13,7 @@ block within tasks, and with each other. A pair of bucket mates is left out only
 or too unlike, so no link between components is missed, and no bucket is capped.
 
 Null and empty texts have no shingles and are linked with nothing; rows with a null id stand alone. Rows are told
-apart by their shingles, so rows with equal ids and different texts can be in different components. Columns other than `doc_id` and `text` are not read. An empty table gives no rows.
+apart by id and text, so rows with equal ids and different texts can be in different components. Columns other than `doc_id` and `text` are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import ODD, cut, mix64, shingle_hashes, word_hashes
+from chartloom.llm.common import ODD, cut, mix64, row_key, shingle_hashes, word_hashes
 from chartloom.llm.components import components
 
 PLACES, ROWS = 128, 4
@@ -80,7 +80,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def sketched(documents: DataFrame, words: int) -> DataFrame:
-    """`doc_id`, `n_shingles`, a 128-bit digest of the shingle set (`d1`, `d2`) and `bands` of every document."""
+    """`doc_id`, `uid`, `n_shingles`, a 128-bit digest of the shingles (`d1`, `d2`) and `bands` of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,20 +94,21 @@ def sketched(documents: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column("doc_id").cast(pa.int64()),
+                        some.column("uid"),
                         pa.array(sizes),
                         pa.array(digests[:, 0]),
                         pa.array(digests[:, 1]),
                         pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
                     ],
-                    ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                    ["doc_id", "uid", "n_shingles", "d1", "d2", "bands"],
                 )
 
-    rows = documents.select("doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    rows = documents.select("doc_id", row_key().alias("uid"), "text")
+    return rows.mapInArrow(run, "doc_id long, uid long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
-    """`node` and its sorted `shingles`."""
+    """`node` and its sorted `shingles`, of rows with `node` and `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +117,11 @@ def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
                 sets = [shingle_set(t, words).view(np.int64) for t in some.column("text").to_pylist()]
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("node").cast(pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))],
+                    [some.column("node"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))],
                     ["node", "shingles"],
                 )
 
-    return documents.select(F.col("doc_id").alias("node"), "text").mapInArrow(run, "node long, shingles array<long>")
+    return documents.mapInArrow(run, "node long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -161,7 +162,8 @@ def linked_components(classes: DataFrame, documents: DataFrame, words: int, perc
     mates = cut(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1").select("bucket"))
     members = cut(banded.join(mates, "bucket").select("bucket", "node", "n"))
     wanted = members.select("node").distinct()
-    sets = cut(shingle_sets(documents.join(wanted, documents["doc_id"] == wanted["node"], "left_semi"), words))
+    texts = documents.select(row_key().alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = cut(shingle_sets(texts, words))
     members = cut(_able(members, sets, percent))
     least = F.min(F.struct((F.col("n") - F.col("shared")) / F.col("n"), "node"))["node"]
     hubs = cut(members.groupBy("bucket").agg(least.alias("hub"), F.count(F.lit(1)).alias("mates")).where("mates > 1"))
@@ -225,21 +227,31 @@ def _against(outside: DataFrame, placed: DataFrame, sets: DataFrame, percent: in
     return cells.applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """`doc_id`, `n_shingles`, `component_id` (the least id linked with it, however far) and `kept` of every document."""
+def linked_rows(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """`doc_id`, `uid` (row_key), `n_shingles`, `root` and `component_id` of every document.
+
+    `root` tells components apart; `component_id` is the least id of a component, which two of them can have in common.
+    """
     rows = cut(sketched(documents, words))
     able = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     classes = cut(
         rows.where(able)
         .groupBy("d1", "d2", "n_shingles")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-        .withColumnRenamed("n_shingles", "n")
+        .agg(F.min(F.struct("doc_id", "uid")).alias("low"), F.first("bands").alias("bands"))
+        .select("d1", "d2", F.col("n_shingles").alias("n"), F.col("low.uid").alias("node"), F.col("low.doc_id").alias("low"), "bands")
     )
     found = linked_components(classes, documents, words, percent)
     named = classes.join(found, "node", "left").select(
-        "d1", "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id")
+        "d1", "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("root"), "low"
     )
-    linked = rows.where(able).drop("bands").join(named, ["d1", "d2", "n_shingles"])
-    alone = rows.where(~able).drop("bands").withColumn("component_id", F.col("doc_id"))
-    every = linked.unionByName(alone)
+    named = cut(named)
+    least = cut(named.groupBy("root").agg(F.min("low").alias("component_id")))
+    linked = rows.where(able).drop("bands").join(named.drop("low").join(least, "root"), ["d1", "d2", "n_shingles"])
+    alone = rows.where(~able).drop("bands").withColumn("root", F.col("uid")).withColumn("component_id", F.col("doc_id"))
+    return linked.unionByName(alone).select("doc_id", "uid", "n_shingles", "root", "component_id")
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """`doc_id`, `n_shingles`, `component_id` (the least id linked with it, however far) and `kept` of every document."""
+    every = linked_rows(documents, words, percent)
     return every.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

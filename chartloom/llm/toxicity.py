@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.minhash import shingle_set
+from chartloom.llm.common import cut, row_key
+from chartloom.llm.minhash import linked_rows
 
 SAMPLE = 50_000
 LOG_FEATURES = 16.0
@@ -142,26 +143,20 @@ def labelled_sample(labels: DataFrame, learned: Column, size: int) -> DataFrame:
 
 
 def one_of_copies(documents: DataFrame, sample: DataFrame) -> DataFrame:
-    """The sample with one row for all texts that share their lowest shingle hash, as near copies mostly do.
+    """`text` and `toxic` of the sample, with one row for near copies (pairs of words, 0.8) of one label.
 
-    Copies of one text are no independent evidence for its words.
+    Copies of one text are no independent evidence for its words. Texts without words are none.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, 2) for t in batch.column("text").to_pylist()]
-            lowest = pa.array([int(s[0]) >> 1 if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), lowest], ["doc_id", "toxic", "low"])
-
-    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-    found = rows.mapInArrow(run, "doc_id long, toxic int, low long").where("low IS NOT NULL")
-    kept = found.groupBy("low").agg(F.min(F.struct("doc_id", "toxic")).alias("r")).select("r.doc_id", "r.toxic").collect()
-    return sample.sparkSession.createDataFrame([tuple(r) for r in kept], "doc_id long, toxic int")
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = cut(texts.select("doc_id", row_key().alias("uid"), "toxic", "text"))
+    found = linked_rows(texts, words=2, percent=80).where("n_shingles > 0").join(texts.select("uid", "toxic").distinct(), "uid")
+    kept = found.groupBy("root", "toxic").agg(F.min(F.struct("doc_id", "uid"))["uid"].alias("uid")).select("uid")
+    return cut(texts.join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select("text", "toxic"))
 
 
-def fit_evidence(documents: DataFrame, sample: DataFrame, restorer: Restorer, least: int = 5) -> tuple[dict[str, float], float]:
+def fit_evidence(texts: DataFrame, restorer: Restorer, least: int = 5) -> tuple[dict[str, float], float]:
     """Share of toxic texts among those with a feature, for telling features, and the rate of toxic ones without any."""
-    model = documents.sparkSession.sparkContext.broadcast(restorer)
+    model = texts.sparkSession.sparkContext.broadcast(restorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
@@ -172,7 +167,6 @@ def fit_evidence(documents: DataFrame, sample: DataFrame, restorer: Restorer, le
         columns = [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in counts]]
         yield pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
 
-    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
     counted = texts.mapInArrow(run, "feature string, clean long, toxic long").groupBy("feature")
     counted = counted.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     telling = counted.where((F.col("feature") == "") | (F.col("toxic") >= F.greatest(F.lit(least), 9 * F.col("clean"))))
@@ -188,8 +182,8 @@ def fit_evidence(documents: DataFrame, sample: DataFrame, restorer: Restorer, le
 def score_toxicity(documents: DataFrame, labels: DataFrame, held_out: Column, size: int = SAMPLE) -> DataFrame:
     """`doc_id`, `held_out`, `score`, `predicted` and the strongest `evidence` of every document."""
     restorer = Restorer(character_model(documents))
-    sample = one_of_copies(documents, labelled_sample(labels, ~held_out, size))
-    evidence, rest = fit_evidence(documents, sample, restorer)
+    texts = one_of_copies(documents, labelled_sample(labels, ~held_out, size))
+    evidence, rest = fit_evidence(texts, restorer)
     model = documents.sparkSession.sparkContext.broadcast((restorer, evidence, rest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

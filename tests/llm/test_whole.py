@@ -1,8 +1,17 @@
-"""The whole job where operators once did less: full contexts."""
+"""The whole job where operators once did less: full contexts, evidence of unlike texts."""
+
+import random
 
 import numpy as np
 
-from chartloom.llm import scoring
+from chartloom.llm import minhash, scoring, toxicity
+
+rng = random.Random(7)
+WORDS = ["".join(rng.choices("abcdefgho", k=rng.randint(3, 7))) for _ in range(400)]
+
+
+def prose(n):
+    return " ".join(rng.choices(WORDS, k=n))
 
 
 def test_contexts_reach_over_word_borders():
@@ -11,3 +20,22 @@ def test_contexts_reach_over_word_borders():
     want = [int.from_bytes(raw[i - scoring.DEPTH : i + 1], "big") for i in range(scoring.DEPTH, len(raw))]
     assert np.concatenate(list(scoring.gram_keys(data))).tolist() == want
     assert scoring.DEPTH >= 6
+
+
+def test_evidence_keeps_unlike_texts_and_other_labels(spark):
+    lowest = min((f"{a} {b}" for a in WORDS[:60] for b in WORDS[:60]), key=lambda p: minhash.shingle_set(p, 2)[0])
+    texts = [lowest + " " + prose(30) for _ in range(12)]
+    lows = [minhash.shingle_set(t, 2)[0] for t in texts]
+    assert max(lows.count(x) for x in lows) > 2
+    copies = [texts[0] + " tail", texts[0], texts[0]]
+    frame = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string")
+    sample = spark.createDataFrame([(i, int(i in (1, 14))) for i in range(15)], "doc_id long, toxic int")
+    kept = sorted((r.text, r.toxic) for r in toxicity.one_of_copies(frame, sample).collect())
+    assert kept == sorted([(t, int(i == 1)) for i, t in enumerate(texts)] + [(texts[0], 1)])
+
+
+def test_unlike_texts_of_one_id_are_rows_of_their_own(spark):
+    a, b = prose(60), prose(60)
+    frame = spark.createDataFrame([(2, a), (5, a + " x"), (5, b), (9, b + " y")], "doc_id long, text string")
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(frame, words=2).collect()}
+    assert sorted(found.values()) == [2, 2, 5, 5]
