@@ -1,7 +1,8 @@
 """Toxicity of texts read through a noisy channel.
 
-Words that look disguised (letters replaced by digits or symbols, drawn out, or spaced) become a lattice: every sign may
-stand for itself or for the letters it is used for, runs of a letter for one or two of them, separators for nothing. A
+Tokens with a sign next to a letter, a letter twice or a separator between letters, and runs of single signs whatever
+white space is between them, become a lattice: every sign may stand for the letters it is used for, runs of a letter for
+one or two of them, separators for nothing, signs at the ends for punctuation as well. A
 Viterbi pass over the lattice picks the likeliest reading under a character trigram model learned from all texts. The
 restored words, their first four to six letters included, are scored by how much of the labelled text that has them is
 toxic; evidence is combined as a noisy or.
@@ -35,8 +36,14 @@ SIGNS = {
 }
 SIZE = 28
 WORD = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){3,}[^\W_](?![^\W_])")
-DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€][^\W_]|^[0-9@$!|+(€]+[^\W\d_]|([^\W\d_])\1\1|[^\W\d_][.\-_*][^\W\d_][.\-_*][^\W\d_]")
+SIGN = "01345789@$!|+(€"
+LETTER = r"[^\W\d_]"
+#: Three or more single letters or signs apart, whatever is between them.
+SPACED = re.compile(rf"(?<![^\W_])(?<![@$!|+(€])(?:(?:[^\W_]|[@$!|+(€])[\s.\-_*]+){{2,}}(?:[^\W_]|[@$!|+(€])(?![^\W_])")
+#: A sign next to a letter, a letter twice, or a separator between letters.
+DISGUISED = re.compile(rf"{LETTER}[{SIGN}]|[{SIGN}]{LETTER}|({LETTER})\1|{LETTER}[.\-_*]+(?:{LETTER}|[{SIGN}])")
+#: Punctuation at the ends of a token; some of it may as well stand for a letter.
+OPENING, CLOSING, SOUNDLESS = ".,;:?*#%&\"'(!$|+", ".,;:!?*#%&$|+(\"')", ".,;:?*#%&\"')"
 
 
 def letter(c: str) -> int:
@@ -58,6 +65,7 @@ class Restorer:
         cube = counts.reshape(SIZE, SIZE, SIZE) + 0.1
         self.model = np.log(cube / cube.sum(2, keepdims=True)).tolist()
         self.known: dict[str, str] = {}
+        self.read: dict[str, tuple[str, ...]] = {}
 
     @staticmethod
     def lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -95,19 +103,29 @@ class Restorer:
             self.known[word] = max(ends)[1]
         return self.known[word]
 
+    @staticmethod
+    def forms(token: str) -> set[str]:
+        """A token with the signs at its ends as letters, and without them as punctuation."""
+        return {token.strip(SOUNDLESS), token.lstrip(OPENING).rstrip(CLOSING)} - {""}
+
+    def readings(self, token: str) -> tuple[str, ...]:
+        """Words that a token restores to if it looks disguised."""
+        if token not in self.read:
+            if len(self.read) > 100_000:
+                self.read.clear()
+            self.read[token] = tuple({w for f in self.forms(token) if DISGUISED.search(f) for w in WORD.findall(self.decode(f))})
+        return self.read[token]
+
     def words(self, text: str | None) -> set[str]:
         """Words of a text in lower case, disguised ones restored as well."""
         lowered = (text or "").lower()
         found = set(WORD.findall(lowered))
         for token in set(lowered.split()):
-            if not token.isalpha():
-                bare = token.rstrip(".,;:!?*#%&$\"')").lstrip(".,;:?*#%&\"'")
-                if bare and not bare.isalpha() and DISGUISED.search(bare):
-                    found.update(WORD.findall(self.decode(bare)))
-            elif DISGUISED.search(token):
-                found.add(self.decode(token))
+            found.update(self.readings(token))
         for spaced in SPACED.finditer(lowered):
-            found.add(self.decode(re.sub(r"[ .\-_*]", "", spaced[0])))
+            run = re.sub(r"[\s.\-_*]", "", spaced[0])
+            if WORD.search(run):
+                found.update(w for f in self.forms(run) for w in WORD.findall(self.decode(f)))
         return found
 
 

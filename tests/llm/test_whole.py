@@ -1,4 +1,4 @@
-"""The whole job where operators once did less: full contexts, evidence of unlike texts."""
+"""The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds."""
 
 import random
 
@@ -39,3 +39,14 @@ def test_unlike_texts_of_one_id_are_rows_of_their_own(spark):
     frame = spark.createDataFrame([(2, a), (5, a + " x"), (5, b), (9, b + " y")], "doc_id long, text string")
     found = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(frame, words=2).collect()}
     assert sorted(found.values()) == [2, 2, 5, 5]
+
+
+def test_disguises_are_read():
+    for disguised, word in [
+        ("a$$hole", "asshole"), ("pu$$y", "pussy"), ("b@$tard", "bastard"), ("b!+ch", "bitch"), ("tr@$h", "trash"),
+        ("stuupid", "stupid"), ("sc.um", "scum"), ("f a g", "fag"), ("$ c u m", "scum"), ("s\tc\tu\tm", "scum"),
+        ("s\nc\nu\nm", "scum"), ("s   c   u   m", "scum"), ("an a$$", "ass"), ("(stuupid)", "stupid"), ("tr@$h!", "trash"),
+    ]:
+        restorer = toxicity.Restorer(toxicity.trigram_counts([word, "the", "and", "good"] * 50))
+        assert word in restorer.words(disguised), disguised
+    assert restorer.words("1 2 3 2024 12:30") == set()
