@@ -10,6 +10,11 @@ eighty bytes, are the sampled suffixes. Anchors with equal seeds form a bucket o
   of neighbours agree far enough, members share a maximal repeat. All members of an interval are tested, not only
   neighbours in the suffix array, so every repeat of LENGTH or more is found with all its occurrences.
 
+* A seed with more than BUCKET distinct contexts is split by longer strings: of a repeat that goes on from the anchor for
+  LOW to HIGH bytes, the first LOW of them and LENGTH - HIGH bytes before the anchor are the same everywhere. Groups
+  above the bound are halved in that range, each half with longer strings in common, down to a single whole string of
+  LENGTH, where counting suffices. No group above the bound meets in a task, and none is cut.
+
 Matches never cross documents; equal strings in one document count. Nulls and empty texts have no bytes. Documents are
 told apart by id and text, so that rows with equal ids, or none, keep their own spans; equal rows repeat each other.
 Columns other than `doc_id` and `text` are only carried. An empty table gives no rows.
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,8 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import ODD, _bytes_table, _power_table, cut, mix64
 
 LENGTH, SEED = 200, 40
+#: Most contexts that one task holds of a group.
+BUCKET = 4096
 STEP = 1 << 21
 _inverses = np.ones(1, np.uint64)
 
@@ -168,7 +176,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bucket_repeats(length: int):
-    """Repeats within the buckets of a partition sorted by key."""
+    """Repeats within the groups of a partition sorted by `key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spans(rows: list[tuple]) -> list[tuple[int, int, int]]:
@@ -195,7 +203,42 @@ def _span_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["uid", "first", "last"])
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def _halves(rows: DataFrame, length: int) -> DataFrame:
+    """`rows` in the two halves of their range `low` to `high`, each dealt by the strings all its repeats share."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    ranges = F.array(
+        F.struct(F.col("low").alias("low"), middle.alias("high")),
+        F.struct((middle + 1).alias("low"), F.col("high").alias("high")),
+    )
+    split = rows.withColumn("half", F.explode(ranges))
+    split = split.withColumn("low", F.col("half.low")).withColumn("high", F.col("half.high")).drop("half")
+    split = split.where(f"length(right) >= low AND length(left) >= {length} - high")
+    after, before = F.expr("substring(right, 1, low)"), F.expr(f"substring(left, 1, {length} - high)")
+    return split.withColumn("key", F.xxhash64("seed", "low", "high", after, before))
+
+
+def _split_repeats(rows: DataFrame, length: int, seed: int, bound: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of hot seeds in groups of at most `bound`, and the spans of whole strings that larger groups share."""
+    rows = rows.withColumn("seed", F.col("key")).withColumn("low", F.lit(seed)).withColumn("high", F.lit(length))
+    small, spans, width = [], [], length - seed + 1
+    while width > 1:
+        width = (width + 1) // 2
+        rows = cut(_halves(rows.where("low < high"), length))
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = cut(sizes)
+        single = rows.join(sizes, "key")
+        whole = single.where("low = high")
+        spans.append(
+            whole.select("uid", (F.col("at") - length + F.col("low")).alias("first"), (F.col("at") + F.col("low")).alias("last"))
+        )
+        small.append(single.where(f"low < high AND n <= {bound}").select("key", "uid", "at", "left", "right"))
+        rows = single.where(f"low < high AND n > {bound}").drop("n")
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, spans)
+
+
+def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED, bound: int = BUCKET) -> DataFrame:
     """`uid` and the byte range `first` to `last` (exclusive) of repeats; ranges of a document may overlap."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = anchor_rows(documents, length, seed)
@@ -210,12 +253,18 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED)
     covered = rows.join(whole, ["key", "context"]).select(
         "uid", (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last")
     )
-    diverse = cut(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key"))
-    spots = contexts.join(diverse, "key").groupBy("uid").agg(
+    diverse = cut(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    spots = contexts.join(diverse.select("key"), "key").groupBy("uid").agg(
         F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
     )
     texts = documents.select(_uid().alias("uid"), "text").join(spots, "uid")
     strings = texts.mapInArrow(_contexts, "key long, uid long, at long, left binary, right binary")
+    hot = cut(diverse.where(f"kinds > {bound}").select("key"))
+    if not hot.isEmpty():
+        strings = cut(strings)
+        small, whole = _split_repeats(strings.join(hot, "key", "left_semi"), length, seed, bound)
+        strings = strings.join(hot, "key", "left_anti").unionByName(small)
+        covered = covered.unionByName(whole)
     buckets = strings.repartition(parts, "key").sortWithinPartitions("key")
     partial = buckets.mapInArrow(_bucket_repeats(length), "uid long, first long, last long")
     return covered.unionByName(partial)

@@ -1,10 +1,11 @@
-"""The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds."""
+"""The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds,
+hot seeds in bounded groups."""
 
 import random
 
 import numpy as np
 
-from chartloom.llm import minhash, scoring, toxicity
+from chartloom.llm import minhash, scoring, suffixes, toxicity
 
 rng = random.Random(7)
 WORDS = ["".join(rng.choices("abcdefgho", k=rng.randint(3, 7))) for _ in range(400)]
@@ -50,3 +51,24 @@ def test_disguises_are_read():
         restorer = toxicity.Restorer(toxicity.trigram_counts([word, "the", "and", "good"] * 50))
         assert word in restorer.words(disguised), disguised
     assert restorer.words("1 2 3 2024 12:30") == set()
+
+
+def test_hot_seeds_are_split(spark, monkeypatch):
+    passage = (prose(60) + " ")[:230]
+    texts = [prose(rng.randint(5, 20)) + passage[rng.randint(0, 25) :] + prose(rng.randint(5, 20)) for _ in range(40)]
+    texts += [prose(15) + passage[60:130] + prose(15) for _ in range(20)] + [passage, texts[0] + "tail", passage[:205]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def spans(bound):
+        rows = suffixes.repeated_spans(frame, bound=bound).collect()
+        found = {}
+        for r in rows:
+            found.setdefault(r.uid, []).append(r.asDict())
+        return {uid: suffixes._merged(s) for uid, s in found.items()}
+
+    whole = spans(10**6)
+    assert len(whole) > 35
+    strings, parts = [], suffixes._split_repeats
+    monkeypatch.setattr(suffixes, "_split_repeats", lambda *a: strings.append(parts(*a)) or strings[-1])
+    assert spans(4) == whole
+    assert strings[0][0].groupBy("key").count().where("count > 4").count() == 0
