@@ -1,11 +1,11 @@
 """The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds,
-hot seeds in bounded groups."""
+hot seeds in bounded groups, partners over gaps of ids."""
 
 import random
 
 import numpy as np
 
-from chartloom.llm import minhash, scoring, suffixes, toxicity
+from chartloom.llm import minhash, preferences, scoring, suffixes, toxicity
 
 rng = random.Random(7)
 WORDS = ["".join(rng.choices("abcdefgho", k=rng.randint(3, 7))) for _ in range(400)]
@@ -72,3 +72,24 @@ def test_hot_seeds_are_split(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_split_repeats", lambda *a: strings.append(parts(*a)) or strings[-1])
     assert spans(4) == whole
     assert strings[0][0].groupBy("key").count().where("count > 4").count() == 0
+
+
+def test_partners_over_gaps(spark):
+    ids = sorted(rng.sample(range(-(10**12), 10**12), 60))
+    silent = set(ids[5:9] + ids[30:31] + ids[-2:])
+    turns = [(i, 0, "user", f"q{i}") for i in ids] + [(i, 1, "assistant", f"a{i}") for i in ids if i not in silent]
+    turns += [(None, 0, "user", "lost"), (None, 1, "assistant", "found")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = preferences.format_preferences(preferences.reply_pairs(frame)).collect()
+    assert len(rows) == len(ids) + 2
+    found = {r.pair_id: r for r in rows if r.pair_id is not None}
+    show = preferences.STOP.join
+    for at, i in enumerate(ids):
+        after = next((j for j in ids[at + 1 :] if j not in silent), None)
+        r = found[i]
+        assert r.prompt == show([f"<|user|>\nq{i}", ""]) and r.prompt_turns == 1
+        assert r.chosen_completion == ("" if i in silent else show([f"<|assistant|>\na{i}", ""]))
+        partner = None if after is None or i in silent else show([f"<|assistant|>\na{after}", ""])
+        assert r.rejected_completion == partner and (r.rejected_loss is None) == (partner is None)
+    lost = sorted((r.prompt, r.chosen_completion) for r in rows if r.pair_id is None)
+    assert lost == [("", show(["<|assistant|>\nfound", ""])), (show(["<|user|>\nlost", ""]), "")]
