@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.llm.common import cut, row_key
 from chartloom.llm.language import UNKNOWN, fit_decoder, identify
-from chartloom.llm.minhash import near_duplicates
+from chartloom.llm.minhash import linked_rows
 from chartloom.llm.mixing import mixed_rows
 from chartloom.llm.packing import pack_documents
 from chartloom.llm.queries import WORD_VOCABULARY
@@ -25,13 +26,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, five-word shingles and a similarity of 0.8: the one of least id.
 
-    Rows without id stay. Of rows with the same id and text one stays.
+    Rows without id stay. Of rows with the same id and text one stays; unlike texts under one id are documents of their own.
     """
-    found = near_duplicates(docs, words=5, percent=80)
-    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    single = docs.join(kept.where("rows = 1"), "doc_id", "left_semi")
-    several = docs.join(kept.where("rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    found = linked_rows(docs, words=5, percent=80).where("doc_id IS NOT NULL")
+    rows = found.groupBy("root", "doc_id", "uid").agg(F.count(F.lit(1)).alias("rows"))
+    kept = cut(rows.groupBy("root").agg(F.min(F.struct("doc_id", "uid", "rows")).alias("r")).select("r.uid", "r.rows"))
+    named = docs.where("doc_id IS NOT NULL").withColumn("__uid", row_key())
+    single = named.join(kept.where("rows = 1"), named["__uid"] == kept["uid"], "left_semi")
+    several = named.join(kept.where("rows > 1"), named["__uid"] == kept["uid"], "left_semi").dropDuplicates(["__uid"])
+    return single.unionByName(several).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds,
-hot seeds in bounded groups, partners over gaps of ids."""
+hot seeds in bounded groups, partners over gaps of ids,
+stages of the pipeline."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
-from chartloom.llm import minhash, preferences, scoring, suffixes, toxicity
+from chartloom.llm import language, minhash, mixing, preferences, scoring, stages, suffixes, toxicity
 
 rng = random.Random(7)
 WORDS = ["".join(rng.choices("abcdefgho", k=rng.randint(3, 7))) for _ in range(400)]
@@ -93,3 +95,99 @@ def test_partners_over_gaps(spark):
         assert r.rejected_completion == partner and (r.rejected_loss is None) == (partner is None)
     lost = sorted((r.prompt, r.chosen_completion) for r in rows if r.pair_id is None)
     assert lost == [("", show(["<|assistant|>\nfound", ""])), (show(["<|user|>\nlost", ""]), "")]
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
+
+
+def _stage_rows():
+    a, b, c = prose(80), prose(90), prose(100)
+    texts = [(2, a), (5, a + " tail"), (5, b), (9, b + " tail"), (9, c), (9, c), (None, a), (None, a), (11, None), (11, ""), (12, "")]
+    texts += [(20 + i, prose(rng.randint(1, 60))) for i in range(12)]
+    return [(i, t, "en" if n % 2 else "fr", f"s{n % 3}", len(t or "")) for n, (i, t) in enumerate(texts)]
+
+
+STAGE_ROWS = _stage_rows()
+
+
+def _near_dedup(rows):
+    """Rows that near_dedup keeps."""
+    rows = [r for r in rows if r[0] is not None]
+    sets = []
+    for r in rows:
+        w = (r[1] or "").split()
+        n = min(5, len(w))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if rows[i][:2] == rows[j][:2] or a and b and 100 * len(a & b) >= 80 * len(a | b):
+                group = [group[i] if g == group[j] else g for g in group]
+    least = {g: min(r[0] for r, h in zip(rows, group, strict=True) if h == g) for g in group}
+    return sorted((i, g) for g, i in least.items())
+
+
+def test_near_dedup_by_row(spark):
+    frame = spark.createDataFrame(STAGE_ROWS, SCHEMA).repartition(3)
+    kept = [tuple(r) for r in stages.near_dedup(spark, frame, "").collect()]
+    assert sorted(r[0] for r in kept if r[0] is not None) == [i for i, _ in _near_dedup(STAGE_ROWS)]
+    assert sum(r[0] is None for r in kept) == 2
+    assert {r[1] for r in kept if r[0] == 9} == {next(r[1] for r in STAGE_ROWS if r[0] == 9 and "tail" not in r[1])}
+    assert [r[1] for r in kept if r[0] == 5] == [STAGE_ROWS[2][1]]
+
+
+def test_run_is_its_stages(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from chartloom.llm.queries import WORD_VOCABULARY
+
+    frame = spark.createDataFrame(STAGE_ROWS, SCHEMA)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    outs, stages_ = {}, corpus_pipeline.STAGES
+
+    def noted(name, stage):
+        def run(spark_, docs, sf_dir):
+            before = [tuple(r) for r in docs.collect()]
+            outs[name] = (before, out := stage(spark_, docs, sf_dir).cache())
+            return out
+
+        return name, run
+
+    corpus_pipeline.STAGES = [noted(*s) for s in stages_]
+    try:
+        last = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        corpus_pipeline.STAGES = stages_
+    after = {name: [tuple(r) for r in out.collect()] for name, (_, out) in outs.items()}
+    before = {name: rows for name, (rows, _) in outs.items()}
+    names = [name for name, _ in stages_]
+    for name, following in zip(names, names[1:], strict=False):
+        assert Counter(after[name]) == Counter(before[following])
+    decoder = language.fit_decoder(frame.select("text", "lang"))
+    found = language.identify(frame, decoder, keep=tuple(frame.columns)).collect()
+    want = Counter(tuple(r[c] for c in frame.columns) for r in found if r.lang_pred != language.UNKNOWN and not r.ambiguous)
+    assert Counter(after["language"]) == want and sum(want.values()) > 5
+    ids = sorted(r[0] for r in after["near_dedup"] if r[0] is not None)
+    assert ids == [i for i, _ in _near_dedup(before["near_dedup"])]
+    every = Counter()
+    for r in before["suffix_dedup"]:
+        data = (r[1] or "").encode()
+        every.update(data[i : i + 200] for i in range(len(data) - 199))
+    cut = []
+    for r in before["suffix_dedup"]:
+        data = (r[1] or "").encode()
+        gone = {j for i in range(len(data) - 199) if every[data[i : i + 200]] > 1 for j in range(i, i + 200)}
+        text = None if r[1] is None else bytes(x for i, x in enumerate(data) if i not in gone).decode()
+        cut.append((*r[:1], text, *r[2:4], None if text is None else len(text)))
+    assert Counter(after["suffix_dedup"]) == Counter(cut)
+    given, taken = before["mix_sources"], Counter()
+    for i, text, lang, source, n in after["mix_sources"]:
+        assert n == len(text)
+        assert any((i, lang, source) == (r[0], r[2], r[3]) and r[1].split()[: len(text.split())] == text.split() for r in given)
+        taken[source] += len(text.split())
+    targets = {r.source: r.target for r in mixing.mix_plan(spark.createDataFrame(given, SCHEMA)).collect()}
+    assert all(abs(taken[source] - target) <= 1 for source, target in targets.items())
+    tokenizer = Tokenizer.from_file(WORD_VOCABULARY)
+    tokens = Counter(t for r in before["pack"] for t in [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1])
+    assert tokens == Counter(t for p in last for t in np.frombuffer(p.ids, "<u4").tolist())
