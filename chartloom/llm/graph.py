@@ -6,8 +6,8 @@ stays only if no kept neighbour is closer to its end by the factor ALPHA. Querie
 what they find is scored on the original vectors in double precision and merged.
 
 Equal vectors are one node of the graph, all their ids are found with it, ties go to the smaller id. Vectors that are
-null, zero, of another length than the first of their shard, or not finite throughout take no part. Rows with equal ids
-are candidates of their own. Empty tables give no rows.
+null, zero or not finite throughout take no part. Every length has graphs of its own, and a query searches all vectors
+of its length. Rows with equal ids are candidates of their own. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -135,10 +135,7 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
 
 def _index(table: pa.Table) -> pa.Table:
     ids = table.column("vec_id").to_numpy()
-    lists = table.column("embedding").to_pylist()
-    width = len(lists[0])
-    usable = [i for i, v in enumerate(lists) if len(v) == width]
-    vectors, ids = np.array([lists[i] for i in usable], np.float64), ids[usable]
+    vectors = np.array(table.column("embedding").to_pylist(), np.float64)
     points, group = np.unique(vectors, axis=0, return_inverse=True)
     scaled = points / np.abs(points).max()
     norms = (scaled**2).sum(1)
@@ -147,7 +144,8 @@ def _index(table: pa.Table) -> pa.Table:
     edges, start = build_graph(lifted)
     data = io.BytesIO()
     np.savez(data, points=points, lifted=lifted, edges=edges, start=start, ids=ids, group=group.ravel())
-    return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int64()), pa.array([data.getvalue()], pa.binary())], names=["shard", "graph"])
+    key = [table.column(c).slice(0, 1) for c in ("shard", "size")]
+    return pa.table([*key, pa.array([data.getvalue()], pa.binary())], names=["shard", "size", "graph"])
 
 
 def _search(k: int):
@@ -158,11 +156,10 @@ def _search(k: int):
             points, lifted, edges, group, ids = (shard[c] for c in ("points", "lifted", "edges", "group", "ids"))
             names = right.column("query_id").to_pylist()
             asked = right.column("vector").to_pylist()
-            fits = [i for i, v in enumerate(asked) if len(v) == points.shape[1]]
             order = np.lexsort((ids, group))
             first = np.searchsorted(group[order], np.arange(len(points) + 1))
-            for at in range(0, len(fits), 256):
-                some = fits[at : at + 256]
+            for at in range(0, len(asked), 256):
+                some = range(at, min(at + 256, len(asked)))
                 queries = np.array([asked[i] for i in some], np.float64)
                 asking = queries / np.abs(queries).max(1, keepdims=True)
                 asking = np.pad(asking / np.linalg.norm(asking, axis=1, keepdims=True), ((0, 0), (0, 1))).astype(np.float32)
@@ -188,22 +185,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     def clean(rows: DataFrame) -> DataFrame:
         rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("embedding"))
         finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
-        return rows.where(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
+        rows = rows.where(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
+        return rows.withColumn("size", F.size("embedding"))
 
     kept = clean(vectors)
     shards = max(1, -(-kept.count() // SHARD))
     asked = clean(queries).dropDuplicates(["vec_id"])
     blocks = max(1, -(-asked.count() // QUERIES))
     dealt = kept.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    graphs = cut(dealt.groupBy("shard").applyInArrow(_index, "shard long, graph binary"))
+    graphs = cut(dealt.groupBy("shard", "size").applyInArrow(_index, "shard long, size int, graph binary"))
     left = graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asked.select(
         F.col("vec_id").alias("query_id"),
         F.col("embedding").alias("vector"),
+        "size",
         F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
     )
-    found = left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part"))
+    found = left.groupBy("shard", "size", "part").cogroup(right.groupBy("shard", "size", "part"))
     found = found.applyInArrow(_search(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,11 +1,12 @@
 """The whole job where operators once did less: full contexts, evidence of unlike texts, disguises of all kinds,
 hot seeds in bounded groups, partners over gaps of ids,
-stages of the pipeline."""
+stages of the pipeline, vectors of every length."""
 
 import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from chartloom.llm import language, minhash, mixing, preferences, scoring, stages, suffixes, toxicity
 
@@ -191,3 +192,20 @@ def test_run_is_its_stages(spark, tmp_path):
     tokenizer = Tokenizer.from_file(WORD_VOCABULARY)
     tokens = Counter(t for r in before["pack"] for t in [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1])
     assert tokens == Counter(t for p in last for t in np.frombuffer(p.ids, "<u4").tolist())
+
+
+def test_vectors_of_every_length_are_found(spark):
+    from chartloom.llm import graph
+
+    random_ = np.random.default_rng(5)
+    vectors = {i: random_.normal(size=3 if i % 10 == 0 else 8) for i in range(300)}
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()] + [(900, [1.0])], "vec_id long, embedding array<float>")
+    for first in (8, 3):
+        order = frame.orderBy(F.size("embedding") != first).coalesce(1)
+        found = graph.nearest(order, frame.where("vec_id IN (20, 30, 7, 900)"), 5).collect()
+        for q in (20, 30, 7):
+            own = [r.vec_id for r in sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])]
+            alike = [i for i, v in vectors.items() if len(v) == len(vectors[q]) and i != q]
+            want = sorted(alike, key=lambda i: -float(vectors[i].astype("f4") @ vectors[q].astype("f4")))[:5]
+            assert len(set(own) & set(want)) >= 4
+        assert not [r for r in found if r.query_id == 900]
