@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.llm.bytepairs import decode_ids, encode_texts
 from chartloom.llm.common import fold, table
 from chartloom.llm.fingerprints import edit_fingerprints
 from chartloom.llm.graph import nearest
 from chartloom.llm.language import identify_held_out
 from chartloom.llm.minhash import near_duplicates
 from chartloom.llm.mixing import mix_plan
+from chartloom.llm.negatives import hard_negatives
 from chartloom.llm.packing import pack_documents
 from chartloom.llm.preferences import format_preferences, reply_pairs
 from chartloom.llm.scoring import score_texts
@@ -21,6 +23,7 @@ from chartloom.llm.suffixes import without_repeats
 from chartloom.llm.toxicity import score_toxicity
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +89,46 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_vertical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op12_vertical_scan"] = """
+WITH clean AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM clean AS a JOIN clean AS b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id)::INTEGER AS positive_rank
+  FROM scored WHERE alike QUALIFY positive_rank <= 5
+)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score, positive_rank,
+       row_number() OVER (PARTITION BY anchor_id, positive_rank ORDER BY score DESC, other_id)::INTEGER AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@register
+def op13_token_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return decode_ids(encoded, BYTE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
