@@ -19,12 +19,17 @@ from chartloom.llm.negatives import hard_negatives
 from chartloom.llm.packing import pack_documents
 from chartloom.llm.preferences import format_preferences, reply_pairs
 from chartloom.llm.scoring import score_texts
+from chartloom.llm.spelling import spelling_variants
 from chartloom.llm.suffixes import without_repeats
 from chartloom.llm.toxicity import score_toxicity
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+# One-byte signs for the letters of two bytes, as the SQL engine's edit distance goes by bytes.
+ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+SIGNS = "".join(chr(c) for c in range(0x20, 0x7F) if not chr(c).islower() and chr(c) not in "'")[: len(ACCENTED)]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -91,6 +96,52 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), damage=97)
+
+
+ORACLES["op11_pivotal_grams"] = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL
+), digests AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(bytes, lambda b: list_transform(range(8), lambda i: (b >> i) & 1)))),
+    lambda c, bit: xor(c >> 1, 3988292384 * ((c & 1) + bit - 2 * (c & bit))))) AS h
+  FROM (SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+          lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes
+        FROM runs)
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                    ELSE run END AS word, n FROM digests)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cuts AS (
+  SELECT word, n, unnest(list_prepend(word, list_transform(range(1, length(word) + 1),
+                                                           lambda i: word[:i - 1] || word[i + 1:]))) AS part
+  FROM words
+), near AS MATERIALIZED (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cuts AS a JOIN cuts AS b USING (part)
+  WHERE a.word <> b.word AND levenshtein(translate(a.word, letters, signs), translate(b.word, letters, signs)) = 1
+), best AS (
+  SELECT word, n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word, n
+), named AS MATERIALIZED (
+  SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS place, form AS next FROM named
+  UNION ALL
+  SELECT chain.word, named.word, named.form FROM chain JOIN named ON named.word = chain.next
+)
+SELECT word, form, place AS root, n, n_near, form_n FROM named JOIN chain USING (word) WHERE next IS NULL
+""".replace("letters", f"'{ACCENTED}'").replace("signs", f"'{SIGNS}'")
+
+
 @register
 def op12_vertical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
