@@ -17,7 +17,10 @@ go to the smaller word. Only `doc_id` and `text` are read, so other columns cann
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -26,33 +29,54 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import cut
 
-RUN = "[A-Za-zÀ-ÿ]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+RUN = re.compile("[A-Za-z\u00C0-\u00FF]+")
 MIN_LENGTH, MIN_COUNT = 5, 3
 GRAM = 2
 ROWS = 2000
+MEMORY = 200_000
+TASK_WORDS = 10_000
 
 
-def lowered(run: Column) -> Column:
-    """A-Z in lower case; most runs have none and are left as they are."""
-    return F.when(F.lower(run) == run, run).otherwise(F.translate(run, UPPER, LOWER))
+def damaged(run: str, digest: int, every: int) -> str:
+    """`run` without one code point where `every` divides `digest`."""
+    at = digest % len(run)
+    return run if digest % every else run[:at] + run[at + 1 :]
 
 
-def damaged(run: Column, doc_id: Column, every: int) -> Column:
-    """`run` without one code point where `every` divides the crc32 of id and run."""
-    digest = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
-    at = (digest % F.char_length(run)).cast("int")
-    less = F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))
-    return F.when(digest % every == 0, less).otherwise(run)
+def _counted(every: int | None):
+    """Counts of the words in batches of documents, given out whenever there are MEMORY different ones."""
+
+    def rows(counts: Counter) -> pa.RecordBatch:
+        kept = [w for w in counts if len(w) >= MIN_LENGTH]
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([counts[w] for w in kept], pa.int64())], ["word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                # bytes.lower() changes A-Z alone
+                found = RUN.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+                if every:
+                    seed = crc32(f"{'' if doc_id is None else doc_id}:".encode())
+                    for word, n in Counter(found).items():
+                        counts[damaged(word, crc32(word.encode(), seed), every)] += n
+                else:
+                    counts.update(found)
+                if len(counts) > MEMORY:
+                    yield rows(counts)
+                    counts.clear()
+        yield rows(counts)
+
+    return run
 
 
 def count_words(documents: DataFrame, damage: int | None = None) -> DataFrame:
-    """`word` and its count `n`, of the words that are long and frequent enough; `damage`: see damaged()."""
-    run = F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0)))
-    runs = documents.select("doc_id", run.alias("run")).select("doc_id", lowered(F.col("run")).alias("run"))
-    word = damaged(F.col("run"), F.col("doc_id"), damage) if damage else F.col("run")
-    words = runs.select(word.alias("word")).where(F.char_length("word") >= MIN_LENGTH)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_COUNT)
+    """`word` and its count `n`, of the words that are long and frequent enough.
+
+    With `damage`, a run loses a code point where that number divides the crc32 of `<doc_id>:<run>`.
+    """
+    parts = documents.select("doc_id", "text").mapInArrow(_counted(damage), "word string, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
 
 
 def gram_order(words: DataFrame) -> dict[str, int]:
@@ -146,7 +170,8 @@ def keyed(words: DataFrame, order: dict[str, int]) -> DataFrame:
 
 def near_words(words: DataFrame) -> DataFrame:
     """Pairs of `words` one edit apart, once each: a < b with their counts na and nb."""
-    rows = cut(keyed(words, gram_order(words)))
+    spread = words.repartition(max(1, -(-words.count() // TASK_WORDS)))
+    rows = cut(keyed(spread, gram_order(words)))
     asked = rows.select(F.col("word").alias("a"), F.col("n").alias("na"), F.col("last").alias("la"), F.explode("pivots").alias("key"))
     held = rows.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.col("last").alias("lb"), F.explode("index").alias("key"))
     met = asked.join(held, "key").where("la <= lb").where(F.levenshtein("a", "b", 1) == 1)
