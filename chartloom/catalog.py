@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from chartloom.functions.exact import text_part
+
 # ---------------------------------------------------------------------------------------
 # Fixed values from the public FHIR R4 specification. One element per line entry:
 # `name type`, with `*` for a repeating element. `Patient_Contact` and the like are the
@@ -304,6 +306,15 @@ class Catalog:
         fields = [T.StructField("id", T.StringType())]
         return T.StructType(fields + [T.StructField(e.name, self.parse_type(e)) for e in chosen])
 
+    def json_texts(self, resource: str, only: list[str] | None = None) -> T.StructType:
+        """The part of a document's schema that holds nested JSON texts: strings of its complex elements."""
+        complex_ = [
+            T.StructField(e.name, text_part(self.parse_type(e)))
+            for e in self.elements(resource)
+            if (only is None or e.name in only) and self.shape(e) != "primitive"
+        ]
+        return T.StructType([f for f in complex_ if f.dataType is not None])
+
 
 # Integers are read as doubles, so that 1.0 and NaN can be told apart and coerced. Decimals are
 # read wider than their column, so that a value too large for it is null and its row stays.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chartloom.catalog import PRIMITIVE_COLUMN_TYPES, Catalog, Element
 from chartloom.functions.dates import fhir_timestamp_sql
+from chartloom.functions.exact import at_risk, marked, merged_sql
 
 
 def chosen_elements(resource: str, catalog: Catalog, only: list[str] | None) -> list[Element]:
@@ -25,9 +26,22 @@ def parse_documents(
     Written as a generator of one row, because the optimizer copies the expression behind a
     plain column into every filter and join condition on it, and would parse again there.
     """
-    schema = catalog.struct_type(resource, only)
+    schema, texts = catalog.struct_type(resource, only), catalog.json_texts(resource, only)
     kept = [c for c in lines.columns if c != "value"]
-    return lines.select(*kept, F.inline(F.array(F.from_json("value", schema))))
+    doc, value = F.from_json("value", schema), F.col("value")
+    if not texts.fields:
+        return lines.select(*kept, F.inline(F.array(doc)))
+    # Nested texts keep their numbers as written.
+    exact = F.when(at_risk(value), F.from_json(marked(value), texts))
+    both = lines.select(*kept, F.inline(F.array(F.struct(doc.alias("_doc"), exact.alias("_exact")))))
+    columns = []
+    for field in schema.fields:
+        plain = f"_doc.`{field.name}`"
+        if field.name in texts.fieldNames():
+            found = merged_sql(texts[field.name].dataType, plain, f"_exact.`{field.name}`", field.dataType)
+            plain = f"if(_exact IS NULL, {plain}, {found})"
+        columns.append(f"{plain} AS `{field.name}`")
+    return both.selectExpr(*kept, *columns)
 
 
 def any_present(names: list[str]) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.functions.exact import marked_where_needed, unmarked
 from chartloom.operators.frames import explode_present
 
 PAGE = "entry array<struct<resource:string>>, link array<struct<relation:string,url:string>>"
@@ -12,15 +13,16 @@ CAPABILITY = "rest array<struct<resource:array<struct<type:string>>>>"
 
 
 def explode_bundles(pages: DataFrame) -> DataFrame:
-    """One row per resource on a page, with the address of the next page if there is one."""
+    """One row per resource on a page, numbers as written, with the address of the next page if there is one."""
     others = [c for c in pages.columns if c != "value"]
-    parsed = pages.select(*others, F.from_json("value", PAGE).alias("page"))
+    text = marked_where_needed(F.col("value"))
+    parsed = pages.select(*others, F.from_json(text, PAGE).alias("page"))
     following = F.filter("page.link", lambda link: link["relation"] == "next")
     resources = F.filter("page.entry.resource", lambda r: r.isNotNull())
     rows = parsed.select(
         *others, F.get(following, F.lit(0))["url"].alias("next_url"), resources.alias("resources")
     )
-    return explode_present(rows, "resources", "value")
+    return explode_present(rows, "resources", "value").withColumn("value", unmarked(F.col("value")))
 
 
 def capability_resources(statements: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.catalog import IGNORED_ELEMENTS, Catalog
+from chartloom.functions.exact import at_risk, marked, marked_where_needed, merged_sql, unmarked
 from chartloom.operators.frames import explode_present
 
 # Error codes.
@@ -29,11 +30,15 @@ def scan_documents(lines: DataFrame, resource: str, catalog: Catalog) -> DataFra
     schema = catalog.struct_type(resource).add("_corrupt", T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     doc = F.from_json("value", schema, options)
+    texts = catalog.json_texts(resource)
+    exact = F.when(at_risk(F.col("value")), F.from_json(marked(F.col("value")), texts))
     keys = F.filter(F.json_object_keys("value"), lambda k: ~k.startswith("_"))
     unknown = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
     # A generator of one row, as in `parse_documents`: no filter on it parses again.
-    scanned = F.struct(doc.alias("doc"), unknown.alias("unknown_elements"))
+    scanned = F.struct(doc.alias("doc"), unknown.alias("unknown_elements"), exact.alias("_exact"))
     rows = lines.where(F.col("value").rlike(r"\S")).select(*lines.columns, F.inline(F.array(scanned)))
+    whole = F.expr(merged_sql(texts, "doc", "_exact", schema))
+    rows = rows.withColumn("doc", F.when(F.col("_exact").isNull(), F.col("doc")).otherwise(whole)).drop("_exact")
     code = F.when(
         F.col("doc._corrupt").isNotNull(),
         F.when(F.try_parse_json("value").isNull(), READ_FAILED).otherwise(SHAPE_FAILED),
@@ -53,9 +58,11 @@ def rejected_lines(scanned: DataFrame) -> DataFrame:
 
 
 def batch_documents(texts: DataFrame) -> DataFrame:
-    """Documents of batches given as a JSON list or as NDJSON text, in a `value` column."""
+    """Documents of batches given as a JSON list or as NDJSON text, in a `value` column; numbers as written."""
     items = F.when(
-        F.ltrim("value").startswith("["), F.from_json("value", "array<string>")
-    ).otherwise(F.split("value", "\n"))
+        F.ltrim("value").startswith("["),
+        F.from_json(marked_where_needed(F.col("value")), "array<string>"),
+    ).otherwise(F.split("value", r"\r?\n"))
     rows = explode_present(texts.withColumn("value", items), "value", "document")
+    rows = rows.withColumn("document", unmarked(F.col("document")))
     return rows.where(F.col("document").rlike(r"\S"))

@@ -134,7 +134,7 @@ def replace_shared_rows(spark, sf_dir):
 @check(
     "skip_empty",
     """
-    SELECT 'pat-' || c_custkey AS id, CAST(1 + c_custkey % 2 AS INTEGER) AS meta_versionid
+    SELECT 'pat-' || c_custkey AS id, CAST(1 + c_custkey % 2 AS BIGINT) AS meta_versionid
     FROM customer WHERE c_custkey % 5 <> 0
     """,
 )

@@ -127,14 +127,19 @@ def flatten_backbone(spark, sf_dir):
     """
     SELECT 'pat-' || c_custkey AS id,
            CASE WHEN c_custkey % 4 = 0 THEN '{"name":{"family":"C' || c_custkey || '"}}' END AS contact,
-           '{"language":{"text":"en"},"preferred":true}' AS communication
+           '{"language":{"text":"en"},"preferred":true}' AS communication,
+           '{"extension":[{"valueDecimal":1.50},{"valueDecimal":100000000000000000000.00000000000000000001}]}' AS link
     FROM customer
     """,
 )
 def keep_backbone_array(spark, sf_dir):
-    wide = flat(spark, sf_dir, "Patient", ["contact", "communication"])
+    numbers = """concat('{"link":[{"extension":[{"valueDecimal":1.50},
+        {"valueDecimal":100000000000000000000.00000000000000000001}]}],', substr(value, 2)) AS value"""
+    docs = documents(spark, sf_dir, "Patient").selectExpr(numbers)
+    wide = flatten(docs, "Patient", CATALOG, ["contact", "communication", "link"])
     return wide.select(
         "id",
+        F.array_join("link", "|").alias("link"),
         F.array_join("contact", "|").alias("contact"),
         F.array_join("communication", "|").alias("communication"),
     )
@@ -144,13 +149,21 @@ def keep_backbone_array(spark, sf_dir):
     "keep_extensions",
     """
     SELECT 'obs-' || event_id AS id,
-           '{"url":"urn:props","valueString":"' || replace(props, '"', '\\"') || '"}' AS extension
+           '{"url":"urn:props","valueString":"' || replace(props, '"', '\\"') || '"}' AS extension,
+           '{"extension":[{"valueDecimal":' || event_id || '.50},{"valueDecimal":0.12345678901234567890}]}' AS referencerange
     FROM events
     """,
 )
 def keep_extensions(spark, sf_dir):
-    wide = flat(spark, sf_dir, "Observation", ["extension"])
-    return wide.select("id", F.array_join("extension", "|").alias("extension"))
+    numbers = """concat('{"referenceRange":[{"extension":[{"valueDecimal":', replace(get_json_object(value, '$.id'), 'obs-', ''),
+        '.50},{"valueDecimal":0.12345678901234567890}]}],', substr(value, 2)) AS value"""
+    docs = documents(spark, sf_dir, "Observation").selectExpr(numbers)
+    wide = flatten(docs, "Observation", CATALOG, ["extension", "referenceRange"])
+    return wide.select(
+        "id",
+        F.array_join("extension", "|").alias("extension"),
+        F.array_join("referencerange", "|").alias("referencerange"),
+    )
 
 
 @check(

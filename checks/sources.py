@@ -42,12 +42,25 @@ def scan_ndjson(spark, sf_dir):
     )
 
 
+# Numbers that a double would print in another way, in documents and in what is to come out.
+PRICED = """concat('{"photo":[{"extension":[{"valueDecimal":', k, '.50},{"valueDecimal":0.1234567890123456',
+    lpad(k % 10000, 4, '0'), '},{"valueDecimal":-1.0E+', k % 40, ',"valueString":"at 2.50, \\\\"3.0\\\\""}]}],', substr(value, 2)) AS value"""
+PRICES = """'{"valueDecimal":' || c_custkey || '.50}|{"valueDecimal":0.1234567890123456'
+    || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '}|{"valueDecimal":-1.0E+' || c_custkey % 40
+    || ',"valueString":"at 2.50, \\"3.0\\""}' AS prices"""
+
+
+def prices():
+    """The numbers of photos, as texts."""
+    return F.array_join(F.flatten("photo.extension"), "|").alias("prices")
+
+
 @check(
     "scan_json_array",
-    "SELECT 'pat-' || c_custkey AS id, c_custkey // 20 AS batch FROM customer",
+    f"SELECT 'pat-' || c_custkey AS id, c_custkey // 20 AS batch, {PRICES} FROM customer",
 )
 def scan_json_array(spark, sf_dir):
-    docs = documents(spark, sf_dir, "Patient", ("k",))
+    docs = documents(spark, sf_dir, "Patient", ("k",)).selectExpr("k", PRICED)
     # Batches of twenty documents, as a JSON list and as NDJSON text in turn.
     batches = docs.groupBy(F.expr("k div 20").alias("batch")).agg(F.collect_list("value").alias("v"))
     texts = batches.selectExpr(
@@ -56,20 +69,21 @@ def scan_json_array(spark, sf_dir):
               concat(array_join(v, '\n'), '\n')) AS value""",
     )
     rows = ndjson.batch_documents(texts).withColumnRenamed("document", "value")
-    return parse_documents(rows, "Patient", CATALOG, []).select("id", "batch")
+    return parse_documents(rows, "Patient", CATALOG, ["photo"]).select("id", "batch", prices())
 
 
 @check(
     "bundle_explode",
-    """
+    f"""
     SELECT 'pat-' || c_custkey AS id,
            CASE WHEN (c_custkey // 50) % 3 <> 2
-                THEN 'https://server/Patient?page=' || (c_custkey // 50 + 1) END AS next_url
+                THEN 'https://server/Patient?page=' || (c_custkey // 50 + 1) END AS next_url,
+           {PRICES}
     FROM customer WHERE c_custkey % 11 <> 0
     """,
 )
 def bundle_explode(spark, sf_dir):
-    docs = documents(spark, sf_dir, "Patient", ("k",))
+    docs = documents(spark, sf_dir, "Patient", ("k",)).selectExpr("k", PRICED)
     entry = "if(k % 11 = 0, '{}', concat('{\"resource\":', value, '}'))"
     # Pages of fifty documents.
     pages = docs.groupBy(F.expr("k div 50").alias("page")).agg(
@@ -80,7 +94,7 @@ def bundle_explode(spark, sf_dir):
     value = f"""concat('{{"entry":[', entries, '],"link":[{{"relation":"self","url":"s"}}',
                        {following}, ']}}') AS value"""
     rows = bundles.explode_bundles(pages.selectExpr(value))
-    return parse_documents(rows, "Patient", CATALOG, []).select("id", "next_url")
+    return parse_documents(rows, "Patient", CATALOG, ["photo"]).select("id", "next_url", prices())
 
 
 @check(

@@ -157,9 +157,41 @@ def test_bundle_takes_any_next_link_and_skips_entries_without_resource(lines):
 def test_parsing_happens_once_per_document(lines, catalog):
     rows = shared_table(normalize(lines({"id": "p"}), "Patient", catalog), "reference")
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    # Once for all, and once more under the test for numbers that a double would print in another way.
+    assert plan.count("from_json") == 2 and plan.count("CASE WHEN (RLIKE(value") == 1
 
 
 def test_lines_of_white_space_are_skipped(lines, catalog):
     found = scan_documents(lines("\t", "\r", " \t\r", '{"resourceType":"Patient","id":"a"}'), "Patient", catalog)
     assert found.count() == 1 and rejected_lines(found).count() == 0
+
+
+NUMBERS = ["1.50", "0.12345678901234567890", "1e3", "-1.0E+10", "100000000.5", "0.0001", "12345678901234567890123", "7", "-0.0"]
+
+
+def test_numbers_of_nested_texts_come_out_as_written(lines, catalog):
+    entries = ",".join(f'{{"n":{n},"s":"x: {n}, \\"{n}\\" \\\\"}}' for n in NUMBERS)
+    document = f'{{"id":"p","extension":[{entries}],"contact":[{{"x":[{", ".join(NUMBERS)}]}}],"multipleBirthInteger":2}}'
+    wide = flatten(lines(document), "Patient", catalog, ["extension", "contact", "multipleBirthInteger"]).first()
+    assert ",".join(wide.extension) == entries
+    assert wide.contact == [f'{{"x":[{",".join(NUMBERS)}]}}'] and wide.multiplebirthinteger == 2
+    scanned = scan_documents(lines(document), "Patient", catalog).first()
+    assert scanned.error_code is None and ",".join(scanned.doc.extension) == entries
+    listed = batch_documents(lines(f"[{document}, {document}]")).collect()
+    assert len(listed) == 2 and all(entries in r.document and ",".join(NUMBERS) in r.document for r in listed)
+    page = f'{{"entry":[{{"resource":{document}}}]}}'
+    assert entries in explode_bundles(lines(page)).first().value
+
+
+def test_texts_with_the_mark_itself_are_left_to_spark(lines, catalog):
+    for mark in ("\\ue000", "\ue000"):
+        document = f'{{"id":"p","extension":[{{"n":1.50,"s":"{mark}1"}}]}}'
+        wide = flatten(lines(document), "Patient", catalog, ["extension"]).first()
+        assert wide.extension == ['{"n":1.5,"s":"1"}']
+
+
+def test_long_strings_with_many_escapes_are_marked_without_a_deep_stack(lines, catalog):
+    text = "\\n\\\"" * 50_000
+    document = f'{{"id":"p","extension":[{{"s":"{text}","n":2.50}}]}}'
+    wide = flatten(lines(document), "Patient", catalog, ["extension"]).first()
+    assert wide.extension[0].endswith('"n":2.50}') and len(wide.extension[0]) > 200_000
