@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from chartloom.catalog import SHARED_TABLES, Catalog
 from chartloom.operators import changes, load
 from chartloom.operators.flatten import parse_documents
-from chartloom.operators.published import Snapshot, TableSet
+from chartloom.operators.published import Snapshot, TableSet, Written
 from chartloom.operators.shared import normalize, resource_table, shared_table
 from chartloom.sources.ndjson import scan_documents
 
@@ -113,28 +113,17 @@ def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) ->
     normalize(documents, run.resource, run.catalog).write.mode("overwrite").parquet(f"{at}/rows")
     normalized = spark.read.parquet(f"{at}/rows")
 
-    buckets = run.tables.touched(normalized)
-    if buckets:
-        # Rows stored for any loaded id go, whatever it was classified as.
-        replaced = normalized.select("id")
+    # Rows stored for any loaded id go, whatever it was classified as.
+    replaced = normalized.select("id")
 
-        def write(table: str) -> None:
-            if table == run.table:
-                rows = load.stamped(resource_table(normalized), run.as_of)
-                batch = rows.withColumn("__seq", F.lit(1))
+    def write(table: str) -> Written:
+        rows = resource_table(normalized) if table == run.table else None
+        if rows is None:
+            rows = shared_table(normalized, table.removeprefix(f"{run.table}_"))
+        stamped = load.stamped(rows, run.as_of).drop("__op")
+        return run.tables.upsert(table, run.schemas[table], stamped, replaced, version, before)
 
-                def change(state: DataFrame) -> DataFrame:
-                    return load.apply_changes(state, batch, ["id"])
-            else:
-                shared = table.removeprefix(f"{run.table}_")
-                rows = load.stamped(shared_table(normalized, shared), run.as_of).drop("__op")
-
-                def change(state: DataFrame) -> DataFrame:
-                    return state.join(replaced, "id", "left_anti").unionByName(rows)
-
-            run.tables.rewrite(table, run.schemas[table], buckets, version, change, before)
-
-        with ThreadPoolExecutor(len(run.schemas)) as pool:
-            list(pool.map(write, run.schemas))
-    run.tables.publish(version, {table: buckets for table in run.schemas})
+    with ThreadPoolExecutor(len(run.schemas)) as pool:
+        written = dict(zip(run.schemas, pool.map(write, run.schemas), strict=True))
+    run.tables.publish(version, {t: w for t, (w, _) in written.items()}, {t: a for t, (_, a) in written.items()})
     return changes.audit_rows(classified)

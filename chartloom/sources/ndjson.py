@@ -37,8 +37,6 @@ def scan_documents(lines: DataFrame, resource: str, catalog: Catalog) -> DataFra
     # A generator of one row, as in `parse_documents`: no filter on it parses again.
     scanned = F.struct(doc.alias("doc"), unknown.alias("unknown_elements"), exact.alias("_exact"))
     rows = lines.where(F.col("value").rlike(r"\S")).select(*lines.columns, F.inline(F.array(scanned)))
-    whole = F.expr(merged_sql(texts, "doc", "_exact", schema))
-    rows = rows.withColumn("doc", F.when(F.col("_exact").isNull(), F.col("doc")).otherwise(whole)).drop("_exact")
     code = F.when(
         F.col("doc._corrupt").isNotNull(),
         F.when(F.try_parse_json("value").isNull(), READ_FAILED).otherwise(SHAPE_FAILED),
@@ -46,7 +44,15 @@ def scan_documents(lines: DataFrame, resource: str, catalog: Catalog) -> DataFra
         (F.size("unknown_elements") > 0) | F.col("doc.id").isNull(),
         SHAPE_FAILED,
     )
-    return rows.withColumn("error_code", code)
+    columns = []
+    for field in schema.fields:
+        value = f"doc.`{field.name}`"
+        if field.name in texts.fieldNames():
+            found = merged_sql(texts[field.name].dataType, value, f"_exact.`{field.name}`", field.dataType)
+            value = f"if(_exact IS NULL, {value}, {found})"
+        columns.append(f"'{field.name}', {value}")
+    whole = F.expr(f"named_struct({', '.join(columns)})")
+    return rows.withColumns({"error_code": code, "doc": whole}).drop("_exact")
 
 
 def good_documents(scanned: DataFrame) -> DataFrame:

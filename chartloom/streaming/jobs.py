@@ -128,6 +128,7 @@ LINEAGE_STATE = T.StructType(
         T.StructField("error_code", T.StringType()),
         T.StructField("reject_location", T.StringType()),
         T.StructField("reschedule_count", T.IntegerType()),
+        T.StructField("waiting_since", T.LongType()),
     ]
 )
 FIRST_VALUES = [
@@ -139,7 +140,7 @@ def lineage_stream(messages: DataFrame, tables: TableSet, work: str) -> None:
     """Keep one row per file from the halves of its lineage, in whatever order they come.
 
     A half that came alone waits in the same table until the other one is there; see
-    `lineage_state`. Only the buckets of the files at hand are rewritten.
+    `lineage_state`. Only the rows of the files at hand are written.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -150,18 +151,24 @@ def lineage_stream(messages: DataFrame, tables: TableSet, work: str) -> None:
             *[F.col(f.name).cast(f.dataType) for f in LINEAGE_STATE if f.name in batch.columns],
         ).write.mode("overwrite").parquet(at)
         halves = batch.sparkSession.read.parquet(at)
-        buckets = tables.touched(halves)
-        if buckets:
-            tables.rewrite(
-                "lineage", LINEAGE_STATE, buckets, version, lambda state: merge_state(state, halves)
-            )
-            tables.publish(version, {"lineage": buckets})
+        before = tables.snapshot(before=version)
+        stored = tables.read("lineage", LINEAGE_STATE, tables.touched(halves), before)
+        stored = stored.join(halves.select("filepath_id"), "filepath_id", "left_semi")
+        merged = f"{work}/merged/{version}"
+        merge_state(stored, halves, version).write.mode("overwrite").parquet(merged)
+        rows = batch.sparkSession.read.schema(LINEAGE_STATE).parquet(merged)
+        whole, added = tables.upsert("lineage", LINEAGE_STATE, rows, rows, version, before)
+        tables.publish(version, {"lineage": whole}, {"lineage": added})
 
     drain(messages, f"{work}/checkpoint", each)
 
 
-def merge_state(state: DataFrame, halves: DataFrame) -> DataFrame:
-    """Newest first-half values and newest outcome of every file."""
+def merge_state(state: DataFrame, halves: DataFrame, batch: int) -> DataFrame:
+    """Newest first-half values and newest outcome of every file at hand.
+
+    An outcome that came before its file waits from batch to batch: `waiting_since` is the first one. When the file
+    comes, `reschedule_count` is how many batches the outcome has waited, whatever else they held.
+    """
     everything = state.withColumn("_order", F.lit(-1).cast("long")).unionByName(
         halves, allowMissingColumns=True
     )
@@ -175,18 +182,25 @@ def merge_state(state: DataFrame, halves: DataFrame) -> DataFrame:
         newest(FIRST_VALUES, is_first).alias("first"),
         newest(lineage.OUTCOME_COLUMNS, is_second).alias("second"),
         F.max("reschedule_count").alias("tries"),
+        F.min("waiting_since").alias("since"),
     )
     waits = F.col("first").isNull()
+    waited = (F.lit(batch) - F.col("since")).cast("int")
     return merged.select(
         "filepath_id",
         *[F.col(f"first.{c}").alias(c) for c in FIRST_VALUES],
         *[F.col(f"second.{c}").alias(c) for c in lineage.OUTCOME_COLUMNS],
-        F.when(waits, F.coalesce("tries", F.lit(0)) + 1)
-        .otherwise(F.col("tries"))
-        .alias("reschedule_count"),
+        F.coalesce("tries", F.when(~waits, F.coalesce(waited, F.lit(0)))).alias("reschedule_count"),
+        F.when(waits, F.coalesce("since", F.lit(batch).cast("long"))).alias("waiting_since"),
     )
 
 
+def rescheduled(state: DataFrame, batches: int) -> DataFrame:
+    """The table of `lineage_stream` after so many batches, with the count of those that still wait up to now."""
+    waited = (F.lit(batches) + 1 - F.col("waiting_since")).cast("int")
+    return state.withColumn("reschedule_count", F.coalesce("reschedule_count", waited)).drop("waiting_since")
+
+
 def lineage_state() -> Column:
     """complete with both halves, open without an outcome, waiting without the file itself."""
     return (
@@ -244,15 +258,13 @@ def latest_version_stream(
         version, at = number + 1, f"{work}/newest/{number}"
         latest_per_key(batch, ["id"], order).write.mode("overwrite").parquet(at)
         newest = batch.sparkSession.read.parquet(at)
-        buckets = tables.touched(newest)
-        if buckets:
-            tables.rewrite(
-                table,
-                schema,
-                buckets,
-                version,
-                lambda state: latest_per_key(state.unionByName(newest), ["id"], order),
-            )
-            tables.publish(version, {table: buckets})
+        before = tables.snapshot(before=version)
+        stored = tables.read(table, schema, tables.touched(newest), before)
+        stored = stored.join(newest.select("id"), "id", "left_semi")
+        winners = f"{work}/winners/{number}"
+        latest_per_key(stored.unionByName(newest), ["id"], order).write.mode("overwrite").parquet(winners)
+        rows = batch.sparkSession.read.parquet(winners)
+        whole, added = tables.upsert(table, schema, rows, rows, version, before)
+        tables.publish(version, {table: whole}, {table: added})
 
     drain(rows, f"{work}/checkpoint", each)

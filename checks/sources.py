@@ -235,9 +235,9 @@ def keyed_upsert_sink(spark, sf_dir):
         "concat('fresh-', p_partkey) AS id", "p_retailprice AS price", "0 AS __op", "0 AS __seq"
     )
     batch = changed.unionByName(deleted).unionByName(fresh)
-    buckets = tables.touched(batch)
-    tables.rewrite("part", schema, buckets, 2, lambda state: load.apply_changes(state, batch, ["id"]))
-    tables.publish(2, {"part": buckets})
+    newest = load.apply_changes(spark.createDataFrame([], schema), batch, ["id"])
+    whole, added = tables.upsert("part", schema, newest, batch.select("id"), 2)
+    tables.publish(2, {"part": whole}, {"part": added})
     return tables.read("part", schema)
 
 

@@ -110,7 +110,8 @@ def stream_audit_flush(spark, sf_dir):
            CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 2 = 0 END AS is_inserted,
            CASE WHEN o_orderkey % 3 = 0 THEN '603' END AS error_code,
            CASE WHEN o_orderkey % 7 = 0 THEN 'waiting' WHEN o_orderkey % 3 <> 0 THEN 'open'
-                ELSE 'complete' END AS state
+                ELSE 'complete' END AS state,
+           CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS reschedule_count
     FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 3 = 0
     """,
 )
@@ -134,8 +135,10 @@ def stream_lineage_join(spark, sf_dir):
         "if(half = 'second', '603', null) AS error_code",
     )
     jobs.lineage_stream(messages, tables, work)
-    state = tables.read("lineage", jobs.LINEAGE_STATE)
-    return state.select("filepath_id", "record_count", "is_inserted", "error_code", jobs.lineage_state())
+    state = jobs.rescheduled(tables.read("lineage", jobs.LINEAGE_STATE), 1)
+    return state.select(
+        "filepath_id", "record_count", "is_inserted", "error_code", jobs.lineage_state(), "reschedule_count"
+    )
 
 
 @check(
