@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,7 @@ class TreeCoder:
             pairs = (line.split() for line in file if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.highest = max(self.tokens, default=0)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -55,9 +57,24 @@ class TreeCoder:
         if (found := self.short.get(data)) is None:
             if len(self.short) > MEMORY:
                 self.short.clear()
-            found = self.short[data] = self.merged(data)
+            found = self.short[data] = self.scanned(data)
         return found
 
+    def scanned(self, data: bytes) -> list[int]:
+        """As merged(), looking at all pairs before each merge; for short data."""
+        ranks, none = self.ranks, self.highest + 1
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [ranks.get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (least := min(pairs)) != none:
+            i = pairs.index(least)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+        return [ranks[part] for part in parts]
+
     def merged(self, data: bytes) -> list[int]:
         """Ids of `data`: the pair of lowest rank is merged, the leftmost of equal ones, as long as there is one."""
         n, ranks = len(data), self.ranks
@@ -118,7 +135,7 @@ class TreeCoder:
     def encode_match(self, match: str) -> bytes:
         data = match.encode("utf-8", "surrogatepass")
         whole = self.ranks.get(data)
-        return np.array(self.encode_bytes(data) if whole is None else [whole], "<i4").tobytes()
+        return array("i", self.encode_bytes(data) if whole is None else [whole]).tobytes()
 
     def matches(self, text: str, low: int = 0, high: int | None = None) -> list[str]:
         """Matches of the pattern in text[low:high]: those of the halves joined."""
@@ -143,16 +160,18 @@ class TreeCoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
-            return np.empty(0, "<i4")
+            return np.empty(0, np.int32)
         if len(self.known) > MEMORY:
             self.known.clear()
         matches, known = self.matches(text), self.known
-        for match in set(matches).difference(known):
+        fresh = set(matches).difference(known)
+        for match in fresh:
             known[match] = self.encode_match(match)
         data = b"".join(map(known.__getitem__, matches))
-        for match in [m for m in set(matches) if len(m) > LONG]:
-            del known[match]
-        return np.frombuffer(data, "<i4")
+        for match in fresh:
+            if len(match) > LONG:
+                del known[match]
+        return np.frombuffer(data, np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of `ids`, concatenated up a tree."""

@@ -179,7 +179,7 @@ def test_joins_are_exact_for_any_ranks():
         tokens = [bytes([b]) for b in b"abc"] + list({bytes(draw.choices(b"abc", k=draw.randint(2, 5))) for _ in range(25)})
         ranks = dict(zip(tokens, draw.sample(range(len(tokens)), len(tokens)), strict=True))
         tree = bytepairs.TreeCoder.__new__(bytepairs.TreeCoder)
-        tree.ranks, tree.tokens = ranks, {r: t for t, r in ranks.items()}
+        tree.ranks, tree.tokens, tree.highest = ranks, {r: t for t, r in ranks.items()}, len(ranks)
         tree.fits, tree.short = {}, {}
         for _ in range(100):
             data = bytes(draw.choices(b"abc", k=draw.randint(0, 60)))
