@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chartloom.operators import load
 from chartloom.operators.flatten import parse_documents
+from chartloom.operators.frames import latest_per_key
 from chartloom.operators.published import TableSet
 from chartloom.session import work_dir
 from chartloom.sources import bundles, ndjson, staging
@@ -235,8 +236,11 @@ def keyed_upsert_sink(spark, sf_dir):
         "concat('fresh-', p_partkey) AS id", "p_retailprice AS price", "0 AS __op", "0 AS __seq"
     )
     batch = changed.unionByName(deleted).unionByName(fresh)
-    newest = load.apply_changes(spark.createDataFrame([], schema), batch, ["id"])
-    whole, added = tables.upsert("part", schema, newest, batch.select("id"), 2)
+    at = work_dir(spark, "batch")
+    last = latest_per_key(batch, ["id"], [F.col("__seq").desc()])
+    last.write.parquet(at)
+    last = spark.read.parquet(at)
+    whole, added = tables.upsert("part", schema, last.where(F.col("__op") == load.UPSERT), last, 2)
     tables.publish(2, {"part": whole}, {"part": added})
     return tables.read("part", schema)
 
