@@ -1,11 +1,11 @@
 """Document fingerprints by a threshold-scaled sketch.
 
-The sketch of a text keeps every hash of its character shingles below a fixed fraction of the hash range, and never
-fewer than a small number of the lowest hashes, so that short texts have one too. Its level says below which hash it is
-complete. Sketches merge by union, and two of them are compared below the lower of their levels, where both are
-complete, however unequal the texts are.
+The sketch of a text keeps every hash of its character shingles below one fixed fraction of the hash range, the same
+for all texts. Sketches of one fraction are complete below it, so they merge by union, and resemblance and containment
+are read off them however unequal the texts are. The error shrinks with the root of the number of hashes kept.
 
-Null and empty texts have the empty sketch, which is like another empty sketch (1) and unlike any other (0). Texts
+Two sketches without a hash are alike (1), an empty and a filled one are not (0): nulls, empty texts and the few short
+texts that have no hash below the threshold. Equal texts have equal sketches in any case. Texts
 shorter than a shingle count as one shingle. Rows with equal ids are neighbours in the order of their texts; null ids
 come after all others. Columns other than `doc_id` and `text` are not read.
 """
@@ -24,55 +24,45 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import mix64
 
-WIDTH, SCALE, LEAST = 6, 64, 64
-FULL = np.uint64(2**64 - 1)
+#: One hash in SCALE is kept, as 32 bits: about as many bytes as the text has.
+WIDTH, SCALE = 6, 4
 _factors = mix64(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def sketch(text: str | None, scale: int = SCALE, least: int = LEAST) -> np.ndarray:
-    """Level of the sketch, then its hashes in ascending order."""
+def sketch(text: str | None, scale: int = SCALE) -> np.ndarray:
+    """All distinct hashes of the text's shingles below 2**32 / `scale`, in ascending order."""
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     n = len(points)
     if not n:
-        return np.array([FULL])
+        return np.empty(0, np.uint32)
     width = min(WIDTH, n)
     total = np.full(n - width + 1, np.uint64(width))
     for i in range(width):
         total += points[i : n - width + 1 + i] * _factors[i]
-    hashes = mix64(total)
-    threshold = FULL // np.uint64(scale)
-    kept = np.unique(hashes[hashes <= threshold])
-    if len(kept) >= least:
-        return np.concatenate(([threshold], kept))
-    kept = np.unique(hashes)
-    level = FULL if len(kept) <= least else kept[least - 1]
-    return np.concatenate(([level], kept[:least]))
+    hashes = (mix64(total) >> np.uint64(32)).astype(np.uint32)
+    return np.unique(hashes[hashes < 2**32 // scale])
 
 
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sketch of two texts together."""
-    level = min(a[0], b[0])
-    both = np.union1d(a[1:], b[1:])
-    return np.concatenate(([level], both[both <= level]))
+    return np.union1d(a, b)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     """Estimated resemblance of two texts, and the share of the first's shingles found in the second."""
-    if len(a) == 1 or len(b) == 1:
+    if not len(a) or not len(b):
         same = float(len(a) == len(b))
         return same, same
-    level = min(a[0], b[0])
-    x, y = (s[1 : np.searchsorted(s[1:], level, "right") + 1] for s in (a, b))
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    return common / max(1, len(x) + len(y) - common), common / max(1, len(x))
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common), common / len(a)
 
 
 def encode(values: np.ndarray) -> str:
-    return base64.b64encode(values.astype("<u8").tobytes()).decode()
+    return base64.b64encode(values.astype("<u4").tobytes()).decode()
 
 
 def decode(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), "<u8")
+    return np.frombuffer(base64.b64decode(text), "<u4")
 
 
 def fingerprint_column(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,9 @@ counts per source multivariate hypergeometric. Documents follow their blocks and
 
 Only the table of blocks, at most sources * blocks * passes rows whatever the input size, is ever ranked as a whole.
 Nulls: a null source is a source of its own, ordered last; a null text has size 0; null ids hash alike. Repeated rows
-are documents of their own. A source without words has target 0, an empty table gives an empty result.
+are documents of their own, and so are rows of one id and text under several sources: every row is drawn for itself.
+A source without words has target 0, an empty table gives an empty result. Other columns of the input are carried as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0
 ) -> DataFrame:
@@ -91,9 +97,12 @@ def mix_plan(
     blocks: int = 256,
     shards: int = 32,
     seed: int = 17,
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document: `doc_id`, `source`, `size`, `source_size`, `target` and its `draws`.
 
+    With `carry` the input row itself is there as the struct `row`.
+
     `draws` is an array of (`pass`, `shard`, `words`, `order`); `order` sorts the documents of a shard at random. The
     one block in which a source's quota ends is cut by documents in hash order, the last of them within its words.
     """
@@ -105,6 +114,7 @@ def mix_plan(
             F.xxhash64("doc_id", "text").alias("row_key"),
             word_count(F.col("text")).alias("size"),
             F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(blocks)).cast("int").alias("block"),
+            *([F.struct(*[_named(c) for c in documents.columns]).alias("row")] if carry else []),
         )
     )
     targets = cut(source_targets(sized, weights, share, most))
@@ -140,22 +150,23 @@ def mix_plan(
     )
     drawn = drawn.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source"))
     return drawn.select(
-        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.draws", "d.row_key"
+        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.draws", *(["d.row"] if carry else [])
     )
 
 
 def mixed_rows(documents: DataFrame, **parameters) -> DataFrame:
-    """The mix itself: each document's columns once for every time it is taken, with `shard` and `order`.
+    """The mix itself: each document's columns once for every time it is taken, shard by shard and shuffled within it.
 
-    A document taken in part keeps its first words. Rows come back grouped by shard and shuffled within it.
+    A document taken in part keeps its first words. Each row is drawn by its own plan, which carries it, so equal ids and
+    texts of several sources stay apart and no texts are joined.
     """
-    plan = mix_plan(documents, **parameters).where(F.size("draws") > 0)
-    plan = plan.dropDuplicates(["doc_id", "row_key"]).select("doc_id", "row_key", "size", F.explode("draws").alias("draw"))
-    texts = documents.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    joined = texts.alias("d").join(plan.alias("p"), F.expr("d.doc_id <=> p.doc_id AND d.row_key = p.row_key"))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("draw.words").cast("int")), " ")
-    text = F.when(F.col("draw.words") < F.col("size"), part).otherwise(F.col("text"))
-    rows = joined.select("d.*", "p.draw", "p.size").withColumn("text", text)
-    if "n_chars" in documents.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return rows.select(*[F.col(c) for c in documents.columns], F.col("draw.shard").alias("shard"), F.col("draw.order").alias("order"))
+    plan = mix_plan(documents, carry=True, **parameters)
+    drawn = plan.select("row", "size", F.explode("draws").alias("draw"))
+    drawn = drawn.repartitionByRange("draw.shard", "draw.order").sortWithinPartitions("draw.shard", "draw.order")
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0))
+    part = F.array_join(F.slice(words, 1, F.col("draw.words").cast("int")), " ")
+    text = F.when(F.col("draw.words") < F.col("size"), part).otherwise(F.col("row.text"))
+    columns = {c: F.col("row")[c] for c in documents.columns} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length(text).cast(documents.schema["n_chars"].dataType)
+    return drawn.select(*[column.alias(name) for name, column in columns.items()])

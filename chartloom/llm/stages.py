@@ -1,6 +1,8 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns the documents it keeps.
 
-Every stage but the last returns the columns of `documents`. Empty inputs give empty outputs.
+Every stage but the last returns the columns of `documents`, as they are but for `text` and `n_chars`; further columns
+go through whatever their names, as each stage carries them in a struct or under names with two underscores. Empty inputs
+give empty outputs.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from chartloom.llm.suffixes import cut_repeats
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in some language: those without letters, and those of which no language has half the share, go."""
-    found = identify(docs, fit_decoder(docs.select("text", "lang")), keep=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    found = identify(rows, fit_decoder(docs.select("text", "lang")), keep=("row",))
+    return found.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document taken twice is there twice."""
-    return mixed_rows(docs).drop("shard", "order")
+    return mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

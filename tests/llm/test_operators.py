@@ -142,7 +142,40 @@ def test_mix(docs, none):
         taken[r.source] += own
     assert all(abs(taken[r.source] - r.target) <= 1 for r in plan)
     assert mixing.mix_plan(none).count() == 0
-    assert mixing.mixed_rows(docs, blocks=8, shards=4).count() >= 1
+    mixed = mixing.mixed_rows(docs, blocks=8, shards=4)
+    assert mixed.columns == docs.columns
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len((r.text or "").split())
+    assert words == Counter({s: n for s, n in taken.items() if n})
+
+
+def test_mix_keeps_one_text_of_several_sources_apart(spark):
+    rows = [(i, prose(10), s) for i in range(40) for s in ("a", "b", "c")]
+    rows = [(i, rows[3 * i][1], s) for i, _, s in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = {r.source: r.target for r in mixing.mix_plan(frame).collect()}
+    words = Counter()
+    for r in mixing.mixed_rows(frame).collect():
+        words[r.source] += len(r.text.split())
+    assert len(targets) == 3 and all(abs(words[s] - t) <= 1 for s, t in targets.items())
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    from chartloom.llm import stages
+
+    names = ["score", "lang_pred", "ambiguous", "size", "draw", "row_key", "shard", "order", "row", "uid", "rows", "block"]
+    texts = [(i, prose(60), "en", f"s{i % 3}", 0) for i in range(12)]
+    frame = spark.createDataFrame(
+        [(*t, *[f"{n}{t[0]}" for n in names]) for t in texts],
+        "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{n}` string" for n in names),
+    )
+    for name, stage in stages.STAGES[:-1]:
+        kept = stage(spark, frame, "")
+        assert kept.columns == frame.columns, name
+        found = kept.collect()
+        assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names), name
+    assert stages.pack(spark, frame, "").count() >= 12
 
 
 def test_packing(docs, none):
@@ -171,9 +204,32 @@ def test_fingerprints(docs, none):
     assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in found) == sorted(want)
     a, b = fingerprints.sketch(prose(400)), fingerprints.sketch(prose(30))
     assert fingerprints.likeness(a, fingerprints.merge(a, b))[1] == 1
+    for r in found:
+        own, edited = fingerprints.decode(r.fingerprint), fingerprints.decode(r.edited_fingerprint)
+        assert (r.near_edited, r.kept_share) == fingerprints.likeness(own, edited)
     assert fingerprints.edit_fingerprints(none).count() == 0
 
 
+def test_sketches_keep_every_hash_below_one_threshold():
+    def shingles(text):
+        return {text[i : i + 6] for i in range(max(1, len(text) - 5))} if text else set()
+
+    errors = []
+    for n in (0, 1, 3, 20, 200, 2000):
+        text = prose(n)
+        every, some = fingerprints.sketch(text, 1), fingerprints.sketch(text)
+        assert len(every) == len(shingles(text))
+        assert some.tolist() == [h for h in every.tolist() if h < 2**32 // fingerprints.SCALE]
+        other = text[: len(text) * 2 // 3] + prose(n // 3)
+        true = shingles(text) & shingles(other), shingles(text) | shingles(other)
+        if n >= 200:
+            near = fingerprints.likeness(some, fingerprints.sketch(other))[0]
+            errors.append(abs(near - len(true[0]) / len(true[1])))
+            assert errors[-1] < 4 * (0.25 * fingerprints.SCALE / len(true[1])) ** 0.5
+    assert fingerprints.likeness(fingerprints.sketch(None), fingerprints.sketch("")) == (1, 1)
+    assert fingerprints.likeness(fingerprints.sketch(""), fingerprints.sketch(prose(50))) == (0, 0)
+
+
 def test_toxicity(spark, docs, none):
     restorer = toxicity.Restorer(toxicity.trigram_counts(["stupid", "idiot", "the", "and"] * 50))
     for disguised in ("st0p 1d10t", "i d i o t now", "idiiiiot", "an i.d.i.o.t!"):
