@@ -10,10 +10,9 @@ eighty bytes, are the sampled suffixes. Anchors with equal seeds form a bucket o
   of neighbours agree far enough, members share a maximal repeat. All members of an interval are tested, not only
   neighbours in the suffix array, so every repeat of LENGTH or more is found with all its occurrences.
 
-* A seed with more than BUCKET distinct contexts is split by longer strings: of a repeat that goes on from the anchor for
-  LOW to HIGH bytes, the first LOW of them and LENGTH - HIGH bytes before the anchor are the same everywhere. Groups
-  above the bound are halved in that range, each half with longer strings in common, down to a single whole string of
-  LENGTH, where counting suffices. No group above the bound meets in a task, and none is cut.
+* A seed with more than BUCKET distinct contexts is not brought into one task. Every string of LENGTH belongs to the
+  leftmost lowest seed in it, so the strings of such a seed are told by a hash each, at most as many as the bytes in
+  question, and counted; those that occur twice are repeats. Groups combine before the shuffle, and none is cut.
 
 Matches never cross documents; equal strings in one document count. Nulls and empty texts have no bytes. Documents are
 told apart by id and text, so that rows with equal ids, or none, keep their own spans; equal rows repeat each other.
@@ -24,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +34,8 @@ from chartloom.llm.common import ODD, _bytes_table, _power_table, cut, mix64
 LENGTH, SEED = 200, 40
 #: Most contexts that one task holds of a group.
 BUCKET = 4096
+#: Most rows of two numbers that are sent to every task; more are joined by a shuffle.
+SMALL = 500_000
 STEP = 1 << 21
 _inverses = np.ones(1, np.uint64)
 
@@ -140,26 +140,113 @@ def prefix_intervals(common: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
-def repeats(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
-    """For each member (reversed text before, text from the anchor on): how far its repeats reach to either side.
+def maximal_repeats(members: list[tuple[bytes, bytes]], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """Bytes before and from the anchor of each maximal repeat of at least `length` bytes, and all its occurrences.
 
-    A repeat is a string of at least `length` bytes around the anchor that another member has as well.
+    `members` are (reversed text before, text from the anchor on). An interval of the prefix tree holds all members with
+    the same bytes from the anchor on. Ordered by what precedes, they form a second tree, whose intervals have left
+    extensions that differ. A group is maximal if its members differ in the next byte on the right as well.
     """
     order = sorted(range(len(members)), key=lambda i: members[i][1])
+    place = {i: at for at, i in enumerate(order)}
     common = [_shared(members[i][1], members[j][1]) for i, j in zip(order, order[1:], strict=False)]
-    reach: list[tuple[int, int] | None] = [None] * len(members)
     for right, first, last in prefix_intervals(common):
         inside = [i for i in order[first : last + 1] if len(members[i][0]) + right >= length]
+        if len(inside) < 2:
+            continue
         inside.sort(key=lambda i: members[i][0])
-        for i, j in zip(inside, inside[1:], strict=False):
-            left = _shared(members[i][0], members[j][0])
-            if left + right >= length:
-                for m in (i, j):
-                    known = reach[m] or (0, 0)
-                    reach[m] = (max(known[0], left), max(known[1], right))
+        lefts = [_shared(members[i][0], members[j][0]) for i, j in zip(inside, inside[1:], strict=False)]
+        for left, low, high in prefix_intervals(lefts):
+            if left + right < length:
+                continue
+            group = inside[low : high + 1]
+            ends = min(group, key=place.get), max(group, key=place.get)
+            if _shared(members[ends[0]][1], members[ends[1]][1]) == right:
+                yield left, right, group
+
+
+def repeats(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
+    """For each member, how far the maximal repeats it occurs in reach to either side of the anchor."""
+    reach: list[tuple[int, int] | None] = [None] * len(members)
+    for left, right, group in maximal_repeats(members, length):
+        for m in group:
+            known = reach[m] or (0, 0)
+            reach[m] = (max(known[0], left), max(known[1], right))
     return reach
 
 
+def own_strings(data: bytes, spots: np.ndarray, length: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Number of the spot, hash and start of every string of `length` whose leftmost lowest seed is at one of `spots`."""
+    n, reach = len(data), length - seed
+    slices = spots // STEP
+    for part in np.unique(slices):
+        numbers = np.flatnonzero(slices == part)
+        low, high = max(0, int(part) * STEP - reach), min(n, (int(part) + 1) * STEP + 2 * length)
+        raw = np.frombuffer(data, np.uint8, high - low, low)
+        powers, inverses = _power_table(len(raw) + 1), _inverse_table(len(raw) + 1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_bytes_table[raw] * powers[: len(raw)])))
+        keys = mix64((sums[seed:] - sums[:-seed]) * inverses[: len(raw) - seed + 1])
+        at = spots[numbers] - low
+        steps = np.arange(1, reach + 1)
+        edge = np.full(reach, np.iinfo(np.uint64).max, np.uint64)
+        padded = np.concatenate((edge, keys, edge))
+        for first in range(0, len(at), 4096):
+            here, some = at[first : first + 4096], numbers[first : first + 4096]
+            own = keys[here][:, None]
+            left = padded[here[:, None] + reach - steps] <= own
+            right = padded[here[:, None] + reach + steps] < own
+            before = np.where(left.any(1), left.argmax(1), reach)
+            after = np.where(right.any(1), right.argmax(1), reach)
+            start = np.maximum(here - before, 0)
+            last = np.minimum(here - reach + after, len(raw) - length)
+            counts = np.maximum(0, last - start + 1)
+            starts = np.repeat(start - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+            hashes = mix64((sums[starts + length] - sums[starts]) * inverses[starts])
+            yield np.repeat(some, counts), hashes, starts + low
+
+
+def _strings(length: int, seed: int):
+    """`key`, `string`, `uid`, `first` of all strings of a document's listed anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(np.concatenate(x)) for x in zip(*held, strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, ["key", "string", "uid", "first"])
+
+        for batch in batches:
+            for uid, text, spots in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "spots")), strict=True):
+                keys = np.array([s["key"] for s in spots], np.int64)
+                for which, hashes, firsts in own_strings(_encoded(text), np.array([s["at"] for s in spots]), length, seed):
+                    held.append((keys[which], hashes.view(np.int64), np.full(len(which), uid, np.int64), firsts))
+                    if sum(len(h[0]) for h in held[-64:]) > 50_000 or len(held) >= 512:
+                        yield out()
+        if held:
+            yield out()
+
+    return run
+
+
+def _joined_runs(length: int):
+    """Strings of `length` as `uid`, `first`, `last`, those of a batch that touch as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            uid, first = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "first"))
+            order = np.lexsort((first, uid))
+            uid, first = uid[order], first[order]
+            begins = np.concatenate(([True], (uid[1:] != uid[:-1]) | (first[1:] - first[:-1] > length)))
+            at = np.flatnonzero(begins)
+            last = first[np.append(at[1:], len(first)) - 1] + length
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (uid[at], first[at], last)], ["uid", "first", "last"])
+
+    return run
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut the contexts of a document's listed anchors out of its text."""
     names = ["key", "uid", "at", "left", "right"]
@@ -203,39 +290,20 @@ def _span_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["uid", "first", "last"])
 
 
-def _halves(rows: DataFrame, length: int) -> DataFrame:
-    """`rows` in the two halves of their range `low` to `high`, each dealt by the strings all its repeats share."""
-    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-    ranges = F.array(
-        F.struct(F.col("low").alias("low"), middle.alias("high")),
-        F.struct((middle + 1).alias("low"), F.col("high").alias("high")),
+def _repeated_strings(texts: DataFrame, length: int, seed: int) -> DataFrame:
+    """Spans of the strings of hot seeds that occur twice; `texts` has `uid`, `text` and the `spots` of such seeds.
+
+    Strings are counted by seed and hash, 128 bits. They are made once for the counts, which combine before the shuffle,
+    and once more to find the places of the repeated ones, so that they are never written.
+    """
+    schema = "key long, string long, uid long, first long"
+    strings = texts.mapInArrow(_strings(length, seed), schema)
+    again = cut(strings.groupBy("key", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    if again.count() <= SMALL:
+        again = F.broadcast(again)
+    return strings.join(again, ["key", "string"]).select("uid", "first").mapInArrow(
+        _joined_runs(length), "uid long, first long, last long"
     )
-    split = rows.withColumn("half", F.explode(ranges))
-    split = split.withColumn("low", F.col("half.low")).withColumn("high", F.col("half.high")).drop("half")
-    split = split.where(f"length(right) >= low AND length(left) >= {length} - high")
-    after, before = F.expr("substring(right, 1, low)"), F.expr(f"substring(left, 1, {length} - high)")
-    return split.withColumn("key", F.xxhash64("seed", "low", "high", after, before))
-
-
-def _split_repeats(rows: DataFrame, length: int, seed: int, bound: int) -> tuple[DataFrame, DataFrame]:
-    """Contexts of hot seeds in groups of at most `bound`, and the spans of whole strings that larger groups share."""
-    rows = rows.withColumn("seed", F.col("key")).withColumn("low", F.lit(seed)).withColumn("high", F.lit(length))
-    small, spans, width = [], [], length - seed + 1
-    while width > 1:
-        width = (width + 1) // 2
-        rows = cut(_halves(rows.where("low < high"), length))
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        sizes = cut(sizes)
-        single = rows.join(sizes, "key")
-        whole = single.where("low = high")
-        spans.append(
-            whole.select("uid", (F.col("at") - length + F.col("low")).alias("first"), (F.col("at") + F.col("low")).alias("last"))
-        )
-        small.append(single.where(f"low < high AND n <= {bound}").select("key", "uid", "at", "left", "right"))
-        rows = single.where(f"low < high AND n > {bound}").drop("n")
-        if rows.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, spans)
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED, bound: int = BUCKET) -> DataFrame:
@@ -254,17 +322,19 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED,
         "uid", (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last")
     )
     diverse = cut(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
-    spots = contexts.join(diverse.select("key"), "key").groupBy("uid").agg(
-        F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
-    )
-    texts = documents.select(_uid().alias("uid"), "text").join(spots, "uid")
+
+    def listed(seeds: DataFrame) -> DataFrame:
+        """Texts with the anchors that have one of `seeds`."""
+        spots = contexts.join(seeds.select("key"), "key").groupBy("uid").agg(
+            F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
+        )
+        return documents.select(_uid().alias("uid"), "text").join(spots, "uid")
+
+    texts = listed(diverse.where(f"kinds <= {bound}"))
     strings = texts.mapInArrow(_contexts, "key long, uid long, at long, left binary, right binary")
-    hot = cut(diverse.where(f"kinds > {bound}").select("key"))
+    hot = diverse.where(f"kinds > {bound}")
     if not hot.isEmpty():
-        strings = cut(strings)
-        small, whole = _split_repeats(strings.join(hot, "key", "left_semi"), length, seed, bound)
-        strings = strings.join(hot, "key", "left_anti").unionByName(small)
-        covered = covered.unionByName(whole)
+        covered = covered.unionByName(_repeated_strings(listed(hot), length, seed))
     buckets = strings.repartition(parts, "key").sortWithinPartitions("key")
     partial = buckets.mapInArrow(_bucket_repeats(length), "uid long, first long, last long")
     return covered.unionByName(partial)

@@ -56,10 +56,14 @@ def test_disguises_are_read():
     assert restorer.words("1 2 3 2024 12:30") == set()
 
 
-def test_hot_seeds_are_split(spark, monkeypatch):
+def _passages():
     passage = (prose(60) + " ")[:230]
     texts = [prose(rng.randint(5, 20)) + passage[rng.randint(0, 25) :] + prose(rng.randint(5, 20)) for _ in range(40)]
-    texts += [prose(15) + passage[60:130] + prose(15) for _ in range(20)] + [passage, texts[0] + "tail", passage[:205]]
+    return texts + [prose(15) + passage[60:130] + prose(15) for _ in range(20)] + [passage, texts[0] + "tail", passage[:205]]
+
+
+def test_strings_of_hot_seeds_are_counted(spark, monkeypatch):
+    texts = _passages()
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
     def spans(bound):
@@ -71,10 +75,52 @@ def test_hot_seeds_are_split(spark, monkeypatch):
 
     whole = spans(10**6)
     assert len(whole) > 35
-    strings, parts = [], suffixes._split_repeats
-    monkeypatch.setattr(suffixes, "_split_repeats", lambda *a: strings.append(parts(*a)) or strings[-1])
     assert spans(4) == whole
-    assert strings[0][0].groupBy("key").count().where("count > 4").count() == 0
+    monkeypatch.setattr(suffixes, "SMALL", 0)
+    assert spans(4) == whole
+
+
+def test_every_string_has_one_anchor(monkeypatch):
+    long_ = (prose(200) + " ab" * 200 + prose(100)).encode()
+    for step in (suffixes.STEP, 500):
+        monkeypatch.setattr(suffixes, "STEP", step)
+        for data in (b"", b"a" * 199, b"a" * 450, b"abc" * 200, long_, long_[:200], prose(300).encode()):
+            spots = suffixes.anchors(data)[2]
+            starts = [s for _, _, first in suffixes.own_strings(data, spots, 200, 40) for s in first.tolist()]
+            assert sorted(starts) == list(range(len(data) - 199))
+        by_hash = {}
+        for _, hashes, first in suffixes.own_strings(long_, suffixes.anchors(long_)[2], 200, 40):
+            for h, s in zip(hashes.tolist(), first.tolist(), strict=True):
+                by_hash.setdefault(h, set()).add(long_[s : s + 200])
+        assert all(len(v) == 1 for v in by_hash.values())
+        assert len(by_hash) == len({long_[s : s + 200] for s in range(len(long_) - 199)})
+
+
+def test_groups_are_all_maximal_repeats():
+    for _ in range(60):
+        alphabet = "ab" if rng.random() < 0.5 else "abc"
+        members = [
+            ("".join(rng.choices(alphabet, k=rng.randint(0, 5))).encode(), b"x" + "".join(rng.choices(alphabet, k=rng.randint(0, 5))).encode())
+            for _ in range(rng.randint(0, 9))
+        ]
+        length = rng.randint(2, 5)
+        want = set()
+        for left in range(6):
+            for right in range(1, 7):
+                groups = {}
+                for i, (before, after) in enumerate(members):
+                    if left + right >= length and len(before) >= left and len(after) >= right:
+                        groups.setdefault((before[:left], after[:right]), []).append(i)
+                for group in groups.values():
+                    nexts = [{side[n : n + 1] or i for i, side in ((i, members[i][k]) for i in group)} for k, n in ((0, left), (1, right))]
+                    if len(group) > 1 and all(len(n) > 1 for n in nexts):
+                        want.add((left, right, tuple(group)))
+        found = [(left, right, tuple(sorted(group))) for left, right, group in suffixes.maximal_repeats(members, length)]
+        same = {g for g in found}
+        assert len(found) == len(same)
+        ends = {i: members.count(m) for i, m in enumerate(members)}
+        if max(ends.values(), default=1) == 1:  # contexts are distinct in use
+            assert same == want
 
 
 def test_partners_over_gaps(spark):
