@@ -175,56 +175,43 @@ def repeats(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int,
     return reach
 
 
-def own_strings(data: bytes, spots: np.ndarray, length: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Number of the spot, hash and start of every string of `length` whose leftmost lowest seed is at one of `spots`."""
-    n, reach = len(data), length - seed
-    slices = spots // STEP
-    for part in np.unique(slices):
-        numbers = np.flatnonzero(slices == part)
-        low, high = max(0, int(part) * STEP - reach), min(n, (int(part) + 1) * STEP + 2 * length)
-        raw = np.frombuffer(data, np.uint8, high - low, low)
-        powers, inverses = _power_table(len(raw) + 1), _inverse_table(len(raw) + 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_bytes_table[raw] * powers[: len(raw)])))
-        keys = mix64((sums[seed:] - sums[:-seed]) * inverses[: len(raw) - seed + 1])
-        at = spots[numbers] - low
-        steps = np.arange(1, reach + 1)
-        edge = np.full(reach, np.iinfo(np.uint64).max, np.uint64)
-        padded = np.concatenate((edge, keys, edge))
-        for first in range(0, len(at), 4096):
-            here, some = at[first : first + 4096], numbers[first : first + 4096]
-            own = keys[here][:, None]
-            left = padded[here[:, None] + reach - steps] <= own
-            right = padded[here[:, None] + reach + steps] < own
-            before = np.where(left.any(1), left.argmax(1), reach)
-            after = np.where(right.any(1), right.argmax(1), reach)
-            start = np.maximum(here - before, 0)
-            last = np.minimum(here - reach + after, len(raw) - length)
-            counts = np.maximum(0, last - start + 1)
-            starts = np.repeat(start - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-            hashes = mix64((sums[starts + length] - sums[starts]) * inverses[starts])
-            yield np.repeat(some, counts), hashes, starts + low
+def own_strings(members: list[tuple[bytes, bytes]], length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Member, hash and start from the anchor of every string of `length` whose leftmost lowest seed is at its anchor.
+
+    `members` are (reversed text before, text from the anchor on), each as far as a string of `length` can reach.
+    """
+    reach = length - seed
+    raw = np.frombuffer(b"".join(part for left, right in members for part in (left[::-1], right)), np.uint8)
+    before = np.array([len(left) for left, _ in members], np.int64)
+    after = np.array([len(right) for _, right in members], np.int64)
+    at = np.cumsum(before + after) - after
+    powers, inverses = _power_table(len(raw) + 1), _inverse_table(len(raw) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_bytes_table[raw] * powers[: len(raw)])))
+    keys = mix64((sums[seed:] - sums[:-seed]) * inverses[: len(raw) - seed + 1])
+    steps, own = np.arange(1, reach + 1), keys[at][:, None]
+    lower = (steps <= before[:, None]) & (keys[np.maximum(at[:, None] - steps, 0)] <= own)
+    higher = (steps <= after[:, None] - seed) & (keys[np.minimum(at[:, None] + steps, len(keys) - 1)] < own)
+    first = -np.minimum(np.where(lower.any(1), lower.argmax(1), reach), before)
+    last = np.minimum(np.where(higher.any(1), higher.argmax(1), reach) - reach, after - length)
+    counts = np.maximum(0, last - first + 1)
+    which = np.repeat(np.arange(len(at)), counts)
+    starts = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts - first, counts)
+    places = at[which] + starts
+    return which, mix64((sums[places + length] - sums[places]) * inverses[places]), starts
 
 
 def _strings(length: int, seed: int):
-    """`key`, `string`, `uid`, `first` of all strings of a document's listed anchors."""
+    """`key`, `string`, `uid`, `first` of all strings of the anchors given with their contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def out() -> pa.RecordBatch:
-            columns = [pa.array(np.concatenate(x)) for x in zip(*held, strict=True)]
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["key", "string", "uid", "first"])
-
         for batch in batches:
-            for uid, text, spots in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "spots")), strict=True):
-                keys = np.array([s["key"] for s in spots], np.int64)
-                for which, hashes, firsts in own_strings(_encoded(text), np.array([s["at"] for s in spots]), length, seed):
-                    held.append((keys[which], hashes.view(np.int64), np.full(len(which), uid, np.int64), firsts))
-                    if sum(len(h[0]) for h in held[-64:]) > 50_000 or len(held) >= 512:
-                        yield out()
-        if held:
-            yield out()
+            for begin in range(0, batch.num_rows, 1024):
+                some = batch.slice(begin, 1024)
+                members = list(zip(some.column("left").to_pylist(), some.column("right").to_pylist(), strict=True))
+                which, hashes, starts = own_strings(members, length, seed)
+                key, uid, at = (some.column(c).to_numpy()[which] for c in ("key", "uid", "at"))
+                columns = [key, hashes.view(np.int64), uid, at + starts]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "string", "uid", "first"])
 
     return run
 
@@ -290,14 +277,14 @@ def _span_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["uid", "first", "last"])
 
 
-def _repeated_strings(texts: DataFrame, length: int, seed: int) -> DataFrame:
-    """Spans of the strings of hot seeds that occur twice; `texts` has `uid`, `text` and the `spots` of such seeds.
+def _repeated_strings(contexts: DataFrame, length: int, seed: int) -> DataFrame:
+    """Spans of the strings of hot seeds that occur twice.
 
     Strings are counted by seed and hash, 128 bits. They are made once for the counts, which combine before the shuffle,
     and once more to find the places of the repeated ones, so that they are never written.
     """
     schema = "key long, string long, uid long, first long"
-    strings = texts.mapInArrow(_strings(length, seed), schema)
+    strings = contexts.mapInArrow(_strings(length, seed), schema)
     again = cut(strings.groupBy("key", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     if again.count() <= SMALL:
         again = F.broadcast(again)
@@ -323,18 +310,16 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED,
     )
     diverse = cut(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
 
-    def listed(seeds: DataFrame) -> DataFrame:
-        """Texts with the anchors that have one of `seeds`."""
-        spots = contexts.join(seeds.select("key"), "key").groupBy("uid").agg(
-            F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
-        )
-        return documents.select(_uid().alias("uid"), "text").join(spots, "uid")
-
-    texts = listed(diverse.where(f"kinds <= {bound}"))
+    spots = contexts.join(diverse.select("key"), "key").groupBy("uid").agg(
+        F.collect_list(F.struct("key", "at", "before", "after")).alias("spots")
+    )
+    texts = documents.select(_uid().alias("uid"), "text").join(spots, "uid")
     strings = texts.mapInArrow(_contexts, "key long, uid long, at long, left binary, right binary")
-    hot = diverse.where(f"kinds > {bound}")
+    hot = diverse.where(f"kinds > {bound}").select("key")
     if not hot.isEmpty():
-        covered = covered.unionByName(_repeated_strings(listed(hot), length, seed))
+        strings = cut(strings)
+        covered = covered.unionByName(_repeated_strings(strings.join(hot, "key", "left_semi"), length, seed))
+        strings = strings.join(hot, "key", "left_anti")
     buckets = strings.repartition(parts, "key").sortWithinPartitions("key")
     partial = buckets.mapInArrow(_bucket_repeats(length), "uid long, first long, last long")
     return covered.unionByName(partial)
