@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """`frame` written as Parquet in the shared folder and read again: as `cut`, for many rows, as it is compressed."""
+    folder = f"{shared_folder(frame.sparkSession)}/stored-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def row_key() -> Column:
     """Tells documents apart by id and text; equal rows have equal keys."""
     return F.xxhash64("doc_id", "text")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import ODD, _bytes_table, _power_table, cut, mix64
+from chartloom.llm.common import ODD, _bytes_table, _power_table, cut, mix64, stored
 
 LENGTH, SEED = 200, 40
 #: Most contexts that one task holds of a group.
@@ -298,8 +298,8 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED,
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = anchor_rows(documents, length, seed)
     again = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    rows = cut(found.join(again, "key"))
-    contexts = cut(
+    rows = stored(found.join(again, "key"))
+    contexts = stored(
         rows.groupBy("key", "context").agg(
             F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("uid", "at", "before", "after")]
         )
@@ -317,7 +317,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, seed: int = SEED,
     strings = texts.mapInArrow(_contexts, "key long, uid long, at long, left binary, right binary")
     hot = diverse.where(f"kinds > {bound}").select("key")
     if not hot.isEmpty():
-        strings = cut(strings)
+        strings = stored(strings)
         covered = covered.unionByName(_repeated_strings(strings.join(hot, "key", "left_semi"), length, seed))
         strings = strings.join(hot, "key", "left_anti")
     buckets = strings.repartition(parts, "key").sortWithinPartitions("key")
