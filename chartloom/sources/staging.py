@@ -30,18 +30,6 @@ def assign_pages(
     ).drop("position")
 
 
-def write_pages(paged: DataFrame, path: str) -> None:
-    """Write the `value` lines as text, one folder per page of a folder and resource type."""
-    keys = ["folder", "resource_type", "page"]
-    (
-        paged.select(*keys, "value")
-        .repartition(*keys)
-        .write.mode("overwrite")
-        .partitionBy(*keys)
-        .text(path)
-    )
-
-
 def export_url(server: str, tasks: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Search address of every task (resource_type, start_time, end_time)."""
     return tasks.withColumn(

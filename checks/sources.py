@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from chartloom.operators import load
+from chartloom.operators import errors, load
 from chartloom.operators.flatten import parse_documents
 from chartloom.operators.frames import latest_per_key
 from chartloom.operators.published import TableSet
 from chartloom.session import work_dir
-from chartloom.sources import bundles, ndjson, staging
+from chartloom.sources import bundles, ndjson, pages, staging
 from chartloom.sources.shaped import documents, table
 from checks.base import CATALOG, check, uuid5_sql
 
@@ -106,7 +106,9 @@ def bundle_explode(spark, sf_dir):
       FROM customer
       UNION ALL
       SELECT 'Observation', (row_number() OVER (ORDER BY event_id) - 1) // 1000 FROM events)
-    SELECT resource_type, CAST(p + 1 AS INTEGER) AS page, count(*) AS lines, count(*) AS ids
+    SELECT resource_type, CAST(p + 1 AS INTEGER) AS page, count(*) AS lines, count(*) AS ids,
+           'batch-load_20240201T0000_' || resource_type || '-' || (p + 1) || '.ndjson' AS file_name,
+           count(*) AS may_be_retried, true AS is_whole
     FROM paged GROUP BY resource_type, p
     """,
 )
@@ -118,12 +120,25 @@ def stage_ndjson(spark, sf_dir):
         for r in kinds
     ]
     lines = docs[0].unionByName(docs[1]).withColumn("folder", F.lit("batch-load/20240201T0000"))
-    staging.write_pages(staging.assign_pages(lines, ["folder", "resource_type"], "id"), folder)
-    back = spark.read.schema("value string, folder string, resource_type string, page int").text(folder)
-    return back.groupBy("resource_type", "page").agg(
+    paged = staging.assign_pages(lines, ["folder", "resource_type"], "id")
+    # The same job twice: the second run replaces the files of the first one.
+    for _ in range(2):
+        pages.write_pages(paged, folder)
+    back = pages.read_pages(spark, folder)
+    wrong = pages.missing_pages(paged, back).select("page_file", F.lit(False).alias("_whole"))
+    retried = errors.retry_eligible(back.withColumn("error_code", F.lit(errors.SHAPE_FAILED)))
+    found = retried.groupBy(
+        "page_file",
+        staging.stage_resource_type(F.col("url")).alias("resource_type"),
+        pages.page_number(F.col("url")).alias("page"),
+        staging.stage_file_name(F.col("url")).alias("file_name"),
+    ).agg(
         F.count(F.lit(1)).alias("lines"),
         F.countDistinct(F.get_json_object("value", "$.id")).alias("ids"),
+        F.count_if(F.col("error_code").isNotNull()).alias("may_be_retried"),
     )
+    whole = F.coalesce("_whole", F.lit(True)).alias("is_whole")
+    return found.join(wrong, "page_file", "left").select("*", whole).drop("page_file", "_whole")
 
 
 @check(
