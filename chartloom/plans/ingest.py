@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.catalog import SHARED_TABLES, Catalog
-from chartloom.operators import changes, load
+from chartloom.operators import changes, errors, load
 from chartloom.operators.flatten import parse_documents
 from chartloom.operators.published import Snapshot, TableSet, Written
 from chartloom.operators.shared import normalize, resource_table, shared_table
@@ -68,6 +72,22 @@ class Ingest:
         )
 
 
+class StepFailed(Exception):
+    """A step of an ingest failed as a whole; `code` is what its lines are reported with."""
+
+    def __init__(self, code: str):
+        super().__init__(code)
+        self.code = code
+
+
+@contextmanager
+def step(code: str) -> Iterator[None]:
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        raise StepFailed(code) from error
+
+
 def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> DataFrame:
     """Incoming lines (value, url) with their operation against the published state.
 
@@ -98,19 +118,30 @@ def classified_documents(lines: DataFrame, run: Ingest, snapshot: Snapshot) -> D
     return classified.withColumn("operation", F.when(loadable, F.col("operation")))
 
 
-def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) -> DataFrame:
+def ingest(
+    spark: SparkSession,
+    lines: DataFrame,
+    run: Ingest,
+    version: int,
+    seen: tuple[Observation, list[Column]] | None = None,
+) -> DataFrame:
     """Load one batch and publish it; returns the audit rows of what could be loaded.
 
     Classified documents and normalized rows are each written once to the shared folder, so
     the four tables neither parse again nor depend on the executors that parsed. The tables
-    are written at the same time and published together.
+    are written at the same time and published together. `seen` are metrics taken of all classified lines as they are
+    written. A failing step raises `StepFailed` and publishes nothing.
     """
     at, before = f"{run.work}/{version}", run.tables.snapshot(before=version)
-    classified_documents(lines, run, before).write.mode("overwrite").parquet(f"{at}/in")
+    with step(errors.READ_FAILED):
+        classified = classified_documents(lines, run, before)
+        observed = classified.observe(seen[0], *seen[1]) if seen else classified
+        observed.write.mode("overwrite").parquet(f"{at}/in")
     classified = spark.read.parquet(f"{at}/in").where(F.col("error_code").isNull())
-    newest = changes.newest_versions(changes.changed_rows(classified))
-    documents = newest.select(F.col("document").alias("value"))
-    normalize(documents, run.resource, run.catalog).write.mode("overwrite").parquet(f"{at}/rows")
+    with step(errors.SHAPE_FAILED):
+        newest = changes.newest_versions(changes.changed_rows(classified))
+        documents = newest.select(F.col("document").alias("value"))
+        normalize(documents, run.resource, run.catalog).write.mode("overwrite").parquet(f"{at}/rows")
     normalized = spark.read.parquet(f"{at}/rows")
 
     # Rows stored for any loaded id go, whatever it was classified as.
@@ -123,7 +154,8 @@ def ingest(spark: SparkSession, lines: DataFrame, run: Ingest, version: int) ->
         stamped = load.stamped(rows, run.as_of).drop("__op")
         return run.tables.upsert(table, run.schemas[table], stamped, replaced, version, before)
 
-    with ThreadPoolExecutor(len(run.schemas)) as pool:
-        written = dict(zip(run.schemas, pool.map(write, run.schemas), strict=True))
-    run.tables.publish(version, {t: w for t, (w, _) in written.items()}, {t: a for t, (_, a) in written.items()})
+    with step(errors.INSERT_FAILED):
+        with ThreadPoolExecutor(len(run.schemas)) as pool:
+            written = dict(zip(run.schemas, pool.map(write, run.schemas), strict=True))
+        run.tables.publish(version, {t: w for t, (w, _) in written.items()}, {t: a for t, (_, a) in written.items()})
     return changes.audit_rows(classified)

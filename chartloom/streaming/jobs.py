@@ -7,12 +7,16 @@ its own output and nothing is counted twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.operators import changes, lineage
+from chartloom.operators import changes, errors, lineage
 from chartloom.operators.frames import latest_per_key
 from chartloom.operators.published import TableSet
 from chartloom.plans.ingest import Ingest, ingest
@@ -70,33 +74,84 @@ def ingest_stream(spark: SparkSession, lines: DataFrame, run: Ingest, work: str)
     drain(lines, f"{work}/checkpoint", each)
 
 
+# What a server has of a resource type: a table per type in a `TableSet`, named as the type in lower case.
+DOCUMENT = T.StructType([T.StructField("id", T.StringType()), T.StructField("value", T.StringType())])
+
+
+def serve(server: TableSet, documents: dict[str, DataFrame], version: int) -> None:
+    """Publish documents (id, value) by resource type, hashed by id, for `event_stream` to fetch from.
+
+    Documents of an id replace what an earlier version has of it.
+    """
+    for resource, rows in documents.items():
+        table, tables = resource.lower(), server.of(resource.lower())
+        whole, added = tables.upsert(table, DOCUMENT, rows.select("id", "value"), rows, version)
+        tables.publish(version, {table: whole}, {table: added})
+
+
+def fetch(server: TableSet, resource: str, wanted: DataFrame) -> DataFrame:
+    """The rows of `wanted` (id) with the `value` of their document or null. Only the buckets of the ids are read."""
+    table, tables = resource.lower(), server.of(resource.lower())
+    return wanted.join(tables.read(table, DOCUMENT, tables.touched(wanted)), "id", "left")
+
+
 def event_stream(
-    spark: SparkSession, events: DataFrame, documents: DataFrame, run: Ingest, work: str
+    spark: SparkSession,
+    events: DataFrame,
+    server: TableSet,
+    runs: list[Ingest],
+    work: str,
+    max_retries: int = 3,
+    delay_minutes: int = 5,
 ) -> None:
-    """Change events to loaded resources.
+    """Change events to loaded resources, of all the types there is a run for.
 
-    `documents` (id, value) stands for the server the resources are fetched from. Several
-    events of a batch on one resource fetch it once. Targets that cannot be loaded, because no
-    document has the id or the run loads another type, go to `work`/unfetched with the reason.
+    `server` (see `serve`) stands for the server the resources are fetched from. Several events of a batch on one
+    resource fetch it once. The types of a batch are loaded side by side, each by its own run. Targets that cannot be
+    loaded go to `work`/unfetched with the reason and the next stop of their message: no document has the id
+    (`not_found`, tried again as `pull_disposition` says; events may carry `retry_count` and `retry_message`), or no run
+    loads the type (`other_type`, to the failure area).
     """
+    by_type = {run.resource: run for run in runs}
+
+    def load(resource: str, wanted: DataFrame, number: int) -> None:
+        at = _batch_folder(f"{work}/fetched/{resource}", number)
+        fetch(server, resource, wanted).write.mode("overwrite").parquet(at)
+        found = spark.read.parquet(at).where(F.col("value").isNotNull())
+        folder = F.concat(F.lit("event-load/"), F.col("id"), F.lit(f"/{resource}-1.ndjson"))
+        audit = ingest(spark, found.select("value", folder.alias("url")), by_type[resource], number + 1)
+        audit.write.mode("overwrite").parquet(_batch_folder(f"{work}/audit", number) + f"/type={resource}")
 
     def each(batch: DataFrame, number: int) -> None:
-        at = _batch_folder(f"{work}/fetched", number)
-        last = F.substring_index("subject", "/", -1).alias("id")
-        wanted = event_target(batch).select("resource_type", last).distinct()
-        # No document has a null key, so targets of other types are only carried along.
-        mine = F.when(F.col("resource_type").eqNullSafe(F.lit(run.resource)), F.col("id"))
-        served = documents.select(F.col("id").alias("served_id"), "value")
-        found = wanted.withColumn("key", mine).join(served, F.col("key") == F.col("served_id"), "left")
-        found.drop("served_id").write.mode("overwrite").parquet(at)
-        fetched = spark.read.parquet(at)
-        reason = F.when(F.col("key").isNull(), "other_type").otherwise("not_found")
-        missed = fetched.where(F.col("value").isNull()).select("resource_type", "id", reason.alias("reason"))
-        missed.write.mode("overwrite").parquet(_batch_folder(f"{work}/unfetched", number))
-        folder = F.concat(F.lit("event-load/"), F.col("id"), F.lit(f"/{run.resource}-1.ndjson"))
-        lines = fetched.where(F.col("value").isNotNull()).select("value", folder.alias("url"))
-        audit = ingest(spark, lines, run, number + 1)
-        audit.write.mode("overwrite").parquet(_batch_folder(f"{work}/audit", number))
+        at = _batch_folder(f"{work}/wanted", number)
+        known = [c for c in ("retry_count", "retry_message") if c in batch.columns]
+        targets = event_target(batch).select(
+            "resource_type", F.substring_index("subject", "/", -1).alias("id"), *known
+        )
+        targets = targets.groupBy("resource_type", "id").agg(
+            *[F.max(c).alias(c) if c in known else F.lit(None).cast(kind).alias(c)
+              for c, kind in (("retry_count", "int"), ("retry_message", "boolean"))]
+        )
+        targets.write.mode("overwrite").parquet(at)
+        wanted = spark.read.schema(targets.schema).parquet(at)
+        mine = F.col("resource_type").isin(list(by_type))
+        present = [r[0] for r in wanted.where(mine).select("resource_type").distinct().collect()]
+        parts = [(r, wanted.where(F.col("resource_type") == r)) for r in present]
+        with ThreadPoolExecutor(max(len(parts), 1)) as pool:
+            list(pool.map(lambda part: load(*part, number), parts))
+        missed = [wanted.where(~mine | mine.isNull()).withColumn("reason", F.lit("other_type"))]
+        for resource in present:
+            fetched = spark.read.parquet(_batch_folder(f"{work}/fetched/{resource}", number))
+            lost = fetched.where(F.col("value").isNull()).drop("value")
+            missed.append(lost.withColumn("reason", F.lit("not_found")))
+        messages = reduce(DataFrame.unionByName, missed).withColumn("application_name", F.lit(errors.EVENT_EXPORTER))
+        routed = errors.pull_disposition(messages, max_retries, delay_minutes)
+        lost_for_good = F.col("reason") == "other_type"
+        routed = routed.withColumns({
+            "disposition": F.when(lost_for_good, "failure_area").otherwise(F.col("disposition")),
+            "delay_minutes": F.when(~lost_for_good, F.col("delay_minutes")),
+        })
+        routed.write.mode("overwrite").parquet(_batch_folder(f"{work}/unfetched", number))
 
     drain(events, f"{work}/checkpoint", each)
 
@@ -211,41 +266,106 @@ def lineage_state() -> Column:
     )
 
 
-def redelivery_stream(messages: DataFrame, work: str, now: Callable[[int], str]) -> None:
-    """Deliver messages once they are due; the others wait and are looked at again.
+def with_ticks(messages: DataFrame) -> DataFrame:
+    """A stream that has something to do at every trigger: one `_tick` row beside the messages, if any."""
+    ticks = messages.sparkSession.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    return messages.withColumn("_tick", F.lit(False)).unionByName(
+        ticks.select(F.lit(True).alias("_tick")), allowMissingColumns=True
+    )
+
+
+# Time of a micro-batch, in whole seconds since 1970.
+CLOCK = "at long"
 
-    `now` gives the time of a micro-batch. Every batch takes up what the one before left.
+
+def _written(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _time_of(spark: SparkSession, work: str, batch: int) -> int | None:
+    clock = _written(spark, _batch_folder(f"{work}/clock", batch), CLOCK)
+    row = clock.first() if clock is not None else None
+    return row and row["at"]
+
+
+def _moment(seconds: int) -> Column:
+    return F.timestamp_seconds(F.lit(seconds))
+
+
+def _due_slot(moment: Column, slot: int) -> Column:
+    return F.floor(F.unix_timestamp(moment) / slot)
+
+
+def redelivery_stream(
+    messages: DataFrame,
+    work: str,
+    now: Callable[[int], str] = lambda number: datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"),
+    seconds: int | None = None,
+    slot: int = 3600,
+) -> None:
+    """Deliver messages to `work`/delivered once their `not_before` is reached; one without it is due at once.
+
+    Every trigger is a micro-batch, with new messages or not, so what waits leaves by time alone: start the job again,
+    or let it run on with `seconds`. A message that is not due is written once, by the slot (of so
+    many seconds) it is due in. Batch n delivers what fell due after the time of batch n - 1 and up to its own, so nothing
+    is rewritten and nothing comes twice; only the slots in between are read. Take slots about as long as messages wait. `now` gives the time of a batch; it is kept, so a replayed batch delivers the same. A
+    clock that goes back stands still.
     """
+    spark = messages.sparkSession
 
     def each(batch: DataFrame, number: int) -> None:
-        pending = batch
-        if number:
-            left = (
-                batch.sparkSession.read.schema(
-                    T.StructType([*batch.schema.fields, T.StructField("state", T.StringType())])
-                )
-                .parquet(_batch_folder(f"{work}/messages", number - 1))
-                .where(F.col("state") == "waiting")
-                .drop("state")
+        last, at = _time_of(spark, work, number - 1), _time_of(spark, work, number)
+        if at is None:
+            clock = spark.range(1).select(
+                F.greatest(F.unix_timestamp(F.lit(now(number)).cast("timestamp")), F.lit(last).cast("long")).alias("at")
             )
-            pending = batch.unionByName(left)
-        due = F.col("not_before") <= F.lit(now(number)).cast("timestamp")
-        state = F.when(due, "due").otherwise("waiting")
+            clock.coalesce(1).write.mode("overwrite").parquet(_batch_folder(f"{work}/clock", number))
+            at = _time_of(spark, work, number)
+        here = batch.sparkSession
+        fresh, time = batch.where(~F.col("_tick")).drop("_tick"), _moment(at)
+        waits = F.coalesce(F.col("not_before") > time, F.lit(False))
         (
-            pending.withColumn("state", state)
+            fresh.where(waits)
+            .withColumns({"due_slot": _due_slot(F.col("not_before"), slot), "batch": F.lit(number)})
+            .hint("rebalance", "due_slot")
             .write.mode("overwrite")
-            .partitionBy("state")
-            .parquet(_batch_folder(f"{work}/messages", number))
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("due_slot", "batch")
+            .parquet(f"{work}/waiting")
         )
+        due = fresh.where(~waits)
+        if last is not None:
+            due = due.unionByName(_waiting(here, work, fresh.schema).where(
+                F.col("due_slot").between(last // slot, at // slot)
+                & (F.col("batch") < number)
+                & (F.col("not_before") > _moment(last))
+                & (F.col("not_before") <= time)
+            ).drop("due_slot", "batch"))
+        due.write.mode("overwrite").parquet(_batch_folder(f"{work}/delivered", number))
 
-    drain(messages, f"{work}/checkpoint", each)
+    drain(with_ticks(messages), f"{work}/checkpoint", each, seconds)
+
+
+def _waiting(spark: SparkSession, work: str, message: T.StructType) -> DataFrame:
+    """Messages that had to wait, delivered since or not."""
+    place = [T.StructField("due_slot", T.LongType()), T.StructField("batch", T.IntegerType())]
+    schema = T.StructType([*message.fields, *place])
+    rows = _written(spark, f"{work}/waiting", schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
 
 
 def redelivered(spark: SparkSession, work: str) -> DataFrame:
-    """Every message once: those delivered by any batch, and those the newest batch left waiting."""
-    written = spark.read.option("basePath", f"{work}/messages").parquet(f"{work}/messages")
-    newest = written.agg(F.max("batch")).first()[0]
-    return written.where((F.col("state") == "due") | (F.col("batch") == newest)).drop("batch")
+    """Every message once: those delivered by any batch, and those that wait beyond the time of the newest batch."""
+    delivered = spark.read.option("basePath", f"{work}/delivered").parquet(f"{work}/delivered").drop("batch")
+    newest = spark.read.schema(CLOCK).parquet(f"{work}/clock").agg(F.max("at")).first()[0]
+    left = _waiting(spark, work, delivered.schema).where(F.col("not_before") > _moment(newest))
+    waiting = left.select(*delivered.columns, F.lit("waiting").alias("state"))
+    return delivered.withColumn("state", F.lit("due")).unionByName(waiting)
 
 
 def latest_version_stream(

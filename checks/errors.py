@@ -1,10 +1,18 @@
 """Failure routing and retries."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.operators import errors
-from chartloom.sources.shaped import table
-from checks.base import check
+from chartloom.operators import errors, lineage
+from chartloom.operators.published import TableSet
+from chartloom.plans.ingest import Ingest
+from chartloom.plans.reported import reported_ingest
+from chartloom.session import work_dir
+from chartloom.sources.shaped import documents, table
+from checks.base import AS_OF, CATALOG, check
+from checks.sources import DIRTY
 
 MAX_RETRIES, DELAY = 3, 5
 
@@ -133,19 +141,70 @@ def retry_split(spark, sf_dir):
     return split.select("event_id", "filepath_id", "record_file", "record_url")
 
 
+# Customers in three batches: one is loaded, one fails while its tables are written, one before it is classified.
+REPORTED = """
+    SELECT c_custkey AS k, c_custkey % 3 AS batch, 1 + c_custkey // 1000 AS page,
+           CASE WHEN c_custkey % 3 = 2 THEN '699' WHEN c_custkey % 100 = 1 THEN '601'
+                WHEN c_custkey % 100 IN (3, 4) THEN '602' WHEN c_custkey % 3 = 1 THEN '603' END AS code
+    FROM customer WHERE c_custkey % 100 <> 2
+"""
+
+
+def reported(spark, sf_dir, rejects):
+    """Reports of the three batches."""
+    work = work_dir(spark, "reported")
+    lines = documents(spark, sf_dir, "Patient", ("k",)).selectExpr(
+        "k", DIRTY, "concat('https://h/c/batch-load/', k % 3, '/Patient-', 1 + k div 1000, '.ndjson') AS url"
+    )
+    spark.range(1).selectExpr("'a file where a folder should be'").write.text(f"{work}/file")
+    blocked = spark.read.text(f"{work}/file").inputFiles()[0]
+    spark.range(1).selectExpr("'no list of buckets'").write.text(f"{work}/broken/published/patient/batch_no=1")
+    for batch, path in enumerate((f"{work}/tables", blocked, f"{work}/broken")):
+        run = Ingest("Patient", CATALOG, TableSet(spark, path, buckets=8), f"{work}/runs-{batch}", AS_OF)
+        part = lines.where(F.col("k") % 3 == batch).drop("k")
+        yield reported_ingest(spark, part, run, 2, f"{rejects}/{batch}")
+
+
 @check(
     "error_codes",
-    """
-    SELECT CASE event_id % 6 WHEN 1 THEN '601' WHEN 2 THEN '602' WHEN 3 THEN '603' WHEN 4 THEN '699' END
-             AS error_code, count(*) AS row_count
-    FROM events GROUP BY 1
+    f"""
+    SELECT 'https://h/c/batch-load/' || batch || '/Patient-' || page || '.ndjson' AS fhir_request_url,
+           CAST(count(*) AS INTEGER) AS record_count, max(code) AS error_code, count(code) = 0 AS is_inserted,
+           max(code) || '/batch-load/' || batch || '/Patient-' || page || '.ndjson' AS reject_location
+    FROM ({REPORTED}) GROUP BY batch, page
     """,
 )
 def error_codes(spark, sf_dir):
-    steps = table(spark, sf_dir, "events").selectExpr(
-        "event_id % 6 <> 1 AS was_read",
-        "CASE WHEN event_id % 6 > 1 OR event_id % 6 = 0 THEN event_id % 6 <> 2 END AS was_shaped",
-        "CASE event_id % 6 WHEN 3 THEN false WHEN 4 THEN null ELSE true END AS was_inserted",
+    halves = [
+        lineage.merge_halves(report.first, report.second, AS_OF)
+        for report in reported(spark, sf_dir, work_dir(spark, "rejects"))
+    ]
+    return reduce(DataFrame.unionByName, halves).select(
+        "fhir_request_url", "record_count", "error_code", "is_inserted", "reject_location"
+    )
+
+
+@check(
+    "reject_sink",
+    f"""
+    SELECT code AS error_code, count(*) AS failed, count(DISTINCT (batch, page)) AS files,
+           count(*) AS counted
+    FROM ({REPORTED}) WHERE code IS NOT NULL GROUP BY code
+    """,
+)
+def reject_sink(spark, sf_dir):
+    folder = work_dir(spark, "rejects")
+    counts = [report.counts for report in reported(spark, sf_dir, folder)]
+    counted = F.create_map(*[
+        F.lit(x) for code in (errors.READ_FAILED, errors.SHAPE_FAILED, errors.INSERT_FAILED, errors.UNEXPECTED)
+        for x in (code, sum(found.get(code, 0) for found in counts))
+    ])
+    schema = "url string, filepath_id string, value string"
+    back = reduce(DataFrame.unionByName, [
+        spark.read.schema(f"{schema}, error_code string").parquet(f"{folder}/{batch}/job=2") for batch in range(3)
+    ])
+    return back.groupBy("error_code").agg(
+        F.count(F.lit(1)).alias("failed"),
+        F.countDistinct("filepath_id").alias("files"),
+        F.max(counted[F.col("error_code")].cast("long")).alias("counted"),
     )
-    code = errors.outcome_code(F.col("was_read"), F.col("was_shaped"), F.col("was_inserted"))
-    return steps.groupBy(code.alias("error_code")).agg(F.count(F.lit(1)).alias("row_count"))

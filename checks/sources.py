@@ -276,26 +276,3 @@ def audit_sink(spark, sf_dir):
     return spark.read.parquet(folder).groupBy(F.col("day").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("audit_rows"), F.countDistinct("resource_id").alias("users")
     )
-
-
-@check(
-    "reject_sink",
-    """
-    SELECT CASE event_id % 4 WHEN 0 THEN '601' WHEN 1 THEN '602' WHEN 2 THEN '603' ELSE '699' END
-             AS error_code, count(*) AS failed, min(event_id) AS first_id, max(event_id) AS last_id
-    FROM events GROUP BY 1
-    """,
-)
-def reject_sink(spark, sf_dir):
-    folder = work_dir(spark, "reject")
-    rows = table(spark, sf_dir, "events").selectExpr(
-        "event_id", "props", "element_at(array('601', '602', '603', '699'), int(event_id % 4) + 1)"
-        " AS error_code"
-    )
-    staging.write_rejects(rows, folder)
-    back = spark.read.schema("event_id long, props string, error_code string").parquet(folder)
-    return back.groupBy("error_code").agg(
-        F.count(F.lit(1)).alias("failed"),
-        F.min("event_id").alias("first_id"),
-        F.max("event_id").alias("last_id"),
-    )

@@ -53,28 +53,56 @@ def stream_ingest(spark, sf_dir):
     return wide.join(marked, "id").join(last, "id")
 
 
+def event_patients(of_type):
+    """DuckDB text: users with an event of one of three types. Odd encounters exist nowhere."""
+    return f"SELECT DISTINCT user_id AS k FROM events WHERE event_id % 13 {of_type}"
+
+
 @check(
     "stream_events",
     f"""
-    WITH wanted AS (SELECT DISTINCT user_id FROM events WHERE event_id % 13 <> 0)
-    SELECT 'pat-' || c_custkey AS id, c_acctbal >= 0 AS active, 'new' AS operation,
-           {uuid5_sql(f"('pat-' || c_custkey || {PATIENT_VERSION})")} AS filepath_id
-    FROM customer JOIN wanted ON user_id = c_custkey
+    SELECT 'Patient' AS resource_type, 'pat-' || c_custkey AS id, 'new' AS outcome,
+           {uuid5_sql(f"('pat-' || c_custkey || {PATIENT_VERSION})")} AS filepath_id, NULL AS delay_minutes
+    FROM customer JOIN ({event_patients("NOT IN (0, 1, 2)")}) ON k = c_custkey
+    UNION ALL
+    SELECT 'Encounter', 'enc-' || o_orderkey, 'new', {uuid5_sql("('enc-' || o_orderkey || '1')")}, NULL
+    FROM orders JOIN ({event_patients("IN (1, 2)")}) ON 2 * k = o_orderkey
+    UNION ALL
+    SELECT 'Patient', 'pat-' || k, 'event_queue', NULL, 5 FROM ({event_patients("NOT IN (0, 1, 2)")})
+    WHERE k NOT IN (SELECT c_custkey FROM customer)
+    UNION ALL
+    SELECT 'Encounter', 'enc-' || 2 * k, 'event_queue', NULL, 5 FROM ({event_patients("IN (1, 2)")})
+    WHERE 2 * k NOT IN (SELECT o_orderkey FROM orders)
+    UNION ALL
+    SELECT 'Group', 'pat-' || k, 'failure_area', NULL, NULL FROM ({event_patients("= 0")})
     """,
 )
 def stream_events(spark, sf_dir):
     work = work_dir(spark, "events")
-    run = patient_run(spark, work)
+    patients = patient_run(spark, work)
+    encounters = Ingest("Encounter", CATALOG, patients.tables, f"{work}/runs-encounter", AS_OF)
+    server = TableSet(spark, f"{work}/server", buckets=8)
+    docs = {
+        "Patient": documents(spark, sf_dir, "Patient", ("k",)).selectExpr("concat('pat-', k) AS id", "value"),
+        "Encounter": documents(spark, sf_dir, "Encounter", ("k",)).selectExpr("concat('enc-', k) AS id", "value"),
+    }
+    jobs.serve(server, docs, 1)
     events = jobs.table_stream(spark, sf_dir, "events").selectExpr(
-        "concat('host/fhir/', if(event_id % 13 = 0, 'Group', 'Patient'), '/pat-', user_id) AS subject",
+        """concat('host/fhir/', CASE WHEN event_id % 13 = 0 THEN concat('Group/pat-', user_id)
+             WHEN event_id % 13 IN (1, 2) THEN concat('Encounter/enc-', 2 * user_id)
+             ELSE concat('Patient/pat-', user_id) END) AS subject""",
         "'ResourceCreated' AS eventType",
     )
-    docs = documents(spark, sf_dir, "Patient", ("k",))
-    served = docs.selectExpr("concat('pat-', k) AS id", "value")
-    jobs.event_stream(spark, events, served, run, work)
-    loaded = run.read("patient")
-    audit = spark.read.parquet(f"{work}/audit").selectExpr("resource_id AS id", "operation", "filepath_id")
-    return loaded.select("id", "active").join(audit, "id")
+    jobs.event_stream(spark, events, server, [patients, encounters], work)
+    audit = spark.read.option("recursiveFileLookup", "true").parquet(f"{work}/audit")
+    loaded = patients.read("patient").select("id").union(encounters.read("encounter").select("id"))
+    done = audit.join(loaded, F.col("resource_id") == F.col("id"), "left_semi").selectExpr(
+        "resource_type", "resource_id AS id", "operation AS outcome", "filepath_id", "cast(null AS int) AS delay_minutes"
+    )
+    missed = spark.read.parquet(f"{work}/unfetched").selectExpr(
+        "resource_type", "id", "disposition AS outcome", "cast(null AS string) AS filepath_id", "delay_minutes"
+    )
+    return done.unionByName(missed)
 
 
 @check(
@@ -144,18 +172,25 @@ def stream_lineage_join(spark, sf_dir):
 @check(
     "stream_redelivery",
     """
-    SELECT event_id, CASE WHEN ts + to_minutes(CAST(event_id % 4 * 1440 AS INTEGER))
-                               <= TIMESTAMP '2024-01-20' THEN 'due' ELSE 'waiting' END AS state
-    FROM events
+    SELECT event_id, batch AS delivered_by FROM (
+      SELECT event_id, CASE WHEN due <= TIMESTAMP '2024-01-10' THEN 0 WHEN due <= TIMESTAMP '2024-01-20' THEN 1
+                            WHEN due <= TIMESTAMP '2024-01-21' THEN 2 END AS batch
+      FROM (SELECT event_id, ts + to_minutes(CAST(event_id % 4 * 1440 AS INTEGER)) AS due FROM events))
     """,
 )
 def stream_redelivery(spark, sf_dir):
     work = work_dir(spark, "redelivery")
-    messages = jobs.table_stream(spark, sf_dir, "events").selectExpr(
-        "event_id", "cast(ts AS timestamp) + make_dt_interval(int(event_id % 4)) AS not_before"
-    )
-    jobs.redelivery_stream(messages, work, lambda number: "2024-01-20 00:00:00")
-    return jobs.redelivered(spark, work).select("event_id", "state")
+    times = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-01-21 00:00:00")
+    # All messages come with the first run; the other two find nothing new and deliver by time.
+    for _ in times:
+        messages = jobs.table_stream(spark, sf_dir, "events").selectExpr(
+            "event_id", "cast(ts AS timestamp) + make_dt_interval(int(event_id % 4)) AS not_before"
+        )
+        jobs.redelivery_stream(messages, work, lambda n: times[n], slot=86400)
+    delivered = spark.read.option("basePath", f"{work}/delivered").parquet(f"{work}/delivered")
+    by_batch = delivered.select("event_id", F.col("batch").alias("delivered_by"))
+    waiting = jobs.redelivered(spark, work).where("state = 'waiting'")
+    return by_batch.unionByName(waiting.select("event_id", F.lit(None).cast("int").alias("delivered_by")))
 
 
 @check(

@@ -1,6 +1,7 @@
 """Batches and streams into the published tables."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,10 +149,10 @@ def test_redelivery_takes_up_what_waited(spark, tmp_path):
         rows.coalesce(1).write.parquet(f"{tmp_path}/m{number}")
         stream = message_stream(spark, str(tmp_path), schema)
         jobs.redelivery_stream(stream, work, lambda n: f"2024-01-0{2 * n + 2} 00:00:00")
-    rows = spark.read.parquet(f"{work}/messages").collect()
-    assert sorted((r.batch, r.state, r.id) for r in rows) == [
-        (0, "due", 1), (0, "waiting", 3), (1, "due", 2), (1, "due", 3), (1, "waiting", 5),
-    ]
+    rows = spark.read.parquet(f"{work}/delivered").collect()
+    assert sorted((r.batch, r.id) for r in rows) == [(0, 1), (1, 2), (1, 3)]
+    states = jobs.redelivered(spark, work).select("state", "id").collect()
+    assert sorted(map(tuple, states)) == [("due", 1), ("due", 2), ("due", 3), ("waiting", 5)]
 
 
 @pytest.mark.parametrize("buckets", [1, 64])
@@ -266,17 +267,58 @@ def test_versions_beyond_four_bytes_are_kept(spark, catalog, lines):
     assert operations(again) == [("p1", 4294967296, "duplicate")]
 
 
-def test_events_without_a_document_are_told(spark, catalog, tmp_path):
+EVENT = "subject string, eventType string"
+
+
+def test_events_of_several_types_are_loaded_and_the_others_get_a_disposition(spark, catalog, tmp_path):
     run, work = new_run(spark, catalog, "events"), work_dir(spark, "events-work")
-    events = [(f"h/{name}", "Created") for name in ("Patient/p1", "Patient/p2", "Group/p1")]
-    for number, event in enumerate(events):
-        write_messages(spark, tmp_path, f"m{number}", [event], "subject string, eventType string")
-        stream = message_stream(spark, str(tmp_path), "subject string, eventType string")
-        served = spark.createDataFrame([("p1", json.dumps(patient(1, 1)))], "id string, value string")
-        jobs.event_stream(spark, stream, served, run, work)
-    missed = spark.read.parquet(f"{work}/unfetched").select("resource_type", "id", "reason").collect()
-    assert sorted(map(tuple, missed)) == [("Group", "p1", "other_type"), ("Patient", "p2", "not_found")]
+    other = Ingest("Encounter", catalog, run.tables, f"{run.work}/encounters", AS_OF)
+    server = TableSet(spark, f"{work}/server")
+    visit = {"id": "e1", "meta": {"versionId": "1"}, "status": "planned"}
+    served = {"Patient": ("p1", patient(1, 1)), "Encounter": ("e1", visit)}
+    document = "id string, value string"
+    rows = {t: spark.createDataFrame([(i, json.dumps(d))], document) for t, (i, d) in served.items()}
+    jobs.serve(server, rows, 1)
+    batches = [["Patient/p1", "Encounter/e1", "Patient/p1"], ["Patient/p2", "Encounter/e9"], ["Group/p1"]]
+    for number, names in enumerate(batches):
+        write_messages(spark, tmp_path, f"m{number}", [(f"h/{n}", "Created") for n in names], EVENT)
+        jobs.event_stream(spark, message_stream(spark, str(tmp_path), EVENT), server, [run, other], work)
+    missed = spark.read.parquet(f"{work}/unfetched")
+    missed = missed.select("resource_type", "id", "reason", "disposition", "retry_count", "delay_minutes").collect()
+    assert sorted(map(tuple, missed), key=str) == [
+        ("Encounter", "e9", "not_found", "event_queue", 1, 5),
+        ("Group", "p1", "other_type", "failure_area", 1, None),
+        ("Patient", "p2", "not_found", "event_queue", 1, 5),
+    ]
     assert run.read("patient").count() == 1 and run.read("patient_codeableconcept").count() == 1
+    assert [r.status for r in other.read("encounter").collect()] == ["planned"]
+
+
+def test_a_missed_event_that_was_tried_often_goes_to_the_retry_queue(spark, catalog, tmp_path):
+    run, work = new_run(spark, catalog, "tried"), work_dir(spark, "tried-work")
+    schema = f"{EVENT}, retry_count int, retry_message boolean"
+    events = [("h/Patient/a", "Created", 2, None), ("h/Patient/b", "Created", 1, True), ("h/Patient/c", "Created", None, None)]
+    write_messages(spark, tmp_path, "m", events, schema)
+    server = TableSet(spark, f"{work}/server")
+    jobs.event_stream(spark, message_stream(spark, str(tmp_path), schema), server, [run], work)
+    missed = spark.read.parquet(f"{work}/unfetched").select("id", "disposition").collect()
+    assert sorted(map(tuple, missed)) == [("a", "retry_queue"), ("b", "failure_area"), ("c", "event_queue")]
+
+
+def test_documents_are_fetched_from_the_buckets_of_their_ids(spark, capsys):
+    server = TableSet(spark, work_dir(spark, "server"), buckets=16)
+    documents = spark.range(200).selectExpr("concat('p', id) AS id", "string(id) AS value")
+    jobs.serve(server, {"Patient": documents}, 1)
+    jobs.serve(server, {"Patient": spark.sql("SELECT 'p7' AS id, 'newer' AS value")}, 2)
+    wanted = spark.sql("SELECT 'p7' AS id")
+    found = jobs.fetch(server, "Patient", wanted)
+    assert [tuple(r) for r in found.collect()] == [("p7", "newer")]
+    (bucket,) = server.of("patient").touched(wanted)
+    read = server.of("patient").read("patient", jobs.DOCUMENT, {bucket})
+    assert 0 < read.count() < 60
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
 def test_waiting_messages_are_told_once_over_batches(spark, tmp_path):
@@ -288,3 +330,41 @@ def test_waiting_messages_are_told_once_over_batches(spark, tmp_path):
         jobs.redelivery_stream(stream, work, lambda batch: f"2024-01-0{batch + 1} 12:00:00")
     found = jobs.redelivered(spark, work).select("k", "state").collect()
     assert sorted(map(tuple, found)) == [("k0", "due"), ("k1", "due"), ("k2", "waiting")]
+
+
+def stored_files(path):
+    path = path.removeprefix("file:")
+    return {os.path.join(at, f): os.stat(os.path.join(at, f)).st_mtime_ns for at, _, fs in os.walk(path) for f in fs}
+
+
+def test_waiting_messages_leave_by_time_alone_and_once(spark, tmp_path):
+    schema, work = "k string, not_before timestamp", work_dir(spark, "by-time")
+    rows = spark.sql("""SELECT * FROM VALUES ('a', timestamp'2024-01-01'), ('b', timestamp'2024-01-02 12:00:00'),
+        ('c', timestamp'2024-01-02 12:30:00'), ('d', timestamp'2024-01-05'), ('e', null) AS t(k, not_before)""")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/m")
+    times = ("2024-01-01", "2024-01-02 12:00:00", "2024-01-02 12:00:00", "2024-01-02 11:00:00", "2024-01-03")
+    waiting = None
+    for number in range(len(times)):
+        jobs.redelivery_stream(message_stream(spark, str(tmp_path), schema), work, lambda n: times[n])
+        now = {f: at for f, at in stored_files(f"{work}/waiting").items() if f.endswith(".parquet")}
+        assert waiting in (None, now), "a batch without new messages writes none"
+        waiting = now
+    rows = spark.read.parquet(f"{work}/delivered").collect()
+    assert sorted((r.batch, r.k) for r in rows) == [(0, "a"), (0, "e"), (1, "b"), (4, "c")]
+    left = jobs.redelivered(spark, work).where("state = 'waiting'").collect()
+    assert [r.k for r in left] == ["d"]
+
+
+def test_a_replayed_delivery_keeps_its_time(spark, tmp_path):
+    schema, work = "k string, not_before timestamp", work_dir(spark, "replayed")
+    spark.sql("SELECT 'a' AS k, timestamp'2024-01-02' AS not_before").write.parquet(f"{tmp_path}/m")
+    jobs.redelivery_stream(message_stream(spark, str(tmp_path), schema), work, lambda n: "2024-01-01")
+    jobs.redelivery_stream(message_stream(spark, str(tmp_path), schema), work, lambda n: "2024-01-03")
+    # As after a crash between the output of the second batch and its commit.
+    os.remove(f"{work.removeprefix('file:')}/checkpoint/commits/1")
+    checksum = f"{work.removeprefix('file:')}/checkpoint/commits/.1.crc"
+    if os.path.exists(checksum):
+        os.remove(checksum)
+    jobs.redelivery_stream(message_stream(spark, str(tmp_path), schema), work, lambda n: "2024-01-01 01:00:00")
+    delivered = spark.read.parquet(f"{work}/delivered").collect()
+    assert [(r.k, r.batch) for r in delivered] == [("a", 1)]
