@@ -29,9 +29,12 @@ def first_half(resources: DataFrame, pipeline_type: str, as_of: str) -> DataFram
 
 
 def second_half(audit: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """One outcome row per file that has audit rows."""
+    """One outcome row per file that has audit rows. Of several outcomes the one with the highest code counts."""
     files = audit.select("filepath_id").distinct()
-    return files.join(outcomes.select("filepath_id", *OUTCOME_COLUMNS), "filepath_id", "left")
+    worst_first = ["error_code", "retry_count", *[c for c in OUTCOME_COLUMNS if c not in ("error_code", "retry_count")]]
+    single = outcomes.groupBy("filepath_id").agg(F.max(F.struct(*worst_first)).alias("_outcome"))
+    joined = files.join(single, "filepath_id", "left")
+    return joined.select("filepath_id", *[F.col(f"_outcome.{c}").alias(c) for c in OUTCOME_COLUMNS])
 
 
 def with_outcome(

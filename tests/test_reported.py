@@ -110,3 +110,13 @@ def test_codes_by_the_steps_that_were_passed(spark):
         (4, true, true, null), (5, true, true, true) AS t(k, read, shaped, inserted)""")
     code = errors.outcome_code(F.col("read"), F.col("shaped"), F.col("inserted"))
     assert [r[0] for r in rows.orderBy("k").select(code).collect()] == ["601", "602", "603", "699", None]
+
+
+def test_several_outcomes_of_a_file_give_one_second_half(spark):
+    audit = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), ('c') AS t(filepath_id)")
+    outcomes = spark.sql("""SELECT * FROM VALUES ('a', true, null, null, null), ('a', false, 1, '602', 'x'),
+        ('a', false, 2, '602', 'y'), ('b', true, null, null, null)
+        AS t(filepath_id, is_inserted, retry_count, error_code, reject_location)""")
+    rows = {r.filepath_id: tuple(r)[1:] for r in lineage.second_half(audit, outcomes).collect()}
+    nothing = (None, None, None)
+    assert rows == {"a": (False, 2, "602", "y"), "b": (True, *nothing), "c": (None, *nothing)}
