@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from chartloom.functions.exact import text_part
 
 # ---------------------------------------------------------------------------------------
-# Fixed values from the public FHIR R4 specification. One element per line entry:
+# Elements from the public FHIR R4 specification, and below them the column types
+# that the produced tables have to have. One element per line entry:
 # `name type`, with `*` for a repeating element. `Patient_Contact` and the like are the
 # backbone types of a resource.
 # ---------------------------------------------------------------------------------------

@@ -55,6 +55,7 @@ def save_colocated(rows: DataFrame, name: str, path: str, buckets: int = 16) ->
     )
 
 
+# The documented queries that users of the tables run, with their table and column names.
 PATIENT_DEMOGRAPHICS = """
     SELECT id, gender, birthdate, name_family, name_given FROM patient ORDER BY id LIMIT {limit}
 """
