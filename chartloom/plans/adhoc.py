@@ -20,12 +20,15 @@ def register_views(
 
     A view is a plan: a query parses only for the tables it names. `only` lists the elements
     the queries need, by resource type, so that the others are skipped in parsing.
+
+    The optimizer knows the size of the files, not of the rows parsed from them, which are many times larger, and would
+    send a whole view to every task. So joins of views are merged; a broadcast that a query asks for goes before.
     """
     shared: dict[str, list[DataFrame]] = {table: [] for table in SHARED_TABLES}
     for resource, lines in documents.items():
         chosen = (only or {}).get(resource)
         wide = normalize(lines, resource, catalog, chosen)
-        resource_table(wide).createOrReplaceTempView(resource.lower())
+        resource_table(wide).hint("merge").createOrReplaceTempView(resource.lower())
         for table in SHARED_TABLES:
             elements = [
                 e.name
@@ -38,7 +41,7 @@ def register_views(
     for table, parts in shared.items():
         rows = union_frames(None, parts)
         if rows is not None:
-            rows.createOrReplaceTempView(table)
+            rows.hint("merge").createOrReplaceTempView(table)
 
 
 def save_colocated(rows: DataFrame, name: str, path: str, buckets: int = 16) -> None:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from chartloom.operators.published import TableSet
 from chartloom.operators.shared import normalize, resource_table, shared_table
-from chartloom.plans.adhoc import OBSERVATION_UNITS, save_colocated
+from chartloom.plans.adhoc import OBSERVATION_UNITS, register_views, save_colocated
 from chartloom.sources.ndjson import good_documents, scan_documents
 from chartloom.sources.shaped import documents
 from chartloom.sources.staging import append_by_day, live_days, write_rejects
@@ -28,6 +28,16 @@ def test_saved_tables_join_without_a_shuffle(spark, catalog, sf_dir, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS saved_{name}")
 
 
+def test_views_of_small_files_are_not_sent_whole(spark, catalog, sf_dir):
+    docs = documents(spark, sf_dir, "Observation")
+    register_views(spark, {"Observation": docs}, catalog, {"Observation": ["valueQuantity", "code"]})
+    joined = spark.sql(OBSERVATION_UNITS)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    rows = normalize(docs, "Observation", catalog, ["valueQuantity"])
+    assert joined.count() == 2 * rows.where("valuequantity_value IS NOT NULL").count()
+
+
 def test_only_live_days_are_read(spark, tmp_path):
     rows = spark.sql("SELECT id, timestamp'2024-03-01' - make_dt_interval(int(id * 100)) AS t FROM range(6)")
     append_by_day(rows, f"{tmp_path}/audit", "t")
