@@ -34,6 +34,7 @@ LOOK = 2
 LEAF_CHARS, LEAF_BYTES, LEAF_IDS = 1024, 8, 4096
 ROWS = 256
 MEMORY, LONG, SHORT = 500_000, 64, 16
+BYTES = [bytes([b]) for b in range(256)]
 
 
 class TreeCoder:
@@ -45,6 +46,9 @@ class TreeCoder:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.highest = max(self.tokens, default=0)
+        #: Tokens by rank, to look up whole arrays of ids.
+        self.row = np.full(self.highest + 1, None, object)
+        self.row[list(self.tokens)] = np.fromiter(self.tokens.values(), object, len(self.tokens))
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -62,17 +66,19 @@ class TreeCoder:
 
     def scanned(self, data: bytes) -> list[int]:
         """As merged(), looking at all pairs before each merge; for short data."""
-        ranks, none = self.ranks, self.highest + 1
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [ranks.get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        ranks, rank, none = self.ranks, self.ranks.get, self.highest + 1
+        if len(data) <= 2 and (whole := rank(data)) is not None:
+            return [whole]
+        parts = [BYTES[b] for b in data]
+        pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
         while pairs and (least := min(pairs)) != none:
             i = pairs.index(least)
-            parts[i] += parts.pop(i + 1)
             del pairs[i]
+            own = parts[i] = parts[i] + parts.pop(i + 1)
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+                pairs[i] = rank(own + parts[i + 1], none)
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+                pairs[i - 1] = rank(parts[i - 1] + own, none)
         return [ranks[part] for part in parts]
 
     def merged(self, data: bytes) -> list[int]:
@@ -110,6 +116,8 @@ class TreeCoder:
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbours' bytes from the encodings of each."""
+        if left and right and self.fit(left[-1], right[0]):
+            return left + right
         low, high, middle = len(left), 0, []
         from_left = from_right = 1
         while True:
@@ -173,10 +181,10 @@ class TreeCoder:
                 del known[match]
         return np.frombuffer(data, np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of `ids`, concatenated up a tree."""
         if len(ids) <= LEAF_IDS:
-            return b"".join(map(self.tokens.__getitem__, ids))
+            return b"".join(self.row[ids].tolist())
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
@@ -216,7 +224,11 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
-                decoded = [coder.decode(ids) for ids in some.column("ids").to_pylist()]
+                lists = some.column("ids")
+                ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                if len(ids) and ids.min() < 0:
+                    raise KeyError(int(ids.min()))
+                decoded = [coder.decode(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id"), some.column("ids"), pa.array(decoded, pa.binary())],
                     ["doc_id", "ids", "decoded"],

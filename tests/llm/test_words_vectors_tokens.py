@@ -193,6 +193,16 @@ def test_joins_are_exact_for_any_ranks():
             assert tree.encode_bytes(data) == [ranks[p] for p in parts]
 
 
+def test_halves_that_fit_are_tested_once(coder, monkeypatch):
+    calls, fit = [], bytepairs.TreeCoder.fit
+    monkeypatch.setattr(bytepairs.TreeCoder, "fit", lambda self, a, b: calls.append((a, b)) or fit(self, a, b))
+    left, right = coder.merged(b"12"), coder.merged(b" x")
+    assert coder.join(left, right) == coder.merged(b"12 x") == left + right
+    assert calls == [(left[-1], right[0])]
+    ids = coder.encode("it's a 日本 end")
+    assert coder.decode(ids) == "it's a 日本 end".encode() and coder.decode(ids[:0]) == b""
+
+
 def test_ids_round_trip_over_rows(spark, coder, library):
     rows = [(i, t, "i", 1) for i, t in enumerate([None, *TEXTS])] + [(1, "twice", "i", 1)] * 2 + [(None, "no id", "i", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded int").repartition(2)
