@@ -35,11 +35,18 @@ MASK = 0xFFFFFFFF
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def _recalled(fresh: set, old: dict, new: dict) -> set:
+    """Those of `fresh` that are not in `old`; the others move from `old` to `new`."""
+    met = fresh.intersection(old)
+    new.update((x, old.pop(x)) for x in met)
+    return fresh - met
+
+
 class WordEncoder:
     """Token ids of texts, as bytes of unsigned 32-bit little-endian numbers, from a word-level tokenizer.
 
-    Pre-tokens never cross white space, so ids of a text are those of its words in turn. Words are remembered until
-    there are `MEMORY` of them. Texts in which the tokenizer sees more than single words go to it whole.
+    Pre-tokens never cross white space, so ids of a text are those of its words in turn. Up to `MEMORY` words are
+    remembered, and pre-tokens: when half of them are new, those not met since the last time are forgotten. Texts in which the tokenizer sees more than single words go to it whole.
     """
 
     def __init__(self, path: str):
@@ -48,6 +55,8 @@ class WordEncoder:
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -64,21 +73,28 @@ class WordEncoder:
                 self.parts.update((p, self.plain(p)) for p in some)
 
     def learn(self, words: set[bytes]) -> None:
-        split, whole = {}, {}
+        # Letters alone are one pre-token; other words are split.
+        letters, split, whole = {}, {}, {}
         for word in words:
             text = word.decode("utf-8", "surrogatepass")
-            if max(text) < "ɐ":
-                split[word] = PRETOKEN.findall(text)
-            else:
+            if not text.isascii() and max(text) >= "ɐ":
                 whole[word] = text
-        self.encode_parts(sorted({p for parts in split.values() for p in parts if p not in self.parts}))
-        self.words.update((w, b"".join(map(self.parts.__getitem__, parts))) for w, parts in split.items())
+            elif text.isalpha():
+                letters[word] = text
+            else:
+                split[word] = PRETOKEN.findall(text)
+        parts = self.parts
+        fresh = {p for found in split.values() for p in found}.union(letters.values()).difference(parts)
+        self.encode_parts(list(_recalled(fresh, self.old_parts, parts)))
+        self.words.update(zip(letters, map(parts.__getitem__, letters.values()), strict=True))
+        self.words.update((w, b"".join([parts[p] for p in found])) for w, found in split.items())
         self.words.update((w, self.plain(text)) for w, text in whole.items())
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.words) > MEMORY:
-            self.words.clear()
-            self.parts.clear()
+        if 2 * len(self.words) > MEMORY:
+            self.old_words, self.words = self.words, {}
+        if 2 * len(self.parts) > MEMORY:
+            self.old_parts, self.parts = self.parts, {}
         out: list = []
         for text in texts:
             text = text or ""
@@ -88,7 +104,7 @@ class WordEncoder:
                 lowered = unicodedata.normalize("NFC", text).lower()
                 out.append(lowered.encode("utf-8", "surrogatepass").split())
         fresh = {w for words in out if isinstance(words, list) for w in words}.difference(self.words)
-        self.learn(fresh)
+        self.learn(_recalled(fresh, self.old_words, self.words))
         known = self.words.__getitem__
         return [b"".join(map(known, x)) if isinstance(x, list) else x for x in out]
 

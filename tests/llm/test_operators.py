@@ -178,6 +178,18 @@ def test_stages_carry_columns_of_any_name(spark):
     assert stages.pack(spark, frame, "").count() >= 12
 
 
+def test_words_met_again_are_not_learned_again(monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY", 40)
+    encoder, learned = packing.WordEncoder(WORD_VOCABULARY), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: learned.extend(words) or learn(words))
+    for n in range(12):
+        text = f"the common, word's É{n} " + " ".join(f"w{n}x{i}" for i in range(12))
+        assert encoder([text, None]) == [encoder.plain(text), b""]
+    assert all(learned.count(w) == 1 for w in (b"the", b"common,", b"word's"))
+    assert len(encoder.words) + len(encoder.old_words) <= 80
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
