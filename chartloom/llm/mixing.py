@@ -6,6 +6,8 @@ splits the drawn blocks: at every node exactly half of them, picked without rega
 counts per source multivariate hypergeometric. Documents follow their blocks and are shuffled within their shard.
 
 Only the table of blocks, at most sources * blocks * passes rows whatever the input size, is ever ranked as a whole.
+Rows that are carried meet their blocks where they are read: the input is read once for the sums of blocks and again for
+its rows, whose texts move in one shuffle, that to the shards. Give it a table that reads the same each time.
 Nulls: a null source is a source of its own, ordered last; a null text has size 0; null ids hash alike. Repeated rows
 are documents of their own, and so are rows of one id and text under several sources: every row is drawn for itself.
 A source without words has target 0, an empty table gives an empty result. Other columns of the input are carried as
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Most blocks whose draws are sent to every task; more are joined by a shuffle.
+SMALL = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -107,24 +111,28 @@ def mix_plan(
     one block in which a source's quota ends is cut by documents in hash order, the last of them within its words.
     """
     passes = int(-(-most // 1))
-    sized = cut(
-        documents.select(
-            "doc_id",
-            "source",
-            F.xxhash64("doc_id", "text").alias("row_key"),
-            word_count(F.col("text")).alias("size"),
-            F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(blocks)).cast("int").alias("block"),
-            *([F.struct(*[_named(c) for c in documents.columns]).alias("row")] if carry else []),
-        )
+    size = word_count(F.col("text")).alias("size")
+    sized = documents.select(
+        "doc_id",
+        "source",
+        F.xxhash64("doc_id", "text").alias("row_key"),
+        *(["text", F.struct(*[_named(c) for c in documents.columns]).alias("row")] if carry else [size]),
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(blocks)).cast("int").alias("block"),
     )
-    targets = cut(source_targets(sized, weights, share, most))
-    summed = sized.groupBy("source", "block").agg(F.sum("size").alias("words"))
+    sized = sized if carry else cut(sized)
+    summed = sized.select("source", "block", size if carry else "size")
+    summed = cut(summed.groupBy("source", "block").agg(F.sum("size").alias("words")))
+    targets = cut(source_targets(summed.withColumnRenamed("words", "size"), weights, share, most))
     summed = summed.alias("b").join(targets.alias("t"), F.expr("b.source <=> t.source"))
     summed = summed.select("b.source", "b.block", "b.words", "t.source_size", "t.target")
-    draws = cut(split_tree(drawn_blocks(summed, passes, seed), shards, seed))
-    plans = draws.groupBy("source", "block").agg(
-        F.array_sort(F.collect_list(F.struct("pass", "shard", "taken", "words"))).alias("plan")
+    draws = split_tree(drawn_blocks(summed, passes, seed), shards, seed)
+    plans = cut(
+        draws.groupBy("source", "block").agg(
+            F.array_sort(F.collect_list(F.struct("pass", "shard", "taken", "words"))).alias("plan")
+        )
     )
+    if plans.count() <= SMALL:
+        plans = F.broadcast(plans)
     joined = sized.alias("d").join(plans.alias("p"), F.expr("d.source <=> p.source AND d.block = p.block"), "left")
     joined = joined.select("d.*", "p.plan")
     split = F.exists("plan", lambda d: d["taken"] < d["words"])
@@ -132,8 +140,11 @@ def mix_plan(
         F.xxhash64(F.lit(seed), F.lit("rows"), "doc_id"), "doc_id", "row_key"
     )
     running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    last = joined.where(split).withColumn("before", F.coalesce(running, F.lit(0)))
-    whole = joined.where(~F.coalesce(split, F.lit(False))).withColumn("before", F.lit(0).cast("long"))
+    last, whole = joined.where(split), joined.where(~F.coalesce(split, F.lit(False)))
+    if carry:
+        last, whole = (rows.select("*", size) for rows in (last, whole))
+    last = last.withColumn("before", F.coalesce(running, F.lit(0)))
+    whole = whole.withColumn("before", F.lit(0).cast("long"))
 
     def draw(d: Column) -> Column:
         return F.struct(

@@ -161,6 +161,21 @@ def test_mix_keeps_one_text_of_several_sources_apart(spark):
     assert len(targets) == 3 and all(abs(words[s] - t) <= 1 for s, t in targets.items())
 
 
+def test_mix_moves_texts_once(spark, tmp_path):
+    frame = spark.createDataFrame([(i, prose(30), f"s{i % 3}") for i in range(60)], "doc_id long, text string, source string")
+    frame.write.parquet(f"{tmp_path}/docs")
+    mixed = mixing.mixed_rows(spark.read.parquet(f"{tmp_path}/docs"))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert not [x for x in plan.splitlines() if "Scan ExistingRDD" in x and "row#" in x]  # no texts in a checkpoint
+
+
+def test_mix_of_many_blocks(spark, docs, monkeypatch):
+    few = mixing.mixed_rows(docs, blocks=8, shards=4).collect()
+    monkeypatch.setattr(mixing, "SMALL", 0)
+    assert mixing.mixed_rows(docs, blocks=8, shards=4).collect() == few
+
+
 def test_stages_carry_columns_of_any_name(spark):
     from chartloom.llm import stages
 
