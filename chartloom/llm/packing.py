@@ -13,6 +13,7 @@ each. An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -31,8 +32,11 @@ POOL = 4096
 MEMORY = 300_000
 MASK = 0xFFFFFFFF
 
-# Fixed value: the pre-tokenizer pattern of the vocabulary file.
-PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+LETTERS, NUMBERS, SPACES = (
+    re.escape(bytes(c for c in range(256) if regex.match(kind, chr(c)))) for kind in (r"\p{L}", r"\p{N}", r"\s")
+)
+# Fixed value: the pre-tokenizer pattern of the vocabulary file, for Latin-1.
+PRETOKEN = re.compile(b"[%s]+|[%s]|'(?:s|t|re|ve|m|ll|d)|[^%s]+" % (LETTERS, NUMBERS, LETTERS + NUMBERS + SPACES))
 
 
 def _recalled(fresh: set, old: dict, new: dict) -> set:
@@ -45,8 +49,10 @@ def _recalled(fresh: set, old: dict, new: dict) -> set:
 class WordEncoder:
     """Token ids of texts, as bytes of unsigned 32-bit little-endian numbers, from a word-level tokenizer.
 
-    Pre-tokens never cross white space, so ids of a text are those of its words in turn. Up to `MEMORY` words are
-    remembered, and pre-tokens: when half of them are new, those not met since the last time are forgotten. Texts in which the tokenizer sees more than single words go to it whole.
+    Pre-tokens never cross white space, so ids of a text are those of its words in turn, and ids of a word those of its
+    pre-tokens. ASCII texts are cut into pre-tokens at once, without a look at their words. Up to `MEMORY` words are
+    remembered, and pre-tokens: when half of them are new, those not met since the last time are forgotten. Texts in which
+    the tokenizer sees more than single words go to it whole.
     """
 
     def __init__(self, path: str):
@@ -54,41 +60,41 @@ class WordEncoder:
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
+        self.old_parts: dict[bytes, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode_parts(self, parts: list[str]) -> None:
+    def encode_parts(self, parts: list[bytes]) -> None:
         for i in range(0, len(parts), 1000):
             some = parts[i : i + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode(b" ".join(some).decode("latin-1"), add_special_tokens=False).ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some):
-                data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
-                self.parts.update((p, data[a:b]) for p, a, b in zip(some, at, at[1:], strict=False))
+                data, at = ids.tobytes(), (4 * stops).tolist()
+                self.parts.update(zip(some, map(data.__getitem__, map(slice, [0, *at], at)), strict=True))
             else:
-                self.parts.update((p, self.plain(p)) for p in some)
+                self.parts.update((p, self.plain(p.decode("latin-1"))) for p in some)
+
+    def learn_parts(self, parts: set[bytes]) -> None:
+        fresh = parts.difference(self.parts)
+        self.encode_parts(list(_recalled(fresh, self.old_parts, self.parts)))
 
     def learn(self, words: set[bytes]) -> None:
         # Letters alone are one pre-token; other words are split.
-        letters, split, whole = {}, {}, {}
-        for word in words:
-            text = word.decode("utf-8", "surrogatepass")
-            if not text.isascii() and max(text) >= "ɐ":
-                whole[word] = text
-            elif text.isalpha():
-                letters[word] = text
-            else:
-                split[word] = PRETOKEN.findall(text)
-        parts = self.parts
-        fresh = {p for found in split.values() for p in found}.union(letters.values()).difference(parts)
-        self.encode_parts(list(_recalled(fresh, self.old_parts, parts)))
-        self.words.update(zip(letters, map(parts.__getitem__, letters.values()), strict=True))
-        self.words.update((w, b"".join([parts[p] for p in found])) for w, found in split.items())
-        self.words.update((w, self.plain(text)) for w, text in whole.items())
+        letters, split = {w for w in words if w.isalpha()}, {}
+        for word in words - letters:
+            try:
+                latin = word if word.isascii() else word.decode("utf-8", "surrogatepass").encode("latin-1")
+                split[word] = PRETOKEN.findall(latin)
+            except UnicodeEncodeError:
+                self.words[word] = self.plain(word.decode("utf-8", "surrogatepass"))
+        self.learn_parts(letters.union(*split.values()))
+        known = self.parts.__getitem__
+        self.words.update(zip(letters, map(known, letters), strict=True))
+        self.words.update((w, b"".join(map(known, found))) for w, found in split.items())
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if 2 * len(self.words) > MEMORY:
@@ -98,15 +104,17 @@ class WordEncoder:
         out: list = []
         for text in texts:
             text = text or ""
-            if "<|" in text or "Σ" in text:
-                out.append(self.plain(text))
+            if text.isascii() and "<|" not in text:
+                out.append((self.parts, PRETOKEN.findall(text.lower().encode())))
+            elif "<|" in text or "Σ" in text:
+                out.append((None, self.plain(text)))
             else:
                 lowered = unicodedata.normalize("NFC", text).lower()
-                out.append(lowered.encode("utf-8", "surrogatepass").split())
-        fresh = {w for words in out if isinstance(words, list) for w in words}.difference(self.words)
+                out.append((self.words, lowered.encode("utf-8", "surrogatepass").split()))
+        self.learn_parts(set().union(*[x for known, x in out if known is self.parts]))
+        fresh = set().union(*[x for known, x in out if known is self.words]).difference(self.words)
         self.learn(_recalled(fresh, self.old_words, self.words))
-        known = self.words.__getitem__
-        return [b"".join(map(known, x)) if isinstance(x, list) else x for x in out]
+        return [x if known is None else b"".join(map(known.__getitem__, x)) for known, x in out]
 
 
 class Packer:

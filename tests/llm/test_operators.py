@@ -205,6 +205,14 @@ def test_words_met_again_are_not_learned_again(monkeypatch):
     assert len(encoder.words) + len(encoder.old_words) <= 80
 
 
+def test_ascii_texts_are_not_learned_word_by_word():
+    encoder = packing.WordEncoder(WORD_VOCABULARY)
+    text = "word, word; (word) word's WORD-word 'll''d 12\x1c3\x0bword.\x00" + "".join(map(chr, range(128))).replace("|", "")
+    every = ["".join(map(chr, range(a, 592))) + " é" for a in (0, 60, 124, 125)] + ["½ word\u00a0wörd\x85w²a, Ωmega ǆ don’t"]
+    assert encoder([text]) == [encoder.plain(text)] and not encoder.words
+    assert encoder(every) == [encoder.plain(t) for t in every] and {b"word", b",", b"'s"} <= encoder.parts.keys()
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
