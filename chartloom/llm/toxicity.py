@@ -17,18 +17,20 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import cut, row_key
+from chartloom.llm.common import row_key, stored
 from chartloom.llm.minhash import linked_rows
 
 SAMPLE = 50_000
 LOG_FEATURES = 16.0
+#: Tokens that a worker remembers.
+TOKENS = 300_000
 # Letters that signs commonly stand for.
 SIGNS = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
@@ -89,6 +91,14 @@ class Restorer:
             best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
             for step in self.lattice(word):
                 after: dict[tuple[int, int], tuple[float, str]] = {}
+                if step[0][1] == 0.0 and len(step) == len(step[0][0]) == 1:
+                    c, z = step[0][0], letter(step[0][0])
+                    for (a, b), (value, text) in best.items():
+                        total = value + self.model[a][b][z]
+                        if (b, z) not in after or after[b, z][0] < total:
+                            after[b, z] = (total, text + c)
+                    best = after
+                    continue
                 for (a, b), (value, text) in best.items():
                     for reading, cost in step:
                         x, y, total = a, b, value + cost
@@ -113,19 +123,25 @@ class Restorer:
         if token not in self.read:
             if len(self.read) > 100_000:
                 self.read.clear()
-            self.read[token] = tuple({w for f in self.forms(token) if DISGUISED.search(f) for w in WORD.findall(self.decode(f))})
+            # Forms are parts of their token, so one that does not look disguised has none that does.
+            forms = self.forms(token) if DISGUISED.search(token) else ()
+            self.read[token] = tuple({w for f in forms if DISGUISED.search(f) for w in WORD.findall(self.decode(f))})
         return self.read[token]
 
+    def spaced(self, lowered: str) -> Iterator[str]:
+        """Words that runs of single signs in a text restore to."""
+        for spaced in SPACED.finditer(lowered):
+            run = re.sub(r"[\s.\-_*]", "", spaced[0])
+            if WORD.search(run):
+                yield from (w for f in self.forms(run) for w in WORD.findall(self.decode(f)))
+
     def words(self, text: str | None) -> set[str]:
         """Words of a text in lower case, disguised ones restored as well."""
         lowered = (text or "").lower()
         found = set(WORD.findall(lowered))
         for token in set(lowered.split()):
             found.update(self.readings(token))
-        for spaced in SPACED.finditer(lowered):
-            run = re.sub(r"[\s.\-_*]", "", spaced[0])
-            if WORD.search(run):
-                found.update(w for f in self.forms(run) for w in WORD.findall(self.decode(f)))
+        found.update(self.spaced(lowered))
         return found
 
 
@@ -134,6 +150,33 @@ def features(words: set[str]) -> set[str]:
     return {w for w in words if len(w) > 2} | {w[:k] + "*" for w in words for k in (4, 5, 6) if len(w) >= k}
 
 
+NONE: frozenset[str] = frozenset()
+
+
+class Evidence:
+    """Telling features of texts, looked up once for each different token: words never cross white space."""
+
+    def __init__(self, restorer: Restorer, telling: dict[str, float]):
+        self.restorer, self.telling = restorer, telling
+        self.starts = {feature[:3] for feature in telling}
+        self.known: dict[str, frozenset[str]] = {}
+
+    def of_words(self, words: Iterable[str]) -> frozenset[str]:
+        # Features of a word begin with its first three letters.
+        some = {w for w in words if w[:3] in self.starts}
+        return frozenset(self.telling.keys() & features(some)) if some else NONE
+
+    def __call__(self, text: str | None) -> list[str]:
+        """Features of `text` that are telling, in order."""
+        lowered, known = (text or "").lower(), self.known
+        if len(known) > TOKENS:
+            known.clear()
+        tokens = set(lowered.split())
+        for token in tokens.difference(known):
+            known[token] = self.of_words([*WORD.findall(token), *self.restorer.readings(token)])
+        return sorted(self.of_words(self.restorer.spaced(lowered)).union(*map(known.__getitem__, tokens)))
+
+
 def character_model(documents: DataFrame) -> np.ndarray:
     """Trigram counts over the words of all texts; SIZE**3 of them."""
 
@@ -166,10 +209,10 @@ def one_of_copies(documents: DataFrame, sample: DataFrame) -> DataFrame:
     Copies of one text are no independent evidence for its words. Texts without words are none.
     """
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    texts = cut(texts.select("doc_id", row_key().alias("uid"), "toxic", "text"))
+    texts = stored(texts.select("doc_id", row_key().alias("uid"), "toxic", "text"))
     found = linked_rows(texts, words=2, percent=80).where("n_shingles > 0").join(texts.select("uid", "toxic").distinct(), "uid")
     kept = found.groupBy("root", "toxic").agg(F.min(F.struct("doc_id", "uid"))["uid"].alias("uid")).select("uid")
-    return cut(texts.join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select("text", "toxic"))
+    return stored(texts.join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select("text", "toxic"))
 
 
 def fit_evidence(texts: DataFrame, restorer: Restorer, least: int = 5) -> tuple[dict[str, float], float]:
@@ -202,17 +245,17 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, held_out: Column, si
     restorer = Restorer(character_model(documents))
     texts = one_of_copies(documents, labelled_sample(labels, ~held_out, size))
     evidence, rest = fit_evidence(texts, restorer)
-    model = documents.sparkSession.sparkContext.broadcast((restorer, evidence, rest))
+    model = documents.sparkSession.sparkContext.broadcast((Evidence(restorer, evidence), rest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, telling, base = model.value
+        telling, base = model.value
         for batch in batches:
             scores, why = [], []
             for text in batch.column("text").to_pylist():
-                hits = telling.keys() & features(reader.words(text))
-                open_ = (1 - base) * math.prod(1 - telling[h] for h in hits)
+                hits = telling(text)
+                open_ = (1 - base) * math.prod(1 - telling.telling[h] for h in hits)
                 scores.append(1 - open_)
-                why.append(max(hits, key=lambda h: (telling[h], h), default=None))
+                why.append(max(hits, key=lambda h: (telling.telling[h], h), default=None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.7) for s in scores], pa.int32()), pa.array(why, pa.string())],

@@ -276,6 +276,20 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score_toxicity(none, labels.limit(0), F.lit(False)).count() == 0
 
 
+def test_evidence_is_looked_up_once_a_token(monkeypatch):
+    texts = [None, "", "st0p, the i d i o t! letter-box", "STUPID stu.pid idiiiiot\u00a0the \u0130diot", "the letter the bo++om a", prose(200)]
+    restorer = toxicity.Restorer(toxicity.trigram_counts(["stupid", "idiot", "the", "letter", "bottom"] * 50))
+    every = set().union(*(toxicity.features(restorer.words(t)) for t in texts))
+    telling = {f: 0.9 for f in sorted(every)[::2]}
+    asked, readings = [], restorer.readings
+    monkeypatch.setattr(restorer, "readings", lambda token: asked.append(token) or readings(token))
+    evidence = toxicity.Evidence(restorer, telling)
+    found = [evidence(t) for t in texts * 2]
+    assert len(asked) == len(set(asked))
+    monkeypatch.undo()
+    assert found == [sorted(telling.keys() & toxicity.features(restorer.words(t))) for t in texts] * 2
+
+
 def test_preferences(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b"),
              (2, 0, "user", None), (2, 1, "assistant", "other"), (4, 0, None, "")]
